@@ -66,7 +66,7 @@ def _bit_planes(fps: np.ndarray) -> np.ndarray:
     """64 planes: bit j of plane b is bit b of fingerprint j; the last word is filled up with zeros."""
     bits = np.unpackbits(fps.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     bits = np.pad(bits, ((0, -len(fps) % 64), (0, 0)))
-    return np.packbits(bits.T, axis=1, bitorder="little").view("<u8")
+    return np.ascontiguousarray(np.packbits(bits.T, axis=1, bitorder="little")).view("<u8")
 
 
 def near_pairs(queries: np.ndarray, lanes: np.ndarray, radius: int, skip: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
