@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeforge.llm import exact, quality, simhash, toxicity
+from placeforge.llm import exact, html, packing, quality, simhash, toxicity
 from placeforge.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -21,11 +25,17 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op3_simhash, op4_exact_dedup, op6_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_html, op3_simhash, op4_exact_dedup, op5_packing, op6_toxicity)}
 
 ORACLE_SQL = {
     "op4_exact_dedup": r"""
