@@ -96,6 +96,12 @@ def _configurations(sizes: list[int], counts: list[int], capacity: int) -> list[
     return out
 
 
+def best_plan(histogram: dict[int, int], capacity: int = 2048) -> list[tuple[list[int], int]]:
+    """The plan with the fewest sequences over some numbers of groups and bounds of what is small; all on the histogram."""
+    tried = [plan(histogram, capacity, groups, small) for groups in (24, 96) for small in (1 / 2, 1 / 3, 1 / 4, 1 / 8)]
+    return min(tried, key=lambda p: sum(n for _, n in p))
+
+
 def plan(histogram: dict[int, int], capacity: int = 2048, groups: int = 24, small: float = 1 / 8) -> list[tuple[list[int], int]]:
     """Lengths and their counts to [(lengths in a sequence, number of such sequences)].
 
@@ -214,7 +220,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, end: int = 0, id_col:
     rows = cut(pieces(docs, path, capacity, end, id_col, text_col), "pieces")
     counted = cut(rows.groupBy("length", "task").agg(F.count("*").alias("n")), "counts")
     histogram = {r["length"]: r["n"] for r in counted.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # `capacity` rows at most
-    where = docs.sparkSession.sparkContext.broadcast(places(plan(histogram, capacity)))
+    where = docs.sparkSession.sparkContext.broadcast(places(best_plan(histogram, capacity)))
     before = counted.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)))
     ranked = rows.join(before.select("length", "task", F.coalesce("before", F.lit(0)).alias("before")), ["length", "task"])
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
