@@ -1 +1,54 @@
-STAGES = []
+"""A corpus from the documents table: without toxic texts and copies, without personal data, packed into token sequences."""
+
+from __future__ import annotations
+
+import uuid
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from placeforge.llm import exact, packing, pii, simhash, toxicity
+from placeforge.llm.common import shared_dir, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model, trained on the labelled ones, rejects go."""
+    return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the one with the smallest doc_id stays."""
+    return exact.deduplicate(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts whose fingerprints hang together the one with the smallest doc_id stays."""
+    return simhash.deduplicate(docs)
+
+
+def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that disclose it are replaced; n_chars follows the new text."""
+    clean = pii.sanitise(docs)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece of a document: its ids' place in a sequence of 2048 tokens."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("toxicity", drop_toxic), ("exact dedup", drop_copies), ("simhash near-dedup", drop_near_copies), ("pii", hide_personal_data), ("packing", pack)]
+
+#: SQL has neither the model's training nor fingerprint links nor packing; tests/llm holds the stages against brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over the documents table; each result is written as Parquet in the shared folder and read again for the next."""
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        path = f"{shared_dir(spark)}/stage{k}-{uuid.uuid4().hex}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

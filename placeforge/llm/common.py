@@ -60,3 +60,18 @@ def drop_rows(docs: DataFrame, named: DataFrame, id_col: str = "doc_id", text_co
     if ties:
         rest = rest.unionByName(own.join(tied, same(tied)).dropDuplicates(["group"]).select("row.*"))
     return rest
+
+
+def groups(batches, keys: int):
+    """Runs of rows that agree on the first `keys` columns, as arrays of longs; the batches are sorted by these. A run may span batches."""
+    import numpy as np
+
+    rest = None
+    for x in batches:
+        rows = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in x.columns], axis=1)
+        rest = rows if rest is None else np.concatenate([rest, rows])
+        if len(rest):
+            *whole, rest = np.split(rest, np.nonzero((rest[1:, :keys] != rest[:-1, :keys]).any(axis=1))[0] + 1)
+            yield from whole
+    if rest is not None and len(rest):
+        yield rest

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeforge.llm import exact, html, licenses, packing, pii, quality, simhash, toxicity
+from placeforge.llm import exact, html, licenses, packing, passages, pieces, pii, quality, simhash, toxicity
 from placeforge.llm.common import table
 
 
@@ -35,6 +35,16 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.shared_passages(table(spark, sf_dir, "documents"))
+
+
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
@@ -43,7 +53,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("detections")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_html, op3_simhash, op4_exact_dedup, op5_packing, op6_toxicity, op8_pii, op10_licenses)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_html, op3_simhash, op4_exact_dedup, op5_packing, op6_toxicity, op7_passages, op8_pii, op9_pieces, op10_licenses)}
 
 ORACLE_SQL = {
     "op4_exact_dedup": r"""

@@ -184,7 +184,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, id_col:
     return _named(docs, shingle, radius, id_col, text_col).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def deduplicate(docs: DataFrame, shingle: int = 5, radius: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicate(docs: DataFrame, shingle: int = 5, radius: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with all its columns, one row of each component: the one with the smallest doc_id."""
     named = _named(docs, shingle, radius, id_col, text_col)
     named = cut(named.select("doc_id", "h", F.col("root").alias("group"), F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")), "named")
