@@ -144,12 +144,12 @@ def source_union(spark, d):
 
 
 @query(f"""WITH o AS (SELECT o_custkey, o_orderkey, {sql_point('o_orderkey')} FROM orders)
-SELECT o_custkey, round(avg(lat), 6) AS lat, round(avg(lng), 6) AS lng, string_agg(cast(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS exits FROM o GROUP BY o_custkey""")
+SELECT o_custkey, round(avg(lat) + 1e-9, 6) AS lat, round(avg(lng) + 1e-9, 6) AS lng, string_agg(cast(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS exits FROM o GROUP BY o_custkey""")
 def group_centroid(spark, d):
     """A1, A2."""
     o = _points(t(spark, d, "orders"), "o_orderkey", "o_custkey")
     c = C.centroid(o, "o_custkey").join(C.group_exits(o, "o_custkey", "o_orderkey", ["o_orderkey"]), "o_custkey")
-    return c.select("o_custkey", F.round("lat", 6).alias("lat"), F.round("lng", 6).alias("lng"), F.array_join(F.transform("exits", lambda x: x["o_orderkey"].cast("string")), ",").alias("exits"))
+    return c.select("o_custkey", F.round(F.col("lat") + 1e-9, 6).alias("lat"), F.round(F.col("lng") + 1e-9, 6).alias("lng"), F.array_join(F.transform("exits", lambda x: x["o_orderkey"].cast("string")), ",").alias("exits"))
 
 
 @query(f"""WITH {SUPPLIERS}, {PARTS}, m AS (SELECT s_suppkey, p_partkey, upper(s_name) AS a, upper(p_name) AS b FROM s, p WHERE abs(s.lat - p.lat) < 0.01 AND abs(s.lng - p.lng) < 0.01 AND {sql_m('s', 'p')} <= 800),
