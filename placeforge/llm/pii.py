@@ -109,10 +109,15 @@ def disclosing_terms(rows: DataFrame, docs: DataFrame, s: Settings, text_col: st
     words = context.select("doc_id", "h", "entity", "c.ctx", F.explode(F.concat(*[F.transform(_places(F.col(f"c.{side}"), pattern), lambda x: F.struct((x["start"] + F.col(f"c.{side}_at")).alias("start"), (x["end"] + F.col(f"c.{side}_at")).alias("end"), F.lower(x["value"]).alias("term"))) for side in ("left", "right")])).alias("w"))
     words = words.select("doc_id", "h", "entity", "ctx", "w.*")
     together = words.select("entity", "term", "ctx").distinct().groupBy("entity", "term").agg(F.count("*").alias("c")).where(F.col("c") >= s.support)
+    alone = context.select("entity", "c.ctx").distinct().groupBy("entity").agg(F.count("*").alias("v"))
+    # the texts whose contexts hold a term are fewer than all that hold it: too many of them rule a pair out before the corpus is counted
+    least = words.select("term", "h").distinct().groupBy("term").agg(F.count("*").alias("low"))
+    n = rows.count()
+    most = F.col("c") * F.pow(F.lit(float(n)) / F.col("v"), 1 - s.disclosure)
+    together = together.join(alone, "entity").join(least, "term").where(F.col("low") <= most).select("entity", "term", "c", "v")
     together = cut(together, "together")
     if together.isEmpty():
         return None
-    alone = context.select("entity", "c.ctx").distinct().groupBy("entity").agg(F.count("*").alias("v"))
     # a bit for each hash of a wanted term: 2**bits bits at most, whatever the corpus; it only spares the shuffle other terms
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << s.bits))
     wanted = together.select("term").distinct()
@@ -120,8 +125,7 @@ def disclosing_terms(rows: DataFrame, docs: DataFrame, s: Settings, text_col: st
     spoken = docs.select(F.explode(F.array_distinct(_letters(F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))))).alias("term")).withColumn("p", place("term"))
     spoken = spoken.join(F.broadcast(bits), F.shiftright("p", 6) == F.col("word")).where("shiftright(bits, cast(p % 64 as int)) & 1 = 1")
     often = spoken.groupBy("term").agg(F.count("*").alias("d"))
-    n = rows.count()
-    told = together.join(alone, "entity").join(often, "term")
+    told = together.join(often, "term")
     share = F.log2(F.col("c") * n / (F.col("d") * F.col("v"))) / F.log2(F.lit(float(n)) / F.col("v"))
     told = cut(told.withColumn("share", share).where(F.col("share") >= s.disclosure).select("entity", "term", "share"), "told")
     if told.isEmpty():
