@@ -31,7 +31,7 @@ class Settings:
     support: int = 3
     disclosure: float = 0.6
     removal: float = 0.9
-    bits: int = 20
+    bits: int = 18
 
 
 def _places(text: Column, pattern: str) -> Column:
@@ -118,12 +118,16 @@ def disclosing_terms(rows: DataFrame, docs: DataFrame, s: Settings, text_col: st
     together = cut(together, "together")
     if together.isEmpty():
         return None
-    # a bit for each hash of a wanted term: 2**bits bits at most, whatever the corpus; it only spares the shuffle other terms
+    # a bit for each hash of a wanted term, 2**bits bits whatever the corpus: other terms are spared the shuffle
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << s.bits))
     wanted = together.select("term").distinct()
-    bits = wanted.select(place("term").alias("p")).groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("bits"))
+    marks = wanted.select(place("term").alias("p")).groupBy(F.shiftright("p", 3).cast("int").alias("at")).agg(F.bit_or(F.expr("shiftleft(1, cast(p % 8 as int))")).alias("bits")).collect()
+    table = bytearray(1 << s.bits - 3)
+    for at, value in marks:
+        table[at] = value
     spoken = docs.select(F.explode(F.array_distinct(_letters(F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))))).alias("term")).withColumn("p", place("term"))
-    spoken = spoken.join(F.broadcast(bits), F.shiftright("p", 6) == F.col("word")).where("shiftright(bits, cast(p % 64 as int)) & 1 = 1")
+    byte = F.conv(F.hex(F.substring(F.lit(table), F.shiftright("p", 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int").alias("byte")
+    spoken = spoken.select("term", "p", byte).where("shiftright(byte, cast(p % 8 as int)) & 1 = 1")
     often = spoken.groupBy("term").agg(F.count("*").alias("d"))
     told = together.join(often, "term")
     share = F.log2(F.col("c") * n / (F.col("d") * F.col("v"))) / F.log2(F.lit(float(n)) / F.col("v"))

@@ -1,0 +1,285 @@
+"""Operators on small tables with nulls, empty and long texts, ties, repeated rows and clashing columns; against brute force."""
+
+import hashlib
+import random
+import re
+from zlib import crc32
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from placeforge.llm import exact, graph, html, licenses, packing, passages, pieces, pii, quality, simhash, toxicity
+
+tokenizers = pytest.importorskip("public_tokenizers")
+RNG = random.Random(5)
+VOCABULARY = ["".join(RNG.choice("abcdefghij") for _ in range(RNG.randint(2, 8))) for _ in range(400)]
+
+
+def prose(n):
+    return " ".join(RNG.choice(VOCABULARY) for _ in range(n))
+
+
+LONG = prose(30_000)
+ONE = prose(120)
+TEXTS = [(1, ONE), (2, ONE), (2, ONE), (3, ONE.replace(" ", "  \n")), (None, "no id " + prose(30)), (4, None), (5, ""), (6, " \t\n"), (7, LONG), (8, "é😀 ▁ " + prose(20)), (9, prose(60)), (10, ONE + " x")]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "en", "s", 1, 0.5, "x") for i, t in TEXTS]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score double, h string").repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame([(1, 1, 0), (7, 1, 0), (9, 0, 1), (None, 1, 1), (8, None, None)], "doc_id long, quality int, toxic int")
+
+
+def text(t):
+    return t or ""
+
+
+def test_exact(docs):
+    norm = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", text(t))
+    got = exact.exact_duplicates(docs).collect()
+    assert len(got) == len(TEXTS)
+    groups = {}
+    for i, t in TEXTS:
+        groups.setdefault(hashlib.sha256(norm(t).encode()).hexdigest(), []).append(i)
+    for r in got:
+        own = groups[r.text_sha256]
+        least = min((i for i in own if i is not None), default=None)
+        assert (r.keep_id, r.group_size, r.kept) == (least, len(own), r.doc_id == least)
+    kept = exact.deduplicate(docs)
+    assert kept.columns == docs.columns and kept.count() == len(groups)
+
+
+def test_cuckoo_index():
+    index, keys = exact.CuckooIndex(4), [hashlib.sha256(str(i).encode()).digest() for i in range(3000)]
+    for i, k in enumerate(keys):
+        assert index.get(k) is None
+        index.insert(k, [i, 1])
+    assert index.resizes > 0 and all(index.get(k) == [i, 1] for i, k in enumerate(keys))
+    assert all(index.delete(k) for k in keys[::2]) and not index.delete(keys[0])
+    assert [index.get(k) is None for k in keys[:4]] == [True, False, True, False] and index.size == 1500
+
+
+def test_index_insert_and_delete(spark, docs):
+    rows = exact.digests(docs.where("doc_id in (1, 3, 5)"))
+    index = exact.insert(exact.build_index(rows.where("doc_id = 3")), rows.where("doc_id <> 3"))
+    assert {(r.keep_id, r.group_size) for r in index.collect()} == {(1, 2), (5, 1)}
+    less = exact.delete(index, rows.where("doc_id in (1, 5)"), rows.where("doc_id = 3"))
+    assert [(r.keep_id, r.group_size) for r in less.collect()] == [(3, 1)]
+
+
+def brute_fingerprint(t, k=4):
+    w = [x for x in re.split(r"[\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t)) if x]
+    if not w:
+        return 0
+    h = [xxhash.xxh64_intdigest(" ".join(w[i : i + k]).encode(), 42) for i in range(max(1, len(w) - k + 1))]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_simhash(docs):
+    fp = [brute_fingerprint(text(t)) for _, t in TEXTS]
+    root = list(range(len(fp)))
+    for _ in fp:
+        for i in range(len(fp)):
+            for j in range(i):
+                if bin(fp[i] ^ fp[j]).count("1") <= 4:
+                    root[i] = root[j] = min(root[i], root[j])
+    want = sorted(("%016x" % f, min((TEXTS[j][0] for j in range(len(fp)) if root[j] == root[i] and TEXTS[j][0] is not None), default=None) or -1) for i, f in enumerate(fp))
+    got = simhash.near_duplicates(docs).collect()
+    assert sorted((r.fingerprint, r.component_id or -1) for r in got) == want
+    assert simhash.near_duplicates(docs.limit(0)).count() == 0
+    assert simhash.deduplicate(docs).columns == docs.columns
+
+
+@pytest.mark.parametrize("radius", [0, 1, 4, 6])
+def test_near_pairs_are_brute_force(radius):
+    rng = np.random.default_rng(radius)
+    base = rng.integers(0, 1 << 63, 5, dtype=np.uint64)
+    fps = np.array([b ^ sum((np.uint64(1) << np.uint64(k) for k in rng.choice(64, rng.integers(0, 9), replace=False)), np.uint64(0)) for b in base for _ in range(30)], np.uint64)
+    got = {(int(a), int(b)) for i, j in simhash.near_pairs(fps, fps, radius) for a, b in zip(i, j)}
+    assert got == {(i, j) for i in range(len(fps)) for j in range(len(fps)) if bin(int(fps[i] ^ fps[j])).count("1") <= radius}
+
+
+def test_tiles_lose_no_link(spark):
+    rng = np.random.default_rng(3)
+    fps = sorted({int(7 ^ sum(1 << int(k) for k in rng.choice(62, 3, replace=False))) for _ in range(300)} | {7})
+    nodes = spark.createDataFrame([(f,) for f in fps], "fp long")
+    root = graph.components(simhash.hamming_links(nodes, 4, tile=20)).select("root").distinct().collect()
+    assert len(root) == 1
+
+
+def test_quality(docs, labels):
+    got = quality.quality(docs, labels).collect()
+    assert len(got) == len(TEXTS)
+    for r in got:
+        if r.n_words == 0:
+            assert r.base_failed and not r.kept
+    text = "a b c d e f\na b c d e f\n\n x # |"
+    counts, _ = quality.statistics(text.encode())
+    assert counts == [15, 15, 2, 1, 12]
+    assert quality.quality(docs.limit(0), labels).count() == 0 and quality.quality(docs, labels.limit(0)).count() == len(TEXTS)
+
+
+def test_toxicity_learns(spark):
+    rng = random.Random(1)
+    rows = [(i, prose(40) + (" vile" + rng.choice([".", "***"]) + " nasty " if i % 4 == 0 else " ") + prose(5), int(i % 4 == 0)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    extra = spark.createDataFrame([(1000, None, 0), (1001, "", 0), (None, "vile nasty", 0)], df.schema)
+    got = {r.doc_id: r for r in toxicity.toxicity(df.unionByName(extra).drop("toxic"), df.select("doc_id", "toxic")).collect()}
+    held = [i for i in range(400) if crc32(str(i).encode()) % 5 == 0]
+    assert all(got[i].held_out == (i in held) for i in range(400))
+    assert sum(got[i].predicted == int(i % 4 == 0) for i in held) / len(held) > 0.95
+    assert got[1000].predicted == 0 and got[1001].predicted == 0 and len(got) == 403
+    assert toxicity.keep_clean(df, df.select("doc_id", "toxic")).count() == sum(1 for i in range(400) if not got[i].predicted)
+
+
+def test_toxicity_without_labels(docs, labels):
+    assert {r.score for r in toxicity.toxicity(docs, labels.limit(0)).collect()} == {0.5}
+
+
+def test_packing(docs):
+    from tokenizers import Tokenizer
+
+    path = tokenizers.path("byte_bpe_50k.json")
+    got = packing.pack(docs, path).collect()
+    exact_ids = Tokenizer.from_file(path)
+    want = []
+    for i, t in TEXTS:
+        ids = np.array(exact_ids.encode(text(t), add_special_tokens=False).ids + [0], "<u4")
+        first = len(ids) % 2048 or 2048
+        cuts = [0, *range(first, len(ids) + 1, 2048)]
+        want += [(i or -1, k, a, b - a, crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    assert sorted((r.doc_id or -1, r.piece, r.start, r.length, r.ids_crc32) for r in got) == sorted(want)
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in by.values():
+        end = 0
+        for offset, length in sorted(own):
+            assert offset == end
+            end += length
+        assert end <= 2048
+
+
+def test_plan_is_close_to_the_bound():
+    rng = np.random.default_rng(1)
+    lengths = rng.integers(1, 1200, 20_000)
+    h = dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True))))
+    plan = packing.best_plan(h)
+    used = {}
+    for content, n in plan:
+        assert sum(content) <= 2048
+        for x in content:
+            used[x] = used.get(x, 0) + n
+    assert used == h and sum(n for _, n in plan) <= 1.01 * -(-int(lengths.sum()) // 2048) + 1
+
+
+def test_html():
+    page = '<body><nav><a href=x>Menu</a></nav><div class="sidebar"><p>Side, with commas, and words that go on for quite a while.</p></div><div><h2>Title</h2><p>First &amp; long paragraph, with commas, and enough words to be scored.<p>Second&nbsp;one, with\n white   space, and more words to score it.</div><div id="comments"><p>A reader says, loudly, that this is a comment of some length.</p></div><footer>(c)</footer>'
+    assert html.main_text(page) == "Title\nFirst & long paragraph, with commas, and enough words to be scored.\nSecond one, with white space, and more words to score it."
+    assert html.main_text("") == "" and html.main_text("<p>x") == "x" and html.main_text("<script>a</script>") == ""
+
+
+def test_html_rows(spark):
+    pages = spark.createDataFrame([(1, "u", "<p>Hello", "t"), (2, None, None, "t"), (2, None, None, "t")], "page_id long, url string, html string, text string")
+    assert sorted((r.page_id, r.text, r.n_chars) for r in html.extract(pages).collect()) == [(1, "Hello", 5), (2, "", 0), (2, "", 0)]
+
+
+def test_passages(spark):
+    common, a, b = prose(70), prose(100), prose(100)
+    words = common.split()
+    fuzzy = " ".join(words[:30] + ["changed"] + words[31:])
+    df = spark.createDataFrame([(1, a + " " + common), (2, common + " " + b), (3, prose(90) + " " + fuzzy + " " + prose(20)), (4, prose(200)), (5, None), (None, common), (6, a[:50])], "doc_id long, text string")
+    got = {r.doc_id: r for r in passages.shared_passages(df).collect()}
+    assert set(got) == {2, 3} and got[2].partner_id == got[3].partner_id == 1
+    assert (got[2].start, got[2].end, got[2].partner_start) == (0, 70, 100) and got[3].end - got[3].start == 70 and got[3].n_equal == 69
+    assert passages.shared_passages(df.limit(0)).count() == 0
+
+
+PII = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def brute_pii(t):
+    def holds(kind, v):
+        d = [int(c) for c in v if c.isdigit()]
+        luhn = sum(x if k % 2 == 0 else (2 * x - 9 if 2 * x > 9 else 2 * x) for k, x in enumerate(reversed(d))) % 10 == 0
+        return {"email": True, "ip": kind == "ip" and all(int(p) <= 255 for p in v.split(".")), "card": 13 <= len(d) <= 19 and luhn, "phone": 9 <= len(d) <= 15}[kind]
+
+    return ",".join(f"{k}:{m.start()}:{m.end()}" for k, r in PII.items() for m in re.finditer(r, t) if holds(k, m.group(0)))
+
+
+def test_pii(spark):
+    texts = ["x@y.z_w@q.r a@b.c@d.e 1.2.3.4.5.6.7.8 300.1.1.1 +1 (988) 555-2485, 4111 1111 1111 1111, é😀 a.b@c.d.", "", None, "aaaa@", "+1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6", "4111-1111-1111-1112 000.1.1.1", "z" * 20_000 + "@x.y", " ".join(["q@w.er"] * 50)]
+    df = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id long, text string, h int")
+    for r in pii.find(df).collect():
+        want = brute_pii(text(texts[r.doc_id]))
+        assert r.base_sha256 == hashlib.sha256(want.encode()).hexdigest() and r.spans.startswith(want)
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert clean[1] == "" and clean[2] is None and clean[6] == "[EMAIL]" and "@b.c" not in clean[0]
+
+
+def test_pii_terms(spark):
+    rows = [(i, f"filler{i} Ask Zorblax Quimby at zq@example.com for item{i} and text") for i in range(20)] + [(100 + i, f"plain text {i} Ask at for and item here") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert "Zorblax" not in clean[3] and "Ask" in clean[3] and clean[103] == rows[23][1]
+
+
+def test_pieces(docs):
+    path = tokenizers.path("piece_bpe_32k.model")
+    a, b = (sorted((r.doc_id or -1, r.n_pieces, r.ids_crc32) for r in pieces.round_trip(d, path).collect()) for d in (docs, docs.coalesce(1)))
+    assert a == b
+    assert all(r.lossless for r in pieces.round_trip(docs, path).collect())
+    v = pieces.vocabulary(path)
+    word = "▁the".encode()
+    draws = pieces._mix(np.arange(50_000, dtype=np.uint64) * pieces.BASE + np.uint64(7))
+    flat, n = pieces.Lattice([b"\xe2\x96\x81zz", word], v, 1.0).sample(np.full(50_000, 1), draws)
+    ends = np.concatenate(([0], np.cumsum(n)))
+    whole = np.mean([flat[ends[k] : ends[k + 1]].tolist() == [v.text.index(word)] for k in range(50_000)])
+    ways: dict[int, float] = {0: 0.0}  # log mass by end
+    for e in range(1, len(word) + 1):
+        terms = [ways[s] + v.weight[i] for s in range(e) for i, t in enumerate(v.text) if t == word[s:e] and v.weight[i] > -np.inf and not (s and v.marked[i])]
+        ways[e] = float(np.logaddexp.reduce(terms))
+    assert abs(whole - np.exp(v.weight[v.text.index(word)] - ways[len(word)])) < 0.01
+
+
+def test_licenses(spark):
+    texts = ["Licensed under the Apache License, Version 2.0.", "MIT License! the mit\nlicense", "GNU General Public License version 3", "nothing here", None, "", "É mit LICENSEE", "general public license " * 200, "All rights reserved"]
+    df = spark.createDataFrame([(i, t, "c") for i, t in enumerate(texts)], "doc_id long, text string, labels string")
+    got = {r.doc_id: r for r in licenses.scan(df).collect()}
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for i, t in enumerate(texts):
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text(t).translate(low))
+        at = [(k, label) for p, label in licenses.BASE for k in range(len(w)) if w[k : k + len(p.split())] == p.split()]
+        r = got[i]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == (len(w), len(at), min((k for k, _ in at), default=None), max((k for k, _ in at), default=None), ",".join(sorted({x for _, x in at})))
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) or not r.base_labels
+    assert got[0].labels == "apache,apache-2.0" and "gpl-3.0" in got[2].labels and got[8].labels == "proprietary" and got[3].score == 0.0
+    assert len(licenses.rules()) > 200
+
+
+def test_empty_tables(docs, labels):
+    none = docs.limit(0)
+    assert exact.exact_duplicates(none).count() == exact.deduplicate(none).count() == pii.find(none).count() == licenses.scan(none).count() == 0
+    assert packing.pack(none, tokenizers.path("byte_bpe_50k.json")).count() == toxicity.toxicity(none, labels).count() == 0
+
+
+def test_pipeline(spark):
+    import corpus_pipeline
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        new = stage(spark, docs, folder)
+        assert new.columns == columns and new.count() <= docs.count()
+        docs = new.cache()
+    assert docs.where(F.col("n_chars") != F.length("text")).count() == 0
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
+    assert packed.select("doc_id").distinct().count() == docs.count()
