@@ -22,7 +22,8 @@ MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 @dataclass(frozen=True)
 class Settings:
     """bits: size of the hash space. max_rows: bound on the labelled rows that training uses (those with the least hash of their id).
-    shard_rows: rows that one task trains on; shards are averaged after each round."""
+    shard_rows: rows that one task trains on; shards are averaged after each round. tell: places with less |z| than that, which l1 is far
+    from letting live, are not told to the others."""
 
     bits: int = 20
     alpha: float = 1.0
@@ -31,6 +32,7 @@ class Settings:
     l2: float = 1.0
     epochs: int = 2
     rounds: int = 2
+    tell: float = 1.0
     max_rows: int = 65_536
     shard_rows: int = 8_192
 
@@ -97,29 +99,33 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col:
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(s.bits)
         for x in batches:
-            found = [np.unique(np.append(hasher.features(hasher.words(t))[0], size)) for t in x.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([x.column("doc_id"), x.column("y"), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "y", "at"])
+            found = [np.unique(np.append(hasher.features(hasher.words(t))[0], size)).astype(np.int32) for t in x.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([x.column("doc_id"), x.column("y"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "y", "at"])
 
     texts = id_text(docs, id_col, text_col).join(F.broadcast(known), "doc_id")
-    featured = texts.mapInArrow(places, "doc_id long, y int, at array<long>")
-    featured = cut(featured.repartition(shards, F.pmod(F.xxhash64("doc_id"), F.lit(shards))), "features")
+    featured = cut(texts.mapInArrow(places, "doc_id long, y int, at array<int>"), "features")
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     sc = docs.sparkSession.sparkContext
     for _ in range(s.rounds):
-        start = sc.broadcast((z, n))  # of fixed size
+        at = np.nonzero(n)[0]
+        start = sc.broadcast((at, z[at], n[at]))  # of bound size
 
         def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             examples = []
             for x in batches:
-                examples += [(i, np.array(a, np.int64), y) for i, y, a in zip(*(c.to_pylist() for c in x.columns))]
+                flat, ends = x.column("at").flatten().to_numpy(), x.column("at").offsets.to_numpy()
+                ends = ends - ends[0]
+                examples += [(i, flat[ends[k] : ends[k + 1]].copy(), y) for k, (i, y) in enumerate(zip(x.column("doc_id").to_pylist(), x.column("y").to_pylist()))]
             examples.sort(key=lambda e: (crc32(str(e[0]).encode()), e[0], e[2], len(e[1])))
-            own_z, own_n = (v.copy() for v in start.value)
+            own_z, own_n = np.zeros(size + 1), np.zeros(size + 1)
+            own_z[start.value[0]], own_n[start.value[0]] = start.value[1:]
             ftrl([(a, y) for _, a, y in examples], s, own_z, own_n)
-            at = np.nonzero(own_n)[0]
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(own_z[at]), pa.array(own_n[at])], ["at", "z", "n"])
+            told = np.nonzero(np.abs(own_z) >= s.tell)[0]
+            yield pa.RecordBatch.from_arrays([pa.array(told), pa.array(own_z[told]), pa.array(own_n[told])], ["at", "z", "n"])
 
         parts = featured.repartition(shards, F.pmod(F.xxhash64("doc_id"), F.lit(shards))).mapInArrow(shard, "at long, z double, n double")
         mean = parts.groupBy("at").agg((F.sum("z") / shards).alias("z"), (F.sum("n") / shards).alias("n")).toPandas()  # 2**bits + 1 rows at most
+        z[:], n[:] = 0.0, 0.0
         z[mean["at"]], n[mean["at"]] = mean["z"], mean["n"]
     return weights(z, n, s)
 
