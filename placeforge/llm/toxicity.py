@@ -22,8 +22,8 @@ MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 @dataclass(frozen=True)
 class Settings:
     """bits: size of the hash space. max_rows: bound on the labelled rows that training uses (those with the least hash of their id).
-    shard_rows: rows that one task trains on; shards are averaged after each round. tell: places with less |z| than that, which l1 is far
-    from letting live, are not told to the others."""
+    shard_rows: rows that one task trains on; shards are averaged after each round. tell: places with less |z| than that, half of l1, are far
+    from a weight and are not told to the others."""
 
     bits: int = 20
     alpha: float = 1.0
@@ -32,7 +32,7 @@ class Settings:
     l2: float = 1.0
     epochs: int = 2
     rounds: int = 2
-    tell: float = 1.0
+    tell: float = 3.0
     max_rows: int = 65_536
     shard_rows: int = 8_192
 
