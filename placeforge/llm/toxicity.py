@@ -96,14 +96,7 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col:
         return np.zeros(size + 1)
     shards = -(-rows // s.shard_rows)
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher(s.bits)
-        for x in batches:
-            found = [np.unique(np.append(hasher.features(hasher.words(t))[0], size)).astype(np.int32) for t in x.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([x.column("doc_id"), x.column("y"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "y", "at"])
-
-    texts = id_text(docs, id_col, text_col).join(F.broadcast(known), "doc_id")
-    featured = cut(texts.mapInArrow(places, "doc_id long, y int, at array<int>"), "features")
+    texts = cut(id_text(docs, id_col, text_col).join(F.broadcast(known), "doc_id"), "labelled-texts")  # half the size of their features
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     sc = docs.sparkSession.sparkContext
     for _ in range(s.rounds):
@@ -111,11 +104,11 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col:
         start = sc.broadcast((at, z[at], n[at]))  # of bound size
 
         def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            examples = []
+            hasher, examples = Hasher(s.bits), []
             for x in batches:
-                flat, ends = x.column("at").flatten().to_numpy(), x.column("at").offsets.to_numpy()
-                ends = ends - ends[0]
-                examples += [(i, flat[ends[k] : ends[k + 1]].copy(), y) for k, (i, y) in enumerate(zip(x.column("doc_id").to_pylist(), x.column("y").to_pylist()))]
+                for i, y, t in zip(x.column("doc_id").to_pylist(), x.column("y").to_pylist(), x.column("text")):
+                    at = hasher.features(hasher.words(t.as_py()))[0]
+                    examples.append((i, np.unique(np.append(at, size)).astype(np.int32), y))
             examples.sort(key=lambda e: (crc32(str(e[0]).encode()), e[0], e[2], len(e[1])))
             own_z, own_n = np.zeros(size + 1), np.zeros(size + 1)
             own_z[start.value[0]], own_n[start.value[0]] = start.value[1:]
@@ -123,7 +116,7 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col:
             told = np.nonzero(np.abs(own_z) >= s.tell)[0]
             yield pa.RecordBatch.from_arrays([pa.array(told), pa.array(own_z[told]), pa.array(own_n[told])], ["at", "z", "n"])
 
-        parts = featured.repartition(shards, F.pmod(F.xxhash64("doc_id"), F.lit(shards))).mapInArrow(shard, "at long, z double, n double")
+        parts = texts.repartition(shards, F.pmod(F.xxhash64("doc_id"), F.lit(shards))).mapInArrow(shard, "at long, z double, n double")
         mean = parts.groupBy("at").agg((F.sum("z") / shards).alias("z"), (F.sum("n") / shards).alias("n")).toPandas()  # 2**bits + 1 rows at most
         z[:], n[:] = 0.0, 0.0
         z[mean["at"]], n[mean["at"]] = mean["z"], mean["n"]
