@@ -7,6 +7,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +16,10 @@ from placeforge.llm.common import id_text
 BLANK = "▁".encode()
 BASE = np.uint64(0x9E3779B97F4A7C15)
 STEPS = np.arange(4096, dtype=np.uint64) * BASE
-#: Words whose lattices are worked on together.
-WORDS = 200_000
+#: Words that are drawn together, bytes of texts that are split together, and words whose lattices are built together.
+WORDS, BYTES, BLOCK = 200_000, 1 << 24, 4096
+#: Words that keep their lattices in a worker.
+KEPT = 50_000
 _VOCABULARIES: dict[str, Vocabulary] = {}
 
 
@@ -39,7 +42,7 @@ class Vocabulary:
         bpe = all(s == round(s) for s in scores[plain])
         self.weight = np.full(n, -np.inf)
         self.weight[plain] = -np.log(2 - scores[plain]) if bpe else scores[plain]
-        self.byte = np.zeros(256, np.int64)
+        self.byte = np.zeros(256, np.int32)
         for i, k in enumerate(kind):
             if k == 2:
                 self.byte[self.text[i][0]] = i
@@ -52,7 +55,7 @@ class Vocabulary:
                 prefix.setdefault(h, -1)
             prefix[h] = i
         self.hash = np.array(sorted(prefix), np.uint64)
-        self.piece = np.array([prefix[h] for h in self.hash.tolist()], np.int64)
+        self.piece = np.array([prefix[h] for h in self.hash.tolist()], np.int32)
         top = (self.hash >> np.uint64(44)).astype(np.int64)  # hashes with the same first 20 bits lie together
         self.start = np.searchsorted(top, np.arange((1 << 20) + 1)).astype(np.int32)
         self.widest = int(np.bincount(top).max(initial=1))
@@ -62,7 +65,7 @@ class Vocabulary:
         self.shown = np.frombuffer(b"".join(shown), np.uint8)
         self.shown_size = np.array([len(t) for t in shown])
         self.shown_at = np.concatenate(([0], np.cumsum(self.shown_size)[:-1]))
-        self.common: tuple[dict[bytes, int], Lattice, float] | None = None
+        self.common: dict[float, tuple[dict[bytes, int], Lattice | None]] = {}
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places in h of strings that pieces start with, and the piece each is, -1 for none."""
@@ -92,16 +95,19 @@ class Lattice:
     def __init__(self, words: list[bytes], v: Vocabulary, alpha: float):
         size = np.fromiter(map(len, words), np.int64, len(words))
         text = np.frombuffer(b"".join(words), np.uint8)
-        owner = np.repeat(np.arange(len(words)), size)
-        at = np.arange(len(text))
+        nodes, longest = len(text) + len(words), int(size.max())
+        number = np.int32 if nodes < 1 << 31 else np.int64
+        owner = np.repeat(np.arange(len(words), dtype=number), size)
+        at = np.arange(len(text), dtype=number)
         self.first = np.concatenate(([0], np.cumsum(size + 1)[:-1]))
         self.last = self.first + size
-        end_of = np.cumsum(size)[owner]
-        depth_at = at - (np.cumsum(size) - size)[owner]  # bytes of the word before each byte
+        stop = np.cumsum(size)
+        end_of = stop.astype(number)[owner]
+        depth_at = at - (stop - size).astype(number)[owner]  # bytes of the word before each byte
         inner_mark = (text == BLANK[0]) & (depth_at > 0)
-        places, lengths, ids = [at], [np.zeros(len(at), np.int64)], [v.byte[text]]  # length 0: a byte piece
+        places, lengths, ids = [at], [np.zeros(len(at), number)], [v.byte[text]]  # length 0: a byte piece
         active, h, left = at, np.zeros(len(at), np.uint64), end_of - at
-        for length in range(1, int(size.max()) + 1):
+        for length in range(1, longest + 1):
             if length > 1:
                 inside = left[active] >= length
                 active, h = active[inside], h[inside]
@@ -113,28 +119,31 @@ class Lattice:
             whole = np.nonzero(piece >= 0)[0]
             whole = whole[~(inner_mark[active[whole]] & v.marked[piece[whole]])]
             places.append(active[whole])
-            lengths.append(np.full(len(whole), length))
+            lengths.append(np.full(len(whole), length, number))
             ids.append(piece[whole])
         place, length, piece = np.concatenate(places), np.concatenate(lengths), np.concatenate(ids)
         span = np.maximum(length, 1)
         depth = depth_at[place] + span
         start = place + owner[place]
         end = start + span
-        order = np.argsort(((depth * (len(text) + len(words)) + end) << 7) + np.minimum(length, 127))  # no two are the same
+        wide = np.int32 if (longest + 1) * nodes < 1 << 24 else np.int64
+        order = np.argsort(((depth.astype(wide) * nodes + end) << 7) + np.minimum(length, 127))  # no two are the same
         start, end, piece, depth = start[order], end[order], piece[order], depth[order]
         weight = alpha * v.weight[piece]
         new = np.append(True, end[1:] != end[:-1])
         group_at = np.nonzero(new)[0]
         group = np.cumsum(new) - 1
-        mass = np.zeros(len(text) + len(words))
-        value = np.empty(len(end))
+        mass = np.zeros(nodes)
+        share = np.empty(len(end))
         borders = np.searchsorted(depth, np.arange(1, int(depth[-1]) + 2))
         for a, b in zip(borders, borders[1:]):  # a byte further in all words at once
             g = group_at[group[a] : group[b - 1] + 1] - a
-            x = value[a:b] = mass[start[a:b]] + weight[a:b]
-            top = np.maximum.reduceat(x, g)
-            mass[end[a:b][g]] = top + np.log(np.add.reduceat(np.exp(x - top[group[a:b] - group[a]]), g))
-        share = np.exp(value - mass[end])
+            x = mass[start[a:b]] + weight[a:b]
+            top, own = np.maximum.reduceat(x, g), group[a:b] - group[a]
+            x = np.exp(x - top[own])
+            total = np.add.reduceat(x, g)
+            mass[end[a:b][g]] = top + np.log(total)
+            share[a:b] = x / total[own]
         rank = np.arange(len(end)) - group_at[group]
         later = np.nonzero(rank)[0]
         for r in range(1, int(rank.max()) + 1):
@@ -142,12 +151,41 @@ class Lattice:
             share[now] += share[now - 1]
         share[np.append(group_at[1:], len(end)) - 1] = 1.0  # the last edge takes what rounding leaves
         self.key = (group.astype(np.int64) << 32) + np.rint(np.minimum(share, 1.0) * 2.0**32).astype(np.int64)
-        self.before, self.piece = start, piece
+        self.before, self.piece, self.groups = start, piece, len(group_at)
         self.group = np.zeros(len(mass), np.int64)
         self.group[end[group_at]] = np.arange(len(group_at))
 
+    @staticmethod
+    def of(words: list[bytes], v: Vocabulary, alpha: float) -> Lattice:
+        """The lattices of many words, built in blocks that the processor's cache holds."""
+        return Lattice.join([Lattice(words[k : k + BLOCK], v, alpha) for k in range(0, len(words), BLOCK)])
+
+    @staticmethod
+    def join(parts: list[Lattice]) -> Lattice:
+        """One after the other; the words of each are numbered on."""
+        if len(parts) == 1:
+            return parts[0]
+        nodes = np.cumsum([0, *(len(p.group) for p in parts)])
+        groups = np.cumsum([0, *(p.groups for p in parts)])
+        out = Lattice.__new__(Lattice)
+        out.first, out.last, out.before = (np.concatenate([getattr(p, name) + n for p, n in zip(parts, nodes)]) for name in ("first", "last", "before"))
+        out.group = np.concatenate([p.group + g for p, g in zip(parts, groups)])
+        out.key = np.concatenate([p.key + (int(g) << 32) for p, g in zip(parts, groups)])
+        out.piece = np.concatenate([p.piece for p in parts])
+        out.groups = int(groups[-1])
+        return out
+
     def sample(self, word: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For draws of words with a seed each: pieces from first to last, one draw after the other, and their number in each."""
+        steps, count = self.steps(word, seed)
+        last = np.cumsum(count) - 1
+        out = np.empty(int(count.sum()), np.int32)
+        for k, (who, piece) in enumerate(steps):
+            out[last[who] - k] = piece
+        return out, count
+
+    def steps(self, word: np.ndarray, seed: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+        """For draws of words with a seed each: steps from the last piece to the first (draws, pieces), and the number of pieces."""
         node, first, who = self.last[word], self.first[word], np.arange(len(word))
         count, steps = np.zeros(len(word), np.int64), []
         step = 0
@@ -160,11 +198,7 @@ class Lattice:
             more = node != first
             node, first, who = node[more], first[more], who[more]
             step += 1
-        out = np.empty(int(count.sum()), np.int32)
-        stop = np.cumsum(count)
-        for k, (who, piece) in enumerate(steps):
-            out[stop[who] - 1 - k] = piece
-        return out, count
+        return steps, count
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -174,58 +208,63 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
+def draw(words: pa.LargeBinaryArray, seed: np.ndarray, v: Vocabulary, alpha: float) -> tuple[np.ndarray, np.ndarray]:
+    """Sampled pieces of words with a seed each, one word after the other, and their number in each."""
+    coded = words.dictionary_encode()
+    given, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    common, kept = v.common.get(alpha, ({}, None))
+    number = np.array([common.get(w, -1) for w in given], np.int64)
+    rare = np.nonzero(number < 0)[0]
+    new = [BLANK + given[k] for k in rare.tolist()]
+    word = number[index]
+    drawn = []
+    if len(rare) < len(given):
+        who = np.nonzero(word >= 0)[0]
+        drawn.append((who, *kept.steps(word[who], seed[who])))
+    if new:
+        number[rare] = np.arange(len(rare))
+        who = np.nonzero(word < 0)[0]
+        drawn.append((who, *Lattice.of(new, v, alpha).steps(number[index[who]], seed[who])))
+    count = np.empty(len(word), np.int64)
+    for who, _, n in drawn:
+        count[who] = n
+    last = np.cumsum(count) - 1
+    out = np.empty(int(last[-1]) + 1, np.int32)
+    for who, steps, _ in drawn:
+        at = last[who]
+        for k, (some, piece) in enumerate(steps):
+            out[at[some] - k] = piece
+    if new and len(common) < KEPT:  # words that come again keep their lattices
+        again = rare[np.bincount(index, minlength=len(given))[rare] > 1][: KEPT - len(common)].tolist()
+        if again:
+            more = Lattice.of([BLANK + given[k] for k in again], v, alpha)
+            v.common[alpha] = common | {given[k]: len(common) + i for i, k in enumerate(again)}, Lattice.join([kept, more] if kept else [more])
+    return out, count
+
+
 def encode_batch(texts: list[bytes], seeds: np.ndarray, v: Vocabulary, alpha: float) -> list[np.ndarray]:
     """Sampled pieces of each text. A text is its words, each behind a mark for the blank before it; the first has one, too."""
-    out: list[list[np.ndarray]] = [[] for _ in texts]
-    known: dict[bytes, int] = {}
-    todo: list[tuple[int, np.ndarray, np.ndarray]] = []
-    waiting = 0
-
-    def flush() -> None:
-        nonlocal waiting
-        if todo:
-            word, seed = np.concatenate([w for _, w, _ in todo]), np.concatenate([s for _, _, s in todo])
-            own = [(np.nonzero(word >= 0)[0], Lattice(list(known), v, alpha), word)] if known else []
-            if v.common is not None and (word < 0).any():
-                own.append((np.nonzero(word < 0)[0], v.common[1], -1 - word))
-            parts, count = [], np.zeros(len(word), np.int64)
-            for who, lattice, number in own:
-                pieces, n = lattice.sample(number[who], seed[who])
-                count[who] = n
-                parts.append((who, pieces, n))
-            ends = np.concatenate(([0], np.cumsum(count)))
-            flat = np.empty(ends[-1], np.int32)
-            for who, pieces, n in parts:
-                flat[np.repeat(ends[who] - (np.cumsum(n) - n), n) + np.arange(len(pieces))] = pieces
-            at = 0
-            for i, w, _ in todo:
-                out[i].append(flat[ends[at] : ends[at + len(w)]])
-                at += len(w)
-            if v.common is None or v.common[2] != alpha:  # words that came often at first keep their lattices
-                seen = np.bincount(word[word >= 0], minlength=len(known))
-                often = [w for w, n in zip(known, seen.tolist()) if n > 2]
-                if often:
-                    v.common = {w: -1 - k for k, w in enumerate(often)}, Lattice(often, v, alpha), alpha
-        todo.clear()
-        known.clear()
-        waiting = 0
-
-    for i, text in enumerate(texts):
-        words = text.split(b" ")
+    out: list[np.ndarray] = []
+    while len(out) < len(texts):
+        a = b = len(out)
+        size = 0
+        while b < len(texts) and (b == a or size + len(texts[b]) <= BYTES):
+            size += len(texts[b])
+            b += 1
+        split = pc.split_pattern(pa.array(texts[a:b], pa.large_binary()), b" ")
+        stop = np.cumsum(pc.list_value_length(split).to_numpy())
+        begin = np.concatenate(([0], stop[:-1]))
+        words, own, total, drawn = split.flatten(), seeds[a:b], np.zeros(b - a, np.int64), []
         for k in range(0, len(words), WORDS):
-            part = []
-            common = v.common[0] if v.common is not None and v.common[2] == alpha else {}
-            for w in words[k : k + WORDS]:
-                w = BLANK + w
-                n = common.get(w)
-                part.append(known.setdefault(w, len(known)) if n is None else n)
-            number = np.arange(k, k + len(part), dtype=np.uint64)
-            todo.append((i, np.array(part, np.int64), _mix(np.uint64(seeds[i]) + (number + np.uint64(1)) * np.uint64(0xD1342543DE82EF95))))
-            waiting += len(part)
-            if waiting >= WORDS:
-                flush()
-    flush()
-    return [np.concatenate(o) for o in out]
+            part = words[k : k + WORDS]
+            at = np.arange(k, k + len(part))
+            text = np.searchsorted(stop, at, side="right")
+            number = (at - begin[text]).astype(np.uint64)
+            pieces, n = draw(part, _mix(own[text] + (number + np.uint64(1)) * np.uint64(0xD1342543DE82EF95)), v, alpha)
+            drawn.append(pieces)
+            total[text[0] : text[-1] + 1] += np.add.reduceat(n, np.searchsorted(text, np.arange(text[0], text[-1] + 1)))
+        out += np.split(np.concatenate(drawn), np.cumsum(total)[:-1])
+    return out
 
 
 def decode(ids: np.ndarray, v: Vocabulary) -> bytes:
