@@ -23,7 +23,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts whose fingerprints hang together the one with the smallest doc_id stays."""
+    """Of texts that hang together by a similarity of 0.8 the one with the smallest doc_id stays."""
     return simhash.deduplicate(docs)
 
 

@@ -1,4 +1,4 @@
-"""SimHash fingerprints and exact near-duplicate links within a Hamming radius, compared on vertical bit planes."""
+"""SimHash fingerprints and exact near-duplicate links within a Hamming radius, compared on vertical bit planes; near copies by shingles."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeforge.llm.common import cut, drop_rows, id_text
+from placeforge.llm.common import cut, drop_rows, groups, id_text
 from placeforge.llm.graph import components
 
 #: Fingerprints in a tile of a bucket; larger buckets are split into tiles that are compared pair by pair.
@@ -184,8 +184,161 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, id_col:
     return _named(docs, shingle, radius, id_col, text_col).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def deduplicate(docs: DataFrame, shingle: int = 5, radius: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with all its columns, one row of each component: the one with the smallest doc_id."""
-    named = _named(docs, shingle, radius, id_col, text_col)
-    named = cut(named.select("doc_id", "h", F.col("root").alias("group"), F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")), "named")
+#: Blocks of the second fingerprint (least hashes of a text's shingles) and the least hashes that make up one.
+BLOCKS, DEPTH = 12, 4
+#: Bits of 64 that may differ between candidates: at a similarity of 0.8 ten do, with a deviation of three.
+REACH = 20
+#: Shingles in a tile of candidates that are compared exactly; larger groups are split into tiles that are compared pair by pair.
+SHINGLES = 500_000
+_SALTS = np.random.default_rng(42).integers(0, 1 << 64, (2, BLOCKS * DEPTH), np.uint64) | np.array([[0], [1]], np.uint64)
+
+
+def shingles(text: bytes, size: int = 5) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles; a text of fewer words is one shingle, also one without any."""
+    words = text.lower().split()
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(b" ".join(words[i : i + size]), 42) for i in range(max(1, len(words) - size + 1))], np.uint64))
+
+
+def sketch(h: np.ndarray) -> tuple[int, np.ndarray]:
+    """SimHash of distinct shingles, and BLOCKS keys. Texts of similarity 0.8 agree on a key with a chance of 0.998."""
+    ones, least = np.zeros(64, np.int64), np.full(BLOCKS * DEPTH, ~np.uint64(0))
+    for k in range(0, len(h), 4096):
+        part = h[k : k + 4096]
+        ones += np.unpackbits(part.view(np.uint8)).reshape(-1, 64).sum(axis=0, dtype=np.int64)
+        np.minimum(least, ((part ^ _SALTS[0][:, None]) * _SALTS[1][:, None]).min(axis=1), out=least)
+    keys = np.zeros(BLOCKS, np.uint64)
+    for column in least.reshape(BLOCKS, DEPTH).T:
+        keys = (keys ^ column) * np.uint64(0x9E3779B97F4A7C15)
+        keys ^= keys >> np.uint64(29)
+    return int(np.packbits(2 * ones > len(h)).view("<u8")[0]), keys
+
+
+def candidate_links(nodes: DataFrame, tile: int = TILE) -> DataFrame:
+    """Nodes (h, fp, keys) to links (a, b) of h that connect all that agree on a key and differ in REACH bits at most."""
+    keyed = nodes.select("h", "fp", F.posexplode("keys").alias("t", "key"))
+    sizes = keyed.groupBy("t", "key").count().where("count > 1")
+    tiled = keyed.join(sizes, ["t", "key"]).withColumn("tiles", F.ceil(F.col("count") / tile).cast("int")).withColumn("own", F.pmod(F.xxhash64("h", "t"), F.col("tiles")).cast("int"))
+    tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).where("tiles = 1 or own <> other")
+    tiled = tiled.select("t", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp", "h")
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tiled = tiled.repartition(parts, "t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j", "h")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b, told = [], [], 0
+        for g in groups(batches, 4):
+            fps = np.ascontiguousarray(g[:, 4]).view(np.uint64)
+            if len(g) == 2:
+                label = np.array([0, 0 if int(fps[0] ^ fps[1]).bit_count() <= REACH else 1])
+            else:
+                label = _forest(len(fps), near_pairs(fps, fps, REACH))
+            moved = np.nonzero(label != np.arange(len(fps)))[0]
+            a.append(g[moved, 5])
+            b.append(g[label[moved], 5])
+            told += len(moved)
+            if told > 50_000:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+                a, b, told = [], [], 0
+        if told:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+    return tiled.mapInArrow(run, "a long, b long").distinct()
+
+
+def similar(sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """The smallest index that each of the sets hangs together with by steps of at least `similarity` (Jaccard), exactly.
+
+    Sets are passed over breadth first; one that is reached is not compared with others that were reached before.
+    """
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    ends = np.cumsum(size)
+    flat, number = np.unique(np.concatenate(sets), return_inverse=True)
+    holders = np.repeat(np.arange(len(sets)), size)[np.argsort(number, kind="stable")]
+    many = np.bincount(number, minlength=len(flat))
+    first = np.cumsum(many) - many
+    label, open_ = np.arange(len(sets)), np.ones(len(sets), bool)
+    for root in range(len(sets)):
+        if not open_[root]:
+            continue
+        open_[root] = False
+        todo = [root]
+        while todo and open_.any():
+            i = todo.pop()
+            own = number[ends[i] - size[i] : ends[i]]
+            n = many[own]
+            at = np.repeat(first[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            both = np.bincount(holders[at], minlength=len(sets))
+            near = np.nonzero(open_ & (both >= similarity * (size[i] + size - both) - 1e-9))[0]
+            label[near], open_[near] = root, False
+            todo.extend(near.tolist())
+    return label
+
+
+def similar_links(texts: DataFrame, nodes: DataFrame, size: int, similarity: float, limit: int = SHINGLES) -> DataFrame:
+    """texts: (h, text); nodes: (h, n, root), n shingles, candidates of one root. Links (a, b) of h: all that hang together by `similarity`."""
+    volume = nodes.groupBy("root").agg(F.ceil(F.sum("n") / limit).cast("int").alias("tiles"))
+    dealt = nodes.join(volume, "root").withColumn("own", F.pmod(F.xxhash64("h"), F.col("tiles")).cast("int"))
+
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            for at in range(0, x.num_rows, 64):
+                y = x.slice(at, 64)
+                sets = pa.array([shingles(t, size).view(np.int64) for t in y.column(4).to_pylist()], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*y.columns[:4], sets], ["h", "root", "own", "tiles", "shingles"])
+
+    rows = texts.join(dealt, "h").select("h", "root", "own", "tiles", "text").mapInArrow(cut_up, "h long, root long, own int, tiles int, shingles array<long>")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).where("tiles = 1 or own <> other")
+    rows = rows.select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "h", "shingles")
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(parts, "root", "i", "j").sortWithinPartitions("root", "i", "j", "h")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links() -> pa.RecordBatch:
+            label = similar(sets, similarity)
+            moved = np.nonzero(label != np.arange(len(sets)))[0]
+            h = np.array(names, np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(h[moved]), pa.array(h[label[moved]])], ["a", "b"])
+
+        now, names, sets = None, [], []
+        for x in batches:
+            flat, at = x.column(4).flatten().to_numpy(), x.column(4).offsets.to_numpy()
+            at = at - at[0]
+            for k, who in enumerate(zip(*(x.column(c).to_pylist() for c in range(4)))):
+                if who[:3] != now:
+                    if len(sets) > 1:
+                        yield links()
+                    now, names, sets = who[:3], [], []
+                if not names or names[-1] != who[3]:
+                    names.append(who[3])
+                    sets.append(flat[at[k] : at[k + 1]].copy())
+        if len(sets) > 1:
+            yield links()
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def deduplicate(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`docs` with all its columns, of texts that hang together by shingles of a Jaccard similarity of at least `similarity` one row: the one
+    with the smallest doc_id.
+
+    Candidates agree on a block of the second fingerprint and differ in REACH bits of the first at most; only what exact shingles prove is linked.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            sets = [shingles(t, shingle) for t in x.column(1).to_pylist()]
+            made = [sketch(h) for h in sets]
+            keys = pa.array([k.view(np.int64) for _, k in made], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([x.column(0), x.column(2), pa.array(np.array([f for f, _ in made], np.uint64).view(np.int64)), pa.array(np.array([len(h) for h in sets], np.int64)), keys], ["doc_id", "h", "fp", "n", "keys"])
+
+    own = id_text(docs, id_col, text_col, with_hash=True)
+    rows = cut(own.mapInArrow(run, "doc_id long, h long, fp long, n long, keys array<long>"), "sketches")
+    nodes = cut(rows.groupBy("h").agg(F.min("doc_id").alias("rep"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("keys").alias("keys")), "nodes")
+    near = components(candidate_links(nodes)).withColumnRenamed("node", "h")
+    near = cut(nodes.select("h", "n").join(near.unionByName(near.select(F.col("root").alias("h"), "root").distinct()), "h"), "candidates")
+    label = components(similar_links(own.select("h", "text"), near, shingle, similarity)).select(F.col("node").alias("h"), "root")
+    rooted = cut(nodes.select("h", "rep").join(label, "h", "left").select("h", "rep", F.coalesce("root", "h").alias("group")), "rooted")
+    first = rooted.groupBy("group").agg(F.min("rep").alias("least"))
+    named = rows.select("doc_id", "h").join(rooted.join(first, "group").select("h", "group", "least"), "h")
+    named = cut(named.select("doc_id", "h", "group", F.col("doc_id").eqNullSafe(F.col("least")).alias("kept")), "named")
     return drop_rows(docs, named, id_col, text_col)

@@ -114,6 +114,44 @@ def test_tiles_lose_no_link(spark):
     assert len(root) == 1
 
 
+def test_near_copies_of_low_similarity(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+
+    def jaccard(a, b):
+        x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+        return len(x & y) / len(x | y)
+
+    rows, near = [], {}
+    for i in range(300):
+        a = [word() for _ in range(rng.choice((100, 300)))]
+        b = list(a)
+        while jaccard(a, b) > rng.uniform(0.7, 0.98):
+            b[rng.randrange(len(b))] = word()
+        rows += [(2 * i, " ".join(a)), (2 * i + 1, " ".join(b))]
+        near[2 * i + 1] = jaccard(a, b) >= 0.8
+    kept = {r.doc_id for r in simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept >= {2 * i for i in range(300)} | {k for k, v in near.items() if not v}
+    assert sum(k not in kept for k, v in near.items() if v) >= 0.98 * sum(near.values())
+
+
+def test_similar_is_brute_force(spark):
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.choice(40, rng.integers(20, 40), replace=False)) for _ in range(60)]
+    root = list(range(60))
+    for _ in sets:
+        for i in range(60):
+            for j in range(60):
+                if 10 * len(np.intersect1d(sets[i], sets[j])) >= 8 * len(np.union1d(sets[i], sets[j])):
+                    root[i] = root[j] = min(root[i], root[j])
+    assert simhash.similar(sets, 0.8).tolist() == root
+    texts = [" ".join(f"w{x}" for x in s) for s in sets]
+    nodes = spark.createDataFrame([(i, len(s), 0) for i, s in enumerate(sets)], "h long, n long, root long")
+    links = simhash.similar_links(spark.createDataFrame(list(enumerate(t.encode() for t in texts)), "h long, text binary"), nodes, 1, 0.8, limit=400)
+    tiled = {r.node: r.root for r in graph.components(links).collect()}
+    assert [tiled.get(i, i) for i in range(60)] == root
+
+
 def test_quality(docs, labels):
     got = quality.quality(docs, labels).collect()
     assert len(got) == len(TEXTS)
