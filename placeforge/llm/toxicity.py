@@ -22,8 +22,8 @@ MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 @dataclass(frozen=True)
 class Settings:
     """bits: size of the hash space. max_rows: bound on the labelled rows that training uses (those with the least hash of their id).
-    shard_rows: rows that one task trains on; shards are averaged after each round. tell: places with less |z| than that, half of l1, are far
-    from a weight and are not told to the others."""
+    shard_rows: rows that one shard trains on; the states of the shards are averaged after each round, whole and before l1 is applied.
+    block: bits of the places whose state is told in one row."""
 
     bits: int = 20
     alpha: float = 1.0
@@ -32,7 +32,7 @@ class Settings:
     l2: float = 1.0
     epochs: int = 2
     rounds: int = 2
-    tell: float = 3.0
+    block: int = 14
     max_rows: int = 65_536
     shard_rows: int = 8_192
 
@@ -85,7 +85,8 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col:
     """Weights over the hash space; place 2**bits holds the bias.
 
     labels: rows (id, label); of repeated ids the largest label counts, null ids and labels don't. Each shard of the rows is passed over
-    by one task, the states are averaged, and the next round goes on from the mean. With no labelled row all weights are zero.
+    on its own, whatever task it is in; the states are averaged over the shards that have rows, and the next round goes on from the mean. With
+    no labelled row all weights are zero.
     """
     size = 1 << s.bits
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.max(F.col(label_col).cast("int")).alias("y"))
@@ -94,7 +95,7 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col:
     rows = known.count()
     if not rows:
         return np.zeros(size + 1)
-    shards = -(-rows // s.shard_rows)
+    shards, blocks = -(-rows // s.shard_rows), (size >> s.block) + 1
 
     texts = cut(id_text(docs, id_col, text_col).join(F.broadcast(known), "doc_id"), "labelled-texts")  # half the size of their features
     z, n = np.zeros(size + 1), np.zeros(size + 1)
@@ -104,22 +105,43 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col:
         start = sc.broadcast((at, z[at], n[at]))  # of bound size
 
         def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hasher, examples = Hasher(s.bits), []
+            hasher, held = Hasher(s.bits), {}
             for x in batches:
-                for i, y, t in zip(x.column("doc_id").to_pylist(), x.column("y").to_pylist(), x.column("text")):
+                for i, y, k, t in zip(x.column("doc_id").to_pylist(), x.column("y").to_pylist(), x.column("shard").to_pylist(), x.column("text")):
                     at = hasher.features(hasher.words(t.as_py()))[0]
-                    examples.append((i, np.unique(np.append(at, size)).astype(np.int32), y))
-            examples.sort(key=lambda e: (crc32(str(e[0]).encode()), e[0], e[2], len(e[1])))
-            own_z, own_n = np.zeros(size + 1), np.zeros(size + 1)
-            own_z[start.value[0]], own_n[start.value[0]] = start.value[1:]
-            ftrl([(a, y) for _, a, y in examples], s, own_z, own_n)
-            told = np.nonzero(np.abs(own_z) >= s.tell)[0]
-            yield pa.RecordBatch.from_arrays([pa.array(told), pa.array(own_z[told]), pa.array(own_n[told])], ["at", "z", "n"])
-
-        parts = texts.repartition(shards, F.pmod(F.xxhash64("doc_id"), F.lit(shards))).mapInArrow(shard, "at long, z double, n double")
-        mean = parts.groupBy("at").agg((F.sum("z") / shards).alias("z"), (F.sum("n") / shards).alias("n")).toPandas()  # 2**bits + 1 rows at most
+                    held.setdefault(k, []).append((i, np.unique(np.append(at, size)).astype(np.int32), y))
+            for k in sorted(held):
+                examples = sorted(held.pop(k), key=lambda e: (crc32(str(e[0]).encode()), e[0], e[2], len(e[1])))
+                own_z, own_n = np.zeros(size + 1), np.zeros(size + 1)
+                own_z[start.value[0]], own_n[start.value[0]] = start.value[1:]
+                ftrl([(a, y) for _, a, y in examples], s, own_z, own_n)
+                yield from told(((b, own_z[b << s.block : b + 1 << s.block], own_n[b << s.block : b + 1 << s.block]) for b in range(blocks)), names)
+
+        def told(states, names: list[str]) -> Iterator[pa.RecordBatch]:
+            """A row for each block: its places that any example has touched, and their z and n."""
+            for b, own_z, own_n in states:
+                at = np.nonzero(own_n)[0]
+                row = [b, at.astype(np.int32).tobytes(), own_z[at].tobytes(), own_n[at].tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names)
+
+        def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = {}
+            for x in batches:
+                for b, at, own_z, own_n in zip(*(c.to_pylist() for c in x.columns)):
+                    state = sums.setdefault(b, [np.zeros(1 << s.block), np.zeros(1 << s.block), 0])
+                    at = np.frombuffer(at, np.int32)
+                    state[0][at] += np.frombuffer(own_z)
+                    state[1][at] += np.frombuffer(own_n)
+                    state[2] += 1  # each shard that has rows tells each block
+            yield from told(((b, own_z / k, own_n / k) for b, (own_z, own_n, k) in sums.items()), names)
+
+        names, schema = ["block", "at", "z", "n"], "block int, at binary, z binary, n binary"
+        dealt = texts.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")).repartitionById(shards, F.col("shard"))
+        mean = dealt.mapInArrow(shard, schema).repartition("block").sortWithinPartitions("block", F.xxhash64("z")).mapInArrow(merge, schema).collect()  # 2**bits + 1 places at most
         z[:], n[:] = 0.0, 0.0
-        z[mean["at"]], n[mean["at"]] = mean["z"], mean["n"]
+        for b, at, own_z, own_n in mean:
+            at = np.frombuffer(at, np.int32) + (b << s.block)
+            z[at], n[at] = np.frombuffer(own_z), np.frombuffer(own_n)
     return weights(z, n, s)
 
 

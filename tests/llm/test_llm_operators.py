@@ -177,6 +177,26 @@ def test_toxicity_learns(spark):
     assert toxicity.keep_clean(df, df.select("doc_id", "toxic")).count() == sum(1 for i in range(400) if not got[i].predicted)
 
 
+@pytest.mark.parametrize("shards", [2, 3, 7])
+def test_toxicity_averages_whole_shards(spark, shards):
+    rng = random.Random(shards)
+    rows = [(i, prose(15) + (" vile nasty" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(shards * 40)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    s = toxicity.Settings(bits=12, shard_rows=40, l1=1.0)
+    hasher, size = toxicity.Hasher(s.bits), 1 << s.bits
+    dealt = {r.doc_id: r.k for r in df.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("k")).collect()}
+    z, n = np.zeros(size + 1), np.zeros(size + 1)
+    for _ in range(s.rounds):
+        states = []
+        for k in range(shards):
+            own = sorted((crc32(str(i).encode()), i, y, t) for i, t, y in rows if dealt[i] == k)
+            states.append((z.copy(), n.copy()))
+            toxicity.ftrl([(np.unique(np.append(hasher.features(hasher.words(t.encode()))[0], size)), y) for _, i, y, t in own], s, *states[-1])
+        z, n = np.mean([a for a, _ in states], axis=0), np.mean([b for _, b in states], axis=0)
+    assert np.allclose(toxicity.train(df, df.select("doc_id", "toxic"), s), toxicity.weights(z, n, s))
+
+
 def test_toxicity_without_labels(docs, labels):
     assert {r.score for r in toxicity.toxicity(docs, labels.limit(0)).collect()} == {0.5}
 
