@@ -260,6 +260,16 @@ def test_passages(spark):
     assert passages.shared_passages(df.limit(0)).count() == 0
 
 
+def test_passages_despite_pieces_in_lower_ids(spark):
+    word = lambda: "".join(RNG.choice("abcdefghij") for _ in range(9))
+    fresh = lambda n: " ".join(word() for _ in range(n))
+    common = [word() for _ in range(60)]
+    held = fresh(20) + " " + " ".join(common) + " " + fresh(20)
+    rows = [(1, fresh(30) + " " + " ".join(common[:34]) + " " + fresh(30)), (2, fresh(30) + " " + " ".join(common[26:]) + " " + fresh(30)), (100, held), (101, fresh(7) + " " + held), (102, " ".join(common))]
+    got = {(r.doc_id, r.partner_id, r.start, r.end) for r in passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {x[:2] for x in got} == {(101, 100), (102, 100)} and (102, 100, 0, 60) in got
+
+
 PII = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
