@@ -270,6 +270,20 @@ def test_passages_despite_pieces_in_lower_ids(spark):
     assert {x[:2] for x in got} == {(101, 100), (102, 100)} and (102, 100, 0, 60) in got
 
 
+def test_edited_passages(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(9))
+    rows = []
+    for i in range(100):
+        common = [word() for _ in range(60)]
+        edited = list(common)
+        for k in rng.sample(range(1, 59), 5):
+            edited[k] = word()
+        rows += [(2 * i + k, " ".join([word() for _ in range(40)] + own + [word() for _ in range(40)])) for k, own in enumerate((common, edited))]
+    got = {r.doc_id for r in passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) >= 75  # window 16 and two seeds find about 58
+
+
 PII = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
