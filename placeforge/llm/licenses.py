@@ -21,10 +21,10 @@ FAMILIES = {
     "mit": (r"(?:the )?mit licen[sc]e", r"mit", "mit"),
     "mit-0": (r"mit no attribution(?: license)?", r"mit 0", "mit"),
     "x11": (r"x11 licen[sc]e|mit x11 licen[sc]e", r"x11", "x11"),
-    "bsd-2-clause": (r"(?:simplified bsd|freebsd|bsd 2 clause|2 clause bsd) licen[sc]e", r"bsd 2 clause", "bsd"),
+    "bsd-2-clause": (r"(?:simplified bsd|freebsd|bsd 2 clause|2 clause bsd) licen[sc]e", r"bsd 2 clause", "bsd|freebsd"),
     "bsd-3-clause": (r"(?:new bsd|revised bsd|modified bsd|bsd 3 clause|3 clause bsd) licen[sc]e", r"bsd 3 clause", "bsd"),
     "bsd-4-clause": (r"(?:original bsd|bsd 4 clause|4 clause bsd) licen[sc]e", r"bsd 4 clause", "bsd"),
-    "0bsd": (r"(?:zero clause|0 clause) bsd(?: licen[sc]e)?|bsd zero clause", r"0bsd", "bsd"),
+    "0bsd": (r"(?:zero clause|0 clause) bsd(?: licen[sc]e)?|bsd zero clause", r"0bsd", "bsd|0bsd"),
     "isc": (r"isc licen[sc]e", r"isc", "isc"),
     "gpl-3.0": (r"gnu general public licen[sc]e(?: as published by the free software foundation)?(?: either)? version 3(?: 0)?|gnu gpl v?(?:ersion )?3", r"gpl (?:v)?3(?: 0)?(?: only| or later)?", "gnu|gpl"),
     "gpl-2.0": (r"gnu general public licen[sc]e(?: as published by the free software foundation)?(?: either)? version 2(?: 0)?|gnu gpl v?(?:ersion )?2", r"gpl (?:v)?2(?: 0)?(?: only| or later)?", "gnu|gpl"),
@@ -160,20 +160,22 @@ def _settle(found: Column) -> Column:
     return F.aggregate(F.array_sort(found), start, step)["out"]
 
 
-#: A text without any of these has no base place and no rule's sentence.
-GATE = r"(?i)licen[sc]|copyright|spdx|public domain|hereby|rights reserved|proprietary|redistribut|unencumbered|warranty|contributors|advertising"
+def gate() -> str:
+    """A pattern that every text with a base place or a rule's place matches: the rules' keywords and the words that the forms hold."""
+    words = {k for _, _, keyword, _, _ in rules() for k in keyword.split("|")} | {"license"}
+    return rf"(?i)(?:^|{BETWEEN[:-1]})(?:{'|'.join(sorted(words))})(?:{BETWEEN[:-1]}|$)"
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, detections for every row.
 
     Null texts count as empty: no word, no place, empty labels, score 0. Repeated rows give repeated results, an empty table no row.
-    A text is gated twice: by GATE, then each rule by its keyword. score: the weight of the best rule that stays, 0.75 for a base place
+    A text is gated twice: by all rules' keywords, then each rule by its own. score: the weight of the best rule that stays, 0.75 for a base place
     alone. Each row is worked on where it lies; nothing is joined or shuffled.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    own = own.select("doc_id", F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("long").alias("n_words"), F.when(F.col("text").rlike(GATE), _words(F.col("text"))).alias("words"))
+    own = own.select("doc_id", F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("long").alias("n_words"), F.when(F.col("text").rlike(gate()), _words(F.col("text"))).alias("words"))
     base = F.array(*[F.struct(F.lit(label).alias("label"), _spans(F.col("words"), F.lit(f"(?<= ){phrase}(?= )")).alias("at")) for phrase, label in BASE])
     gated = F.col("words").contains(" license ")
     own = own.withColumn("base", F.when(gated, base).otherwise(F.array().cast("array<struct<label:string,at:array<struct<start:int,end:int>>>>")))

@@ -346,6 +346,43 @@ def test_licenses(spark):
     assert len(licenses.rules()) > 200
 
 
+def example(pattern, rng):
+    """A text that a rule's pattern matches, without the spaces around it."""
+    from re import _parser as parser
+
+    def walk(items):
+        out = ""
+        for op, arg in items:
+            op = str(op)
+            if op == "LITERAL":
+                out += chr(arg)
+            elif op == "IN":
+                kind, own = arg[0]
+                out += {"LITERAL": lambda: chr(own), "RANGE": lambda: chr(own[0]), "CATEGORY": lambda: "1" if str(own).endswith("DIGIT") else "x"}[str(kind)]()
+            elif op == "BRANCH":
+                out += walk(rng.choice(arg[1]))
+            elif op == "SUBPATTERN":
+                out += walk(arg[-1])
+            elif op == "MAX_REPEAT":
+                out += "".join(walk(arg[2]) for _ in range(rng.randint(arg[0], min(int(arg[1]), arg[0] + 1))))
+        return out
+
+    return walk(parser.parse(pattern))
+
+
+def test_licence_gates_pass_every_rule(spark):
+    rng, rows = random.Random(2), []
+    for _, label, keyword, pattern, _ in licenses.rules():
+        for _ in range(3):
+            words = example(pattern, rng).split()
+            joined = f" {' '.join(words)} "
+            assert re.search(pattern, joined) and re.search(f" (?:{keyword}) ", joined), (pattern, joined)
+            rows += [(len(rows), "so " + " ".join(words) + " here"), (len(rows) + 1, "\n".join(words).upper())]
+    texts = ["under the terms of the GNU GPL version 3", "GNU GPL v3", "Creative Commons Attribution 4.0 International", "Creative Commons Zero", "zero clause BSD", "released into the public\ndomain", "all rights  reserved", "all rights-reserved"]
+    df = spark.createDataFrame(rows + [(100_000 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert [r for r in licenses.scan(df).where("score = 0 or labels = ''").join(df, "doc_id").select("text").collect()] == []
+
+
 def test_empty_tables(docs, labels):
     none = docs.limit(0)
     assert exact.exact_duplicates(none).count() == exact.deduplicate(none).count() == pii.find(none).count() == licenses.scan(none).count() == 0
