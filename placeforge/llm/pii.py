@@ -99,8 +99,8 @@ def _letters(text: Column) -> Column:
 def disclosing_terms(rows: DataFrame, docs: DataFrame, s: Settings, text_col: str) -> DataFrame | None:
     """(doc_id, h, terms): spans of terms that disclose a value beside which they stand; None if there are none.
 
-    PMI of term and value, as a share of the value's information: log2(c N / (d v)) / log2(N / v), with N documents, v different
-    contexts of the value, c of them with the term, d documents with the term. Copies share a context, so they count once.
+    PMI of term and value, as a share of the value's information: log2(c N / (d v)) / log2(N / v), with N different texts, v different
+    contexts of the value, c of them with the term, d different texts with the term. Copies of a text count once in all four.
     """
     pattern = r"\p{L}{3,}"
     context = rows.select("doc_id", "h", F.explode("contexts").alias("c")).select("doc_id", "h", F.concat_ws(":", F.col("c.kind"), F.col("c.value")).alias("entity"), "c.*")
@@ -112,7 +112,7 @@ def disclosing_terms(rows: DataFrame, docs: DataFrame, s: Settings, text_col: st
     alone = context.select("entity", "c.ctx").distinct().groupBy("entity").agg(F.count("*").alias("v"))
     # the texts whose contexts hold a term are fewer than all that hold it: too many of them rule a pair out before the corpus is counted
     least = words.select("term", "h").distinct().groupBy("term").agg(F.count("*").alias("low"))
-    n = rows.count()
+    n = rows.select("h").distinct().count()
     most = F.col("c") * F.pow(F.lit(float(n)) / F.col("v"), 1 - s.disclosure)
     together = together.join(alone, "entity").join(least, "term").where(F.col("low") <= most).select("entity", "term", "c", "v")
     together = cut(together, "together")
@@ -125,9 +125,10 @@ def disclosing_terms(rows: DataFrame, docs: DataFrame, s: Settings, text_col: st
     table = bytearray(1 << s.bits - 3)
     for at, value in marks:
         table[at] = value
-    spoken = docs.select(F.explode(F.array_distinct(_letters(F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))))).alias("term")).withColumn("p", place("term"))
+    own_text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    spoken = docs.select(F.xxhash64(own_text).alias("h"), F.explode(F.array_distinct(_letters(F.lower(own_text)))).alias("term")).withColumn("p", place("term"))
     byte = F.conv(F.hex(F.substring(F.lit(table), F.shiftright("p", 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int").alias("byte")
-    spoken = spoken.select("term", "p", byte).where("shiftright(byte, cast(p % 8 as int)) & 1 = 1")
+    spoken = spoken.select("h", "term", "p", byte).where("shiftright(byte, cast(p % 8 as int)) & 1 = 1").select("term", "h").distinct()
     often = spoken.groupBy("term").agg(F.count("*").alias("d"))
     told = together.join(often, "term")
     share = F.log2(F.col("c") * n / (F.col("d") * F.col("v"))) / F.log2(F.lit(float(n)) / F.col("v"))

@@ -313,6 +313,12 @@ def test_pii_terms(spark):
     assert "Zorblax" not in clean[3] and "Ask" in clean[3] and clean[103] == rows[23][1]
 
 
+def test_pii_terms_of_copied_texts(spark):
+    rows = [(i, f"filler{i % 3} Zorblax at zq@example.com for item{i % 3}") for i in range(300)] + [(1000 + i, f"plain text {i} at for and item here") for i in range(700)]
+    clean = {r.doc_id: r.text for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert "Zorblax" not in clean[3]
+
+
 def test_pieces(docs):
     path = tokenizers.path("piece_bpe_32k.model")
     a, b = (sorted((r.doc_id or -1, r.n_pieces, r.ids_crc32) for r in pieces.round_trip(d, path).collect()) for d in (docs, docs.coalesce(1)))
