@@ -27,7 +27,8 @@ NOISE = re.compile(
     r"cookies?|consent|gdpr|notice|notices|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|widget\w*|toolbar|pagination|pager|legal|copyright|disclaimer|skip|search|hidden)(?:$|[\s_-])",
     re.I,
 )
-HIDDEN = re.compile(r"\bhidden\b|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*(?:!\s*important\s*)?(?:;|$)", re.I)
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
@@ -42,6 +43,17 @@ class Node:
     linked: int = 0
 
 
+def hidden(attributes: str) -> bool:
+    """Whether an element is hidden: by its attribute `hidden`, by aria-hidden=true or by its style. The first of equal names counts."""
+    low = attributes.lower()
+    if "hidden" not in low and "display" not in low:
+        return False
+    own: dict[str, str] = {}
+    for name, a, b, c in ATTRIBUTE.findall(attributes):
+        own.setdefault(name.lower(), a or b or c)
+    return "hidden" in own or own.get("aria-hidden", "").strip().lower() == "true" or bool(UNSEEN.search(unescape(own.get("style", ""))))
+
+
 def parse(html: str) -> Node:
     """A forgiving tree: unknown ends are passed over, open paragraphs and items end where the next begins."""
     root = at = Node("root")
@@ -82,7 +94,7 @@ def parse(html: str) -> Node:
                 at = x.parent
         names = " ".join(a or b or c for a, b, c in NAMED.findall(m.group(3)))
         banner = tag == "header" and not any(x.tag in ("article", "main") for x in _up(at))
-        new = Node(tag, at, noise=tag in NEVER or banner or bool(names and NOISE.search(names) and tag not in ("body", "html", "article", "main")) or bool(m.group(3) and HIDDEN.search(m.group(3))))
+        new = Node(tag, at, noise=tag in NEVER or banner or bool(names and NOISE.search(names) and tag not in ("body", "html", "article", "main")) or hidden(m.group(3)))
         at.children.append(new)
         if tag != "hr" and not m.group(3).endswith("/"):
             at = new

@@ -244,6 +244,18 @@ def test_html():
     assert html.main_text("") == "" and html.main_text("<p>x") == "x" and html.main_text("<script>a</script>") == ""
 
 
+@pytest.mark.parametrize("attributes", ['style="overflow:hidden"', 'aria-hidden="false"', 'data-title="hidden gems"', "style='visibility:visible; overflow-x: hidden'"])
+def test_html_is_not_hidden_by_a_word(attributes):
+    words = "A paragraph, with commas, and enough words to be scored as text."
+    assert html.main_text(f"<body {attributes}><div {attributes}><article {attributes}><p>{words}</p></article></div>") == words
+
+
+@pytest.mark.parametrize("attributes", ["hidden", 'hidden=""', "aria-hidden=true", 'style="color:red; display : none"', "style='VISIBILITY:hidden !important'"])
+def test_html_hidden(attributes):
+    words = "A paragraph, with commas, and enough words to be scored as text."
+    assert html.main_text(f"<body><p>{words}</p><div {attributes}><p>{words} Unseen.</p></div>") == words
+
+
 def test_html_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>Hello", "t"), (2, None, None, "t"), (2, None, None, "t")], "page_id long, url string, html string, text string")
     assert sorted((r.page_id, r.text, r.n_chars) for r in html.extract(pages).collect()) == [(1, "Hello", 5), (2, "", 0), (2, "", 0)]
