@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space in the sense of the contracts: blank and the characters 9 to 13.
@@ -75,3 +77,45 @@ def groups(batches, keys: int):
             yield from whole
     if rest is not None and len(rest):
         yield rest
+
+
+#: Items of an array that are folded at once, and bits of a table of marks.
+BLOCK, BITS = 256, 18
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value worked out once: a lambda that names an expression works it out for each element."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(items: Column, step: Callable[[Column, Column], Column], emit: Callable[[Column, Column], Column], kind: str) -> Column:
+    """Array (of type `kind`) of emit(at, x), `at` being what `step` has made of 0 and the items before x.
+
+    Folds work in blocks, whose first values come from a fold over blocks, so an array of a million items isn't copied for each of them.
+    """
+    none = F.array().cast(kind)
+
+    def within(part: Column, at: Column) -> Column:
+        return F.aggregate(part, F.struct(at.alias("at"), none.alias("out")), lambda a, x: F.struct(step(a["at"], x).alias("at"), F.concat(a["out"], F.array(emit(a["at"], x)).cast(kind)).alias("out")))["out"]
+
+    def over(parts: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("firsts"))
+        firsts = F.aggregate(parts, start, lambda a, p: F.struct(F.aggregate(p, a["at"], step).alias("at"), F.concat(a["firsts"], F.array(a["at"])).alias("firsts")))["firsts"]
+        return F.flatten(F.zip_with(parts, firsts, within))
+
+    def split(x: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), ((F.size(x) - 1) / BLOCK).cast("int")), lambda i: F.slice(x, i * BLOCK + 1, F.lit(BLOCK)))
+        return F.when(F.size(x) > 0, bound(parts, over)).otherwise(none)
+
+    return bound(items, split)
+
+
+def marks(df: DataFrame, col: str) -> Callable[[Column], Column]:
+    """A test that is true for every value of a column, and for few others while these are fewer than its 2**BITS bits, whatever the corpus."""
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << BITS)).cast("int")
+    told = df.select(place(F.col(col)).alias("p")).groupBy(F.shiftright("p", 5).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, p % 32)")).alias("bits")).collect()  # at most 2**BITS / 32 rows
+    table = [0] * (1 << BITS - 5)
+    for at, bits in told:
+        table[at] = bits
+    held = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
+    return lambda c: F.call_function("shiftright", F.get(held, F.shiftright(place(c), 5)), place(c) % 32).bitwiseAND(F.lit(1)) == 1

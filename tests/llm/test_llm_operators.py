@@ -331,6 +331,58 @@ def test_pii_terms_of_copied_texts(spark):
     assert "Zorblax" not in clean[3]
 
 
+@pytest.mark.parametrize("long", ["7" * 20_000, "7 " * 300_000, "a@b" + ".c-d" * 100_000, " ".join(f"u{i}@w{i}.org" for i in range(30_000)), "1." * 10_000, "+1" + "(" * 100_000 + "2", "+1 (" + "2-" * 10_000])
+def test_pii_long_runs(spark, long):
+    df = spark.createDataFrame([(1, long)], "doc_id long, text string")
+    got, want = pii.find(df).first(), brute_pii(long)
+    assert got.spans == want and got.base_sha256 == hashlib.sha256(want.encode()).hexdigest()
+    assert brute_pii(pii.sanitise(df).first().text) == ""
+
+
+def brute_terms(texts, s):
+    """spans of terms by the definition, text by text."""
+    values, held = {}, {}
+    for t in set(texts):
+        held[t] = [(k, m) for k, r in PII.items() for m in re.finditer(r, t) if f"{k}:{m.start()}:{m.end()}" in brute_pii(t).split(",")]
+        for k, m in held[t]:
+            same = [x for x in re.finditer(PII[k], t)]
+            at = [x.start() for x in same].index(m.start())
+            left, right = t[same[at - 1].end() if at else 0 : m.start()], t[m.end() : same[at + 1].start() if at + 1 < len(same) else len(t)]
+            left = re.sub(r"^\S*", "", left[-s.window :]) if len(left) > s.window else left
+            right = re.sub(r"\S*$", "", right[: s.window]) if len(right) > s.window else right
+            values.setdefault((k, m.group(0).lower()), {}).setdefault(t, set()).add((left + " " + right).lower())
+    n, told = len(set(texts)), {}
+    words = {t: set(re.findall(r"[^\W\d_]{3,}", t.lower())) for t in set(texts)}
+    for value, by_text in values.items():
+        for term in {w for c in by_text.values() for x in c for w in re.findall(r"[^\W\d_]{3,}", x)}:
+            own = {t: min(x for x in c if term in re.findall(r"[^\W\d_]{3,}", x)) for t, c in by_text.items() if any(term in re.findall(r"[^\W\d_]{3,}", x) for x in c)}
+            d, v = sum(term in w for w in words.values()), len(by_text)
+            if len(own) >= s.support and len(set(own.values())) >= s.support and v < n and np.log2(len(own) * n / (d * v)) / np.log2(n / v) >= s.disclosure:
+                told.setdefault(value, set()).add(term)
+    out = {}
+    for t in set(texts):
+        terms = set().union(*[told.get((k, m.group(0).lower()), set()) for k, m in held[t]]) if held[t] else set()
+        out[t] = [f"term:{m.start()}:{m.end()}" for m in re.finditer(r"[^\W\d_]{3,}", t) if m.group(0).lower() in terms]
+    return out
+
+
+def test_pii_terms_are_brute_force(spark):
+    rng = random.Random(3)
+    texts = []
+    for i in range(240):
+        own = [rng.choice(VOCABULARY) for _ in range(rng.randint(5, 150))]
+        for k in range(rng.randint(0, 2)):
+            who = rng.randint(0, 11)
+            own[rng.randrange(len(own)) : 0] = [f"Person{'abcdefghijkl'[who]}xx", rng.choice(["said,", "and", VOCABULARY[0]]), f"p{who}@site.org" if who % 2 else f"10.0.0.{who}"]
+        texts.append(" ".join(own) + (f" Person{'abcdefghijkl'[i % 12]}xx" if i % 40 == 0 else ""))
+    texts += texts[:30]
+    s = pii.Settings(window=60)
+    want, got = brute_terms(texts, s), pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), s).collect()
+    assert sum(map(len, want.values())) > 50
+    for r in got:
+        assert [x for x in r.spans.split(",") if x.startswith("term")] == want[texts[r.doc_id]]
+
+
 def test_pieces(docs):
     path = tokenizers.path("piece_bpe_32k.model")
     a, b = (sorted((r.doc_id or -1, r.n_pieces, r.ids_crc32) for r in pieces.round_trip(d, path).collect()) for d in (docs, docs.coalesce(1)))
