@@ -88,19 +88,20 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def running(items: Column, step: Callable[[Column, Column], Column], emit: Callable[[Column, Column], Column], kind: str) -> Column:
-    """Array (of type `kind`) of emit(at, x), `at` being what `step` has made of 0 and the items before x.
+def running(items: Column, step: Callable[[Column, Column], Column], emit: Callable[[Column, Column], Column], kind: str, zero: Column | None = None, state: str = "int") -> Column:
+    """Array (of type `kind`) of emit(at, x), `at` being what `step` has made of `zero` (of type `state`; by default 0) and the items before x.
 
     Folds work in blocks, whose first values come from a fold over blocks, so an array of a million items isn't copied for each of them.
     """
-    none = F.array().cast(kind)
+    none, zero = F.array().cast(kind), (F.lit(0) if zero is None else zero).cast(state)
 
     def within(part: Column, at: Column) -> Column:
-        return F.aggregate(part, F.struct(at.alias("at"), none.alias("out")), lambda a, x: F.struct(step(a["at"], x).alias("at"), F.concat(a["out"], F.array(emit(a["at"], x)).cast(kind)).alias("out")))["out"]
+        return F.aggregate(part, F.struct(at.alias("at"), none.alias("out")), lambda a, x: F.struct(step(a["at"], x).cast(state).alias("at"), F.concat(a["out"], F.array(emit(a["at"], x)).cast(kind)).alias("out")))["out"]
 
     def over(parts: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("firsts"))
-        firsts = F.aggregate(parts, start, lambda a, p: F.struct(F.aggregate(p, a["at"], step).alias("at"), F.concat(a["firsts"], F.array(a["at"])).alias("firsts")))["firsts"]
+        start = F.struct(zero.alias("at"), F.array().cast(f"array<{state}>").alias("firsts"))
+        last = lambda p, at: F.aggregate(p, at, lambda a, x: step(a, x).cast(state))
+        firsts = F.aggregate(parts, start, lambda a, p: F.struct(last(p, a["at"]).alias("at"), F.concat(a["firsts"], F.array(a["at"])).alias("firsts")))["firsts"]
         return F.flatten(F.zip_with(parts, firsts, within))
 
     def split(x: Column) -> Column:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import count
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from placeforge.llm.common import running
+
 #: Between words stand ASCII signs; digits, letters and all beyond ASCII make words. Case of A-Z doesn't matter.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -88,22 +92,107 @@ FORMS = (
     (r"(?:{n})", 0.7),
 )
 
-# Sentences of licence texts and notices that name no family.
+# Sentences of licence texts and notices, by label: pattern, keyword that it holds, weight.
 SENTENCES = (
     ("mit", r"permission is hereby granted free of charge to any person obtaining a copy", "granted", 0.95),
+    ("mit", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "portions", 0.9),
+    ("mit", r"to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense", "sublicense", 0.9),
+    ("x11", r"except as contained in this notice the name(?:s)? of (?:\S+ ){1,12}shall not be used in advertising", "advertising", 0.9),
     ("isc", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted", "granted", 0.95),
+    ("isc", r"the software is provided as is and the author disclaims all warranties", "disclaims", 0.8),
     ("bsd", r"redistribution and use in source and binary forms with or without modification are permitted", "redistribution", 0.95),
+    ("bsd", r"redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", "redistributions", 0.9),
+    ("bsd", r"redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer", "redistributions", 0.9),
     ("bsd-3-clause", r"neither the name of (?:\S+ ){1,12}nor the names of its contributors", "contributors", 0.9),
     ("bsd-4-clause", r"all advertising materials mentioning features or use of this software must display", "advertising", 0.9),
+    ("bsd", r"this software is provided by (?:\S+ ){1,12}as is and any express or implied warranties", "warranties", 0.6),
+    ("apache-2.0", r"you may not use this file except in compliance with the licen[sc]e", "compliance", 0.85),
+    ("apache-2.0", r"unless required by applicable law or agreed to in writing software distributed under the licen[sc]e is distributed on an as is basis", "basis", 0.85),
+    ("apache-2.0", r"terms and conditions for use reproduction and distribution", "reproduction", 0.8),
+    ("apache-2.0", r"see the licen[sc]e for the specific language governing permissions and limitations", "limitations", 0.8),
+    ("apache-2.0", r"each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright licen[sc]e", "irrevocable", 0.9),
+    ("apache-1.1", r"the end user documentation included with the redistribution if any must include the following acknowledgment", "acknowledgment", 0.9),
     ("gpl", r"this program is free software you can redistribute it and or modify it", "redistribute", 0.9),
-    ("gpl", r"you should have received a copy of the gnu general public license", "received", 0.9),
+    ("gpl", r"you should have received a copy of the gnu general public licen[sc]e", "received", 0.9),
+    ("gpl", r"this program is distributed in the hope that it will be useful but without any warranty", "warranty", 0.85),
+    ("gpl", r"everyone is permitted to copy and distribute verbatim copies of this licen[sc]e document but changing it is not allowed", "verbatim", 0.8),
+    ("gpl-2.0", r"the licen[sc]es for most software are designed to take away your freedom to share and change it", "freedom", 0.95),
+    ("gpl-2.0", r"activities other than copying distribution and modification are not covered by this licen[sc]e", "activities", 0.9),
+    ("gpl-3.0", r"the gnu general public licen[sc]e is a free copyleft licen[sc]e for software and other kinds of works", "copyleft", 0.95),
+    ("gpl-3.0", r"to propagate a work means to do anything with it that without permission", "propagate", 0.95),
+    ("gpl-2.0-or-later", r"either version 2 of the licen[sc]e or at your option any later version", "license|licence", 0.9),
+    ("gpl-3.0-or-later", r"either version 3 of the licen[sc]e or at your option any later version", "license|licence", 0.9),
+    ("lgpl", r"this library is free software you can redistribute it and or modify it", "redistribute", 0.9),
+    ("lgpl", r"you should have received a copy of the gnu (?:lesser|library) general public licen[sc]e", "received", 0.9),
+    ("lgpl-2.1", r"a work that uses the library in isolation is not a derivative work of the library", "isolation", 0.9),
+    ("lgpl-3.0", r"this version of the gnu lesser general public licen[sc]e incorporates the terms and conditions of version 3", "incorporates", 0.95),
+    ("agpl-3.0", r"you should have received a copy of the gnu affero general public licen[sc]e", "affero", 0.95),
+    ("agpl-3.0", r"your modified version must prominently offer all users interacting with it remotely through a computer network", "remotely", 0.95),
+    ("gfdl", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation licen[sc]e", "documentation", 0.95),
+    ("gfdl", r"with no invariant sections no front cover texts and no back cover texts", "invariant", 0.9),
+    ("mpl-2.0", r"this source code form is subject to the terms of the mozilla public licen[sc]e", "mozilla", 0.95),
+    ("mpl-2.0", r"if a copy of the mpl was not distributed with this file you can obtain one", "mpl", 0.95),
+    ("mpl-2.0", r"incompatible with secondary licen[sc]es", "secondary", 0.85),
+    ("mpl-1.1", r"the contents of this file are subject to the mozilla public licen[sc]e version 1 1", "mozilla", 0.95),
+    ("epl-2.0", r"this program and the accompanying materials are made available under the terms of the eclipse public licen[sc]e", "eclipse", 0.95),
+    ("epl-1.0", r"the accompanying program is provided under the terms of this eclipse public licen[sc]e agreement", "eclipse", 0.95),
+    ("epl-1.0", r"any use reproduction or distribution of the program constitutes recipient(?: ?s)? acceptance of this agreement", "acceptance", 0.85),
+    ("cddl-1.0", r"the contents of this file are subject to the terms of the common development and distribution licen[sc]e", "common", 0.95),
+    ("cddl-1.0", r"when distributing covered code include this cddl header", "cddl", 0.95),
+    ("eupl", r"licen[sc]ed under the eupl version 1 [0-2]", "eupl", 0.95),
+    ("artistic-1.0", r"the intent of this document is to state the conditions under which a package may be copied", "copied", 0.9),
+    ("artistic-2.0", r"this licen[sc]e establishes the terms under which a given free software package may be copied modified distributed", "establishes", 0.9),
+    ("bsl-1.0", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this licen[sc]e", "organization", 0.95),
     ("zlib", r"this software is provided as is without any express or implied warranty in no event will the authors be held liable", "warranty", 0.8),
+    ("zlib", r"the origin of this software must not be misrepresented you must not claim that you wrote the original software", "misrepresented", 0.95),
+    ("zlib", r"altered source versions must be plainly marked as such", "altered", 0.9),
     ("unlicense", r"this is free and unencumbered software released into the public domain", "unencumbered", 0.95),
+    ("unlicense", r"anyone is free to copy modify publish use compile sell or distribute this software", "compile", 0.9),
+    ("wtfpl", r"you just do what the f\w* you want to", "want", 0.95),
+    ("cc0-1.0", r"the person who associated a work with this deed has dedicated the work to the public domain", "deed", 0.95),
+    ("cc0-1.0", r"waiving all of his or her rights to the work worldwide under copyright law", "waiving", 0.9),
+    ("cc0-1.0", r"creativecommons org publicdomain zero 1 0", "publicdomain", 0.95),
+    ("cc-by-4.0", r"creativecommons org licen[sc]es by 4 0", "creativecommons", 0.95),
+    ("cc-by-3.0", r"creativecommons org licen[sc]es by 3 0", "creativecommons", 0.95),
+    ("cc-by-sa-4.0", r"creativecommons org licen[sc]es by sa 4 0", "creativecommons", 0.95),
+    ("cc-by-sa-3.0", r"creativecommons org licen[sc]es by sa 3 0", "creativecommons", 0.95),
+    ("cc-by-nc-4.0", r"creativecommons org licen[sc]es by nc 4 0", "creativecommons", 0.95),
+    ("cc-by-nc-sa-4.0", r"creativecommons org licen[sc]es by nc sa 4 0", "creativecommons", 0.95),
+    ("cc-by-nd-4.0", r"creativecommons org licen[sc]es by nd 4 0", "creativecommons", 0.95),
+    ("cc-by-nc-nd-4.0", r"creativecommons org licen[sc]es by nc nd 4 0", "creativecommons", 0.95),
+    ("cc", r"you are free to share copy and redistribute the material in any medium or format", "redistribute", 0.85),
+    ("cc", r"you must give appropriate credit provide a link to the licen[sc]e and indicate if changes were made", "credit", 0.85),
+    ("cc-by-sa", r"if you remix transform or build upon the material you must distribute your contributions under the same licen[sc]e as the original", "remix", 0.85),
+    ("cc-by-nc", r"you may not use the material for commercial purposes", "commercial", 0.8),
+    ("cc-by-nd", r"if you remix transform or build upon the material you may not distribute the modified material", "remix", 0.85),
+    ("python-2.0", r"this licen[sc]e agreement is between the python software foundation", "python", 0.95),
+    ("php-3.01", r"products derived from this software may not be called php", "php", 0.95),
+    ("postgresql", r"permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted", "granted", 0.95),
+    ("openssl", r"this product includes software developed by the openssl project", "openssl", 0.95),
+    ("ofl-1.1", r"the goals of the open font licen[sc]e ofl are to stimulate worldwide development of collaborative font projects", "ofl", 0.95),
+    ("ofl-1.1", r"this font software is licen[sc]ed under the sil open font licen[sc]e", "sil", 0.95),
+    ("ncsa", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal with the software without restriction", "granted", 0.95),
+    ("ms-pl", r"this licen[sc]e governs use of the accompanying software if you use the software you accept this licen[sc]e", "governs", 0.9),
+    ("sspl-1.0", r"if you make the functionality of the program or a modified version available to third parties as a service", "functionality", 0.95),
+    ("busl-1.1", r"the licensor may make an additional use grant above permitting limited production use", "licensor", 0.95),
+    ("elastic-2.0", r"you may not provide the software to third parties as a hosted or managed service", "hosted", 0.95),
+    ("commons-clause", r"the grant of rights under the licen[sc]e will not include and the licen[sc]e does not grant to you the right to sell the software", "grant", 0.95),
+    ("json", r"the software shall be used for good not evil", "evil", 0.95),
+    ("beerware", r"as long as you retain this notice you can do whatever you want with this stuff", "stuff", 0.95),
+    ("jpeg", r"this software is based in part on the work of the independent jpeg group", "jpeg", 0.95),
+    ("curl", r"permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", "granted", 0.9),
     ("public-domain", r"(?:placed|dedicated|is) (?:in|into|to) the public domain", "domain", 0.7),
+    ("public-domain", r"no copyright is claimed", "claimed", 0.6),
+    ("public-domain", r"no rights reserved", "reserved", 0.6),
     ("proprietary", r"all rights reserved", "reserved", 0.3),
     ("proprietary", r"proprietary and confidential", "proprietary", 0.5),
+    ("proprietary", r"unauthori[sz]ed (?:copying|reproduction|use) of this (?:file|software|document)(?: via any medium)? is strictly prohibited", "prohibited", 0.6),
+    ("proprietary", r"this software is licen[sc]ed not sold", "sold", 0.6),
+    ("proprietary", r"may not be (?:reproduced|copied|redistributed) (?:\S+ ){0,8}without (?:the )?(?:prior |express )*(?:written )?(?:permission|consent)", "reproduced|copied|redistributed", 0.5),
     ("copyright-notice", r"copyright (?:c )?(?:19|20)\d\d", "copyright", 0.2),
     ("warranty-disclaimer", r"the software is provided as is without warranty of any kind", "warranty", 0.5),
+    ("warranty-disclaimer", r"including but not limited to the (?:implied )?warranties of merchantability", "merchantability", 0.4),
+    ("warranty-disclaimer", r"in no event shall (?:\S+ ){1,16}be liable for any", "liable", 0.4),
 )
 
 
@@ -123,25 +212,20 @@ def _words(text: Column) -> Column:
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(_ascii_lower(text), BETWEEN, " ")), F.lit(" "))
 
 
+PLACE, DETECTION = "struct<start:int,end:int>", "struct<start:int,backward:int,priority:int,label:string,weight:double>"
+
+
 def _spans(words: Column, pattern: Column) -> Column:
     """Array of (start, end) in words, from 0, end exclusive, of the pattern's places, from left to right.
 
     What splitting at the pattern leaves and what matches, in turns, make up the text; words are told by the spaces before them.
     """
-    turns = F.arrays_zip(F.split(words, pattern, -1).alias("rest"), F.regexp_extract_all(words, pattern, F.lit(0)).alias("found"))
     spaces = lambda c: F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
-
-    def step(a: Column, x: Column) -> Column:
-        begin = a["at"] + spaces(x["rest"])
-        end = begin + spaces(x["found"])
-        own = F.struct((begin - 1).alias("start"), end.alias("end"))
-        return F.struct(F.coalesce(end, begin).alias("at"), F.when(x["found"].isNull(), a["out"]).otherwise(F.concat(a["out"], F.array(own))).alias("out"))
-
-    return F.aggregate(turns, start, step)["out"]
-
-
-DETECTION = "array<struct<start:int,backward:int,priority:int,label:string,weight:double>>"
+    turns = F.arrays_zip(F.split(words, pattern, -1).alias("rest"), F.regexp_extract_all(words, pattern, F.lit(0)).alias("found"))
+    begin = lambda at, x: at + spaces(x["rest"])
+    end = lambda at, x: begin(at, x) + F.coalesce(spaces(x["found"]), F.lit(0))
+    place = lambda at, x: F.when(x["found"].isNotNull(), F.struct((begin(at, x) - 1).alias("start"), end(at, x).alias("end")))
+    return F.array_compact(running(turns, end, place, f"array<{PLACE}>"))
 
 
 def _settle(found: Column) -> Column:
@@ -149,21 +233,30 @@ def _settle(found: Column) -> Column:
 
     One that lies within another goes; of two that overlap otherwise, the one with the lower priority number stays.
     """
-    start = F.struct(F.array().cast(DETECTION).alias("out"), F.lit(-1).alias("end"), F.lit(0).alias("priority"))
+    at = lambda start, backward: F.struct(F.lit(start).alias("start"), F.lit(backward).alias("backward"), F.lit(0).alias("priority"), F.lit("").alias("label"), F.lit(0.0).alias("weight")).cast(DETECTION)
 
     def step(a: Column, x: Column) -> Column:
-        end = -x["backward"]
-        added = F.struct(F.concat(a["out"], F.array(x)).alias("out"), end.alias("end"), x["priority"].alias("priority"))
-        instead = F.struct(F.concat(F.slice(a["out"], 1, F.size(a["out"]) - 1), F.array(x)).alias("out"), end.alias("end"), x["priority"].alias("priority"))
-        return F.when(x["start"] >= a["end"], added).when((end <= a["end"]) | (x["priority"] >= a["priority"]), a).otherwise(instead)
+        stays = (x["start"] < -a["backward"]) & ((x["backward"] >= a["backward"]) | (x["priority"] >= a["priority"]))
+        return F.when(stays, a).otherwise(x)
+
+    out = lambda a, x: F.when((x["start"] >= -a["backward"]) & (a["start"] >= 0), a)
+    closed = F.concat(F.array_sort(found), F.array(at(2**31 - 1, -(2**31 - 1))))
+    return F.array_compact(running(closed, step, out, f"array<{DETECTION}>", at(-1, 0), DETECTION))
 
-    return F.aggregate(F.array_sort(found), start, step)["out"]
+
+def _any_of(words: list[str]) -> str:
+    """A pattern of any of the words, alternatives told apart by their letters from the first on."""
+    heads: dict[str, list[str]] = {}
+    for w in sorted(set(words)):
+        heads.setdefault(w[:1], []).append(w[1:])
+    parts = [head + (_any_of(rest) if len(rest) > 1 else rest[0]) for head, rest in heads.items() if head]
+    return "(?:" + "|".join(parts + [""] * ("" in heads)) + ")"
 
 
 def gate() -> str:
     """A pattern that every text with a base place or a rule's place matches: the rules' keywords and the words that the forms hold."""
     words = {k for _, _, keyword, _, _ in rules() for k in keyword.split("|")} | {"license"}
-    return rf"(?i)(?:^|{BETWEEN[:-1]})(?:{'|'.join(sorted(words))})(?:{BETWEEN[:-1]}|$)"
+    return rf"(?i)(?<![^{BETWEEN[1:-2]}]){_any_of(list(words))}(?![^{BETWEEN[1:-2]}])"
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -178,17 +271,23 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     own = own.select("doc_id", F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("long").alias("n_words"), F.when(F.col("text").rlike(gate()), _words(F.col("text"))).alias("words"))
     base = F.array(*[F.struct(F.lit(label).alias("label"), _spans(F.col("words"), F.lit(f"(?<= ){phrase}(?= )")).alias("at")) for phrase, label in BASE])
     gated = F.col("words").contains(" license ")
-    own = own.withColumn("base", F.when(gated, base).otherwise(F.array().cast("array<struct<label:string,at:array<struct<start:int,end:int>>>>")))
-    rule = lambda p, label, pattern, w: F.struct(F.lit(p).alias("priority"), F.lit(label).alias("label"), F.lit(pattern).alias("pattern"), F.lit(w).alias("weight"))
+    own = own.withColumn("base", F.when(gated, base).otherwise(F.array().cast(f"array<struct<label:string,at:array<{PLACE}>>>")))
+    given = rules()
     by_keyword: dict[str, list[Column]] = {}
-    for p, label, keyword, pattern, w in rules():
-        by_keyword.setdefault(keyword, []).append(rule(p, label, pattern, w))
-    none = F.array().cast("array<struct<priority:int,label:string,pattern:string,weight:double>>")
-    given = F.flatten(F.array(*[F.when(F.col("words").rlike(f" (?:{k}) "), F.array(*own_rules)).otherwise(none) for k, own_rules in by_keyword.items()]))
-    own = own.withColumn("given", F.when(F.col("words").isNotNull(), given).otherwise(none))
-    fires = F.filter("given", lambda r: F.regexp_like(F.col("words"), r["pattern"]))
-    found = F.flatten(F.transform(fires, lambda r: F.transform(_spans(F.col("words"), r["pattern"]), lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("backward"), r["priority"].alias("priority"), r["label"].alias("label"), r["weight"].alias("weight")))))
-    own = own.withColumn("stay", _settle(found.cast(DETECTION)))
+    for p, _, keyword, pattern, _ in given:
+        by_keyword.setdefault(keyword, []).append(F.when(F.col("words").rlike(pattern), F.lit(p)))
+    held = lambda keyword: reduce(or_, [F.col("words").contains(f" {k} ") for k in keyword.split("|")])
+    none = F.array().cast("array<int>")
+    fires = F.array_compact(F.flatten(F.array(*[F.when(held(k), F.array(*own_rules)).otherwise(none) for k, own_rules in by_keyword.items()])))
+    own = own.withColumn("fires", F.when(F.col("words").isNotNull(), fires).otherwise(none))
+    known = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(pattern).alias("pattern"), F.lit(w).alias("weight")) for _, label, _, pattern, w in given])
+
+    def places(p: Column) -> Column:
+        rule = F.element_at(known, p + 1)
+        detection = lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("backward"), p.alias("priority"), rule["label"].alias("label"), rule["weight"].alias("weight"))
+        return F.transform(_spans(F.col("words"), rule["pattern"]), detection)
+
+    own = own.withColumn("stay", F.when(F.size("fires") > 0, _settle(F.flatten(F.transform("fires", places)).cast(f"array<{DETECTION}>"))).otherwise(F.array().cast(f"array<{DETECTION}>")))
     starts = F.flatten(F.transform("base", lambda b: F.transform(b["at"], lambda x: x["start"])))
     with_place = F.transform(F.filter("base", lambda b: F.size(b["at"]) > 0), lambda b: b["label"])
     return own.select("doc_id", "n_words", starts.alias("starts"), with_place.alias("based"), "stay").select(

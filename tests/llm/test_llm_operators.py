@@ -453,6 +453,38 @@ def test_licence_gates_pass_every_rule(spark):
     assert [r for r in licenses.scan(df).where("score = 0 or labels = ''").join(df, "doc_id").select("text").collect()] == []
 
 
+def brute_licences(t):
+    """labels, best weight and detections by the definition."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+    joined, found, out = f" {' '.join(words)} ", [], []
+    for p, label, _, pattern, weight in licenses.rules():
+        for m in re.finditer(pattern, joined, re.A):
+            start = joined[: m.start()].count(" ") - 1
+            found.append((start, -(start + len(m.group(0).split())), p, label, weight))
+    for x in sorted(found):
+        if not out or x[0] >= -out[-1][1]:
+            out.append(x)
+        elif x[1] < out[-1][1] and x[2] < out[-1][2]:
+            out[-1] = x
+    base = {label for phrase, label in licenses.BASE if f" {phrase} " in joined}
+    return ",".join(sorted({x[3] for x in out} | base)), max([x[4] for x in out] + [0.75 * bool(base)]), [(x[3], x[0], -x[1]) for x in out]
+
+
+def test_licences_are_brute_force(spark):
+    rng, every = random.Random(6), licenses.rules()
+    texts = []
+    for i in range(500):
+        parts = [example(rng.choice(every)[3], rng) if rng.random() < 0.6 else prose(rng.randint(1, 9)) for _ in range(rng.randint(0, 7))]
+        joined = " ".join(parts).split()
+        texts.append(rng.choice([" ", ", ", "\n"]).join(w.upper() if rng.random() < 0.2 else w for w in joined if rng.random() < 0.97))
+    texts += ["mit license " * 20_000, "all rights reserved copyright 2001 " * 5_000]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).collect()}
+    assert sum(bool(r.detections) for r in got.values()) > 300
+    for i, t in enumerate(texts):
+        r = got[i]
+        assert (r.labels, r.score, [(x.label, x.start, x.end) for x in r.detections]) == brute_licences(t), t[:300]
+
+
 def test_empty_tables(docs, labels):
     none = docs.limit(0)
     assert exact.exact_duplicates(none).count() == exact.deduplicate(none).count() == pii.find(none).count() == licenses.scan(none).count() == 0
