@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -17,8 +18,9 @@ SPACE = re.compile(r"[\s\xa0]+")
 # Element names of HTML by their role.
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe noframes xmp template svg math".split())
-NEVER = frozenset("head nav footer aside form button select option menu dialog object canvas audio video".split())
+RAW = frozenset("script style textarea title noscript iframe noframes xmp".split())
+FOREIGN = frozenset("svg math".split())
+NEVER = FOREIGN | frozenset("template head nav footer aside form button select option menu dialog object canvas audio video".split())
 CLOSES_P = BLOCK - frozenset(["body", "html"])
 SAME = {"li": "ul ol menu", "dt": "dl", "dd": "dl", "tr": "table", "td": "tr table", "th": "tr table", "option": "select"}
 # Words in class, id or role that mark what is not the article.
@@ -28,6 +30,7 @@ NOISE = re.compile(
     re.I,
 )
 ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+RAW_ENDS = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*(?:!\s*important\s*)?(?:;|$)", re.I)
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
@@ -55,9 +58,21 @@ def hidden(attributes: str) -> bool:
 
 
 def parse(html: str) -> Node:
-    """A forgiving tree: unknown ends are passed over, open paragraphs and items end where the next begins."""
+    """A forgiving tree: unknown ends are passed over, open paragraphs and items end where the next begins, drawings where a block begins.
+
+    Scripts and styles without an end reach to the end of the page; other elements of plain text without an end are passed over.
+    """
     root = at = Node("root")
-    pos = 0
+    pos, depth, endless = 0, Counter(), set()
+
+    def leave(x: Node, upto: Node) -> Node:
+        """The parent of upto, which is x or above it; all in between are closed."""
+        while True:
+            depth[x.tag] -= 1
+            if x is upto:
+                return x.parent
+            x = x.parent
+
     for m in iter(lambda: TOKEN.search(html, pos), None):
         if m.start() > pos:
             at.children.append(html[pos : m.start()])
@@ -66,38 +81,48 @@ def parse(html: str) -> Node:
             continue
         end, tag = m.group(1), m.group(2).lower()
         if end:
-            x = at
+            x = at if depth[tag] else root
             while x is not root and x.tag != tag and not (tag not in BLOCK and x.tag in BLOCK):
                 x = x.parent
             if x is not root and x.tag == tag:
-                at = x.parent
+                at = leave(at, x)
             continue
         if tag in RAW:  # its text is no text of the page
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, pos)
-            pos = close.end() if close else len(html)
+            close = None if tag in endless else RAW_ENDS[tag].search(html, pos)
+            if close:
+                pos = close.end()
+            else:
+                endless.add(tag)
+                pos = len(html) if tag in ("script", "style") else pos
             continue
         if tag == "br":
             at.children.append("\n")
         if tag in VOID and tag != "hr":
             continue
+        if tag in BLOCK and any(depth[f] for f in FOREIGN):
+            x = at
+            while x.tag not in FOREIGN:
+                x = x.parent
+            at = leave(at, x)
         if tag in CLOSES_P:
             x = at
             while x is not root and x.tag not in BLOCK:
                 x = x.parent
             if x.tag == "p":
-                at = x.parent
-        if tag in SAME:
+                at = leave(at, x)
+        if tag in SAME and depth[tag]:
             x, stop = at, SAME[tag].split()
             while x is not root and x.tag != tag and x.tag not in stop and x.tag not in ("td", "th", "table"):
                 x = x.parent
             if x.tag == tag:
-                at = x.parent
+                at = leave(at, x)
         names = " ".join(a or b or c for a, b, c in NAMED.findall(m.group(3)))
-        banner = tag == "header" and not any(x.tag in ("article", "main") for x in _up(at))
+        banner = tag == "header" and not (depth["article"] or depth["main"])
         new = Node(tag, at, noise=tag in NEVER or banner or bool(names and NOISE.search(names) and tag not in ("body", "html", "article", "main")) or hidden(m.group(3)))
         at.children.append(new)
-        if tag != "hr" and not m.group(3).endswith("/"):
+        if tag != "hr" and not (m.group(3).endswith("/") and (tag not in BLOCK or tag in FOREIGN)):
             at = new
+            depth[tag] += 1
     if pos < len(html):
         at.children.append(html[pos:])
     return root
@@ -146,7 +171,7 @@ def _blocks(top: Node, live: Node | None = None) -> Iterator[tuple[Node, str, in
 def main_text(html: str) -> str:
     """The article's blocks, joined by line ends; empty if the page has none.
 
-    Each block gives its container points for length and commas, half of them the container above, a third the next. A container's
+    Each block gives its container points for length and commas, half of them the container above, a third the next, up to the fifth. A container's
     points are discounted by its share of text in links. The best one is kept with all its blocks, and siblings of it that score a
     fifth of that or hold plain text.
     """
@@ -156,9 +181,18 @@ def main_text(html: str) -> str:
         return ""
     scored: dict[int, Node] = {}
     for node, text, linked in blocks:
-        for x in _up(node):
-            x.chars += len(text)
-            x.linked += linked
+        node.chars += len(text)
+        node.linked += linked
+    order, todo = [], [root]
+    while todo:
+        x = todo.pop()
+        order.append(x)
+        todo.extend(c for c in x.children if isinstance(c, Node))
+    for x in reversed(order):  # what is below counts above
+        if x.parent is not None:
+            x.parent.chars += x.chars
+            x.parent.linked += x.linked
+    for node, text, _ in blocks:
         own = 1 + text.count(",") + min(len(text) / 100, 3) if len(text) >= 25 else 0.2
         holder = node.parent if node.tag in ("p", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td", "dd", "dt", "div") and node.parent is not None and node.parent.tag != "root" else node
         share = 1.0
@@ -181,7 +215,10 @@ def main_text(html: str) -> str:
         for x in best.parent.children:
             if isinstance(x, Node) and not x.noise and x.chars and x.linked < x.chars / 4 and (final(x) >= least or x.tag in ("p", "h1", "h2", "h3") and (x.chars > 80 or x.tag != "p")):
                 keep.add(id(x))
-    return "\n".join(t for n, t, k in blocks if any(id(x) in keep for x in _up(n)))
+    for x in order:  # what is kept is kept with all below it
+        if x.parent is not None and id(x.parent) in keep:
+            keep.add(id(x))
+    return "\n".join(t for n, t, _ in blocks if id(n) in keep)
 
 
 def extract(pages: DataFrame, key_cols: tuple[str, ...] = ("page_id", "url"), html_col: str = "html") -> DataFrame:

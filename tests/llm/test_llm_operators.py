@@ -256,9 +256,55 @@ def test_html_hidden(attributes):
     assert html.main_text(f"<body><p>{words}</p><div {attributes}><p>{words} Unseen.</p></div>") == words
 
 
+@pytest.mark.parametrize("inside", ['<svg viewBox="0 0 1 1"/>', "<svg><path d='M0'/><text>drawn</text></svg>", "<svg><path>", "<noscript>", "<iframe src=x>", "<textarea>", "<template><p>Later</p></template>", "<b/>", "</div></section></b>"])
+def test_html_goes_on_behind(inside):
+    words = "A paragraph, with commas, and enough words to be scored as text."
+    assert html.main_text(f"<body><div><p>{words}</p>{inside}<p>{words} More.</p></div>") == f"{words}\n{words} More."
+
+
+def test_html_of_great_length_or_depth():
+    words = "A paragraph, with commas, and enough words to be scored as text."
+    assert html.main_text("<body><div>" + f"<p>{words}</p>" * 100_000 + "</div>").count("\n") == 99_999
+    assert html.main_text("<div>" * 50_000 + f"<p>{words}").endswith(words)
+    assert html.main_text("<noscript></b><textarea>" * 20_000 + f"<p>{words}").endswith(words)
+
+
+def test_html_against_the_standard_parser():
+    """On the given pages, whose text is one article with paragraphs that may lack their end: the blocks that Python's own parser sees."""
+    from html.parser import HTMLParser
+    from pathlib import Path
+
+    pages = Path("/root/testdata/sf0.001/pages.parquet")
+    if not pages.exists():
+        pytest.skip("no pages table")
+    import pyarrow.parquet as pq
+
+    class Article(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.inside, self.blocks = 0, [""]
+
+        def handle_starttag(self, tag, attrs):
+            self.inside += tag == "article"
+            self.blocks += [""] if tag in html.BLOCK else []
+
+        def handle_endtag(self, tag):
+            self.inside -= tag == "article"
+            self.blocks += [""] if tag in html.BLOCK else []
+
+        def handle_data(self, data):
+            self.blocks[-1] += data if self.inside else ""
+
+    for h in pq.read_table(pages).column("html").to_pylist():
+        parser = Article()
+        parser.feed(h.replace("<br>", " "))
+        assert html.main_text(h) == "\n".join(" ".join(b.split()) for b in parser.blocks if b.strip())
+
+
 def test_html_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>Hello", "t"), (2, None, None, "t"), (2, None, None, "t")], "page_id long, url string, html string, text string")
     assert sorted((r.page_id, r.text, r.n_chars) for r in html.extract(pages).collect()) == [(1, "Hello", 5), (2, "", 0), (2, "", 0)]
+    assert html.extract(pages.limit(0)).collect() == []
 
 
 def test_passages(spark):
