@@ -97,7 +97,7 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col:
         return np.zeros(size + 1)
     shards, blocks = -(-rows // s.shard_rows), (size >> s.block) + 1
 
-    texts = cut(id_text(docs, id_col, text_col).join(F.broadcast(known), "doc_id"), "labelled-texts")  # half the size of their features
+    texts = id_text(docs, id_col, text_col).join(F.broadcast(known), "doc_id")  # read anew each round, which costs less than a copy of them
     z, n = np.zeros(size + 1), np.zeros(size + 1)
     sc = docs.sparkSession.sparkContext
     for _ in range(s.rounds):
@@ -118,30 +118,30 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col:
                 yield from told(((b, own_z[b << s.block : b + 1 << s.block], own_n[b << s.block : b + 1 << s.block]) for b in range(blocks)), names)
 
         def told(states, names: list[str]) -> Iterator[pa.RecordBatch]:
-            """A row for each block: its places that any example has touched, and their z and n."""
+            """A row for each block: z and n of its places; n is 0 where no example has touched one."""
             for b, own_z, own_n in states:
-                at = np.nonzero(own_n)[0]
-                row = [b, at.astype(np.int32).tobytes(), own_z[at].tobytes(), own_n[at].tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names)
+                row = [b, own_z.tobytes(), own_n.tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.int32(), pa.binary(), pa.binary()))], names)
 
         def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = {}
             for x in batches:
-                for b, at, own_z, own_n in zip(*(c.to_pylist() for c in x.columns)):
-                    state = sums.setdefault(b, [np.zeros(1 << s.block), np.zeros(1 << s.block), 0])
-                    at = np.frombuffer(at, np.int32)
-                    state[0][at] += np.frombuffer(own_z)
-                    state[1][at] += np.frombuffer(own_n)
+                for b, own_z, own_n in zip(*(c.to_pylist() for c in x.columns)):
+                    own_z, own_n = np.frombuffer(own_z), np.frombuffer(own_n)
+                    state = sums.setdefault(b, [np.zeros(len(own_z)), np.zeros(len(own_n)), 0])
+                    state[0] += own_z
+                    state[1] += own_n
                     state[2] += 1  # each shard that has rows tells each block
             yield from told(((b, own_z / k, own_n / k) for b, (own_z, own_n, k) in sums.items()), names)
 
-        names, schema = ["block", "at", "z", "n"], "block int, at binary, z binary, n binary"
+        names, schema = ["block", "z", "n"], "block int, z binary, n binary"
         dealt = texts.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")).repartitionById(shards, F.col("shard"))
         mean = dealt.mapInArrow(shard, schema).repartition("block").sortWithinPartitions("block", F.xxhash64("z")).mapInArrow(merge, schema).collect()  # 2**bits + 1 places at most
         z[:], n[:] = 0.0, 0.0
-        for b, at, own_z, own_n in mean:
-            at = np.frombuffer(at, np.int32) + (b << s.block)
-            z[at], n[at] = np.frombuffer(own_z), np.frombuffer(own_n)
+        for b, own_z, own_n in mean:
+            own_z = np.frombuffer(own_z)
+            at = slice(b << s.block, (b << s.block) + len(own_z))
+            z[at], n[at] = own_z, np.frombuffer(own_n)
     return weights(z, n, s)
 
 
