@@ -244,19 +244,9 @@ def _settle(found: Column) -> Column:
     return F.array_compact(running(closed, step, out, f"array<{DETECTION}>", at(-1, 0), DETECTION))
 
 
-def _any_of(words: list[str]) -> str:
-    """A pattern of any of the words, alternatives told apart by their letters from the first on."""
-    heads: dict[str, list[str]] = {}
-    for w in sorted(set(words)):
-        heads.setdefault(w[:1], []).append(w[1:])
-    parts = [head + (_any_of(rest) if len(rest) > 1 else rest[0]) for head, rest in heads.items() if head]
-    return "(?:" + "|".join(parts + [""] * ("" in heads)) + ")"
-
-
-def gate() -> str:
-    """A pattern that every text with a base place or a rule's place matches: the rules' keywords and the words that the forms hold."""
-    words = {k for _, _, keyword, _, _ in rules() for k in keyword.split("|")} | {"license"}
-    return rf"(?i)(?<![^{BETWEEN[1:-2]}]){_any_of(list(words))}(?![^{BETWEEN[1:-2]}])"
+def gate() -> list[str]:
+    """Words of which every text with a base place or a rule's place holds one: the rules' keywords and the base phrases' common word."""
+    return sorted({k for _, _, keyword, _, _ in rules() for k in keyword.split("|")} | {"license"})
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -268,7 +258,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    own = own.select("doc_id", F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("long").alias("n_words"), F.when(F.col("text").rlike(gate()), _words(F.col("text"))).alias("words"))
+    parts = F.split(F.lower("text"), BETWEEN[:-1] + "++")  # only the first and the last may be empty; lower() does more than A-Z, which lets more through
+    empty = lambda part: F.when(part == "", 1).otherwise(0)
+    own = own.select("doc_id", "text", parts.alias("parts"))
+    n_words = F.size("parts") - empty(F.get("parts", 0)) - F.when(F.size("parts") > 1, empty(F.element_at("parts", -1))).otherwise(0)
+    own = own.select("doc_id", n_words.cast("long").alias("n_words"), F.when(F.arrays_overlap("parts", F.lit(gate())), _words(F.col("text"))).alias("words"))
     base = F.array(*[F.struct(F.lit(label).alias("label"), _spans(F.col("words"), F.lit(f"(?<= ){phrase}(?= )")).alias("at")) for phrase, label in BASE])
     gated = F.col("words").contains(" license ")
     own = own.withColumn("base", F.when(gated, base).otherwise(F.array().cast(f"array<struct<label:string,at:array<{PLACE}>>>")))
