@@ -32,7 +32,7 @@ class Settings:
     different contexts, in which a term must stand beside a value. disclosure: share of the value's information that a term must give;
     from `removal` on it is removed, below generalised."""
 
-    window: int = 400
+    window: int = 200
     support: int = 3
     disclosure: float = 0.6
     removal: float = 0.9
@@ -119,10 +119,13 @@ def disclosing_terms(rows: DataFrame, docs: DataFrame, s: Settings, id_col: str
     words = context.where(often(F.col("entity"))).select("entity", "h", F.xxhash64("words").alias("context"), F.explode(F.array_distinct(F.regexp_extract_all("words", F.lit(LETTERS), F.lit(0)))).alias("term"))
     words = cut(words.groupBy("entity", "term", "h").agg(F.min("context").alias("context")), "words")
     together = words.groupBy("entity", "term").agg(F.count("*").alias("c"), F.count_distinct("context").alias("contexts")).where((F.col("c") >= s.support) & (F.col("contexts") >= s.support))
-    # the texts whose contexts hold a term are no more than all that hold it: too many of them rule a pair out before the corpus is counted
-    least = words.groupBy("term", "h").agg(F.lit(1)).groupBy("term").agg(F.count("*").alias("low"))
+    together = cut(together.join(alone, "entity").where(F.col("v") < n).select("entity", "term", "c", "v"), "together")
+    # the texts that hold a term in some context are no more than all that hold it: too many of them rule a pair out before the corpus is counted
+    asked = marks(together, "term")
+    beside = context.select("h", F.explode(F.array_distinct(F.regexp_extract_all("words", F.lit(LETTERS), F.lit(0)))).alias("term")).where(asked(F.col("term")))
+    least = beside.groupBy("term", "h").agg(F.lit(1)).groupBy("term").agg(F.count("*").alias("low"))
     most = F.col("c") * F.pow(F.lit(n) / F.col("v"), 1 - s.disclosure)
-    together = cut(together.join(alone, "entity").join(least, "term").where((F.col("v") < n) & (F.col("low") <= most)).select("entity", "term", "c", "v"), "together")
+    together = cut(together.join(least, "term").where(F.col("low") <= most).select("entity", "term", "c", "v"), "together")
     if together.isEmpty():
         return None
     wanted = marks(together, "term")
