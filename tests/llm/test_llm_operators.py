@@ -328,6 +328,20 @@ def test_passages_despite_pieces_in_lower_ids(spark):
     assert {x[:2] for x in got} == {(101, 100), (102, 100)} and (102, 100, 0, 60) in got
 
 
+def test_passages_of_a_common_seed(spark, monkeypatch):
+    """Seeds that count as common are dealt to shares; all holders still hang together, and repeated rows and negative ids do no harm."""
+    shared = prose(80)
+    rows = [(i - 1, prose(40) + " " + shared + " " + prose(40)) for i in range(200)] + [(-1, None)]
+    df = spark.createDataFrame(rows + rows[5:9], "doc_id long, text string")
+    for common in (-1, 10**9):
+        monkeypatch.setattr(passages, "COMMON", common)
+        monkeypatch.setattr(passages, "SAMPLE", 1)
+        got = passages.shared_passages(df).collect()
+        links = graph.components(spark.createDataFrame([(r.doc_id + 1, r.partner_id + 1) for r in got], "a long, b long"))
+        assert {r.root for r in links.collect()} == {0} and links.count() == 199
+        assert len(got) == len({(r.doc_id, r.partner_id) for r in got}) == 199 and min(r.n_equal for r in got) >= 80
+
+
 def test_edited_passages(spark):
     rng = random.Random(12)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(9))
