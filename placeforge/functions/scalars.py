@@ -10,7 +10,7 @@ HEAVY = ("NS", "EW", "NE", "CC", "DT", "TE", "CG", "CR", "CE")
 LIGHT = ("BP", "SW", "SE", "PW", "PE", "STC", "PTC")
 LINES = {"NS": "NSL", "EW": "EWL", "NE": "NEL", "CC": "CCL", "CE": "CCL", "DT": "DTL", "TE": "TEL", "CG": "CGL", "CR": "CRL", "BP": "BPL", "A": "BPL", "SW": "SKL", "SE": "SKL", "PW": "PGL", "PE": "PGL", "JS": "JRL", "JW": "JRL", "JE": "JRL"}
 SPECIAL_CODES = {"STC": "SKL", "PTC": "PGL"}
-CODE_PREFIXES = ("NS", "EW", "NE", "CC", "CE", "DT", "TE", "CG", "BP", "SW", "SE", "PW", "PE", "STC", "PTC")
+CODE_PREFIXES = ("NS", "EW", "NE", "CC", "CE", "DT", "TE", "CG", "BP", "SW", "SE", "PW", "PE", "STC", "PTC", "CR", "JS", "JW", "JE")
 HUB_CODES = {"SENGKANG MRT STATION": ["STC"]}
 INTERCHANGES = {"CHOA CHU KANG": "Choa_Chu_Kang", "BUKIT PANJANG": "Bukit_Panjang", "SENGKANG": "Sengkang", "PUNGGOL": "Punggol"}
 SMALL_WORDS = ("a", "an", "the", "by", "in", "of", "on", "at", "to", "for", "with", "and", "or")
@@ -93,10 +93,15 @@ def code_line(code: Column) -> Column:
 
 
 def detect_lines(codes: Column) -> Column:
-    """F10."""
+    """codes without a line are left out."""
     return sorted_set(F.filter(F.transform(codes, code_line), lambda x: x.isNotNull()))
 
 
+def detect_lines_strict(codes: Column) -> Column:
+    """A code without a line is an error."""
+    return sorted_set(F.transform(codes, lambda c: F.coalesce(code_line(c), F.raise_error(F.concat(F.lit("no line for code "), F.coalesce(c, F.lit("null")))).cast("string"))))
+
+
 def sorted_set(values: Column) -> Column:
     """O2."""
     return F.array_sort(F.array_distinct(values))
@@ -202,8 +207,9 @@ def nonempty(values: Column) -> Column:
 
 
 def missing(cols: list[str]) -> Column:
-    """P5: names of columns that are null or empty."""
-    return F.array_compact(F.array(*[F.when(F.col(c).isNull() | (F.col(c).cast("string") == ""), F.lit(c)) for c in cols]))
+    """P5: names of columns that are null or empty, as a string or as an array."""
+    empty = lambda c: F.when(F.typeof(c).startswith("array"), F.col(c).cast("string") == "[]").otherwise(F.col(c).cast("string") == "")
+    return F.array_compact(F.array(*[F.when(F.col(c).isNull() | empty(c), F.lit(c)) for c in cols]))
 
 
 def valid_codes(codes: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from math import cos, radians
+from math import degrees, pi, sin
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,28 +17,43 @@ def haversine_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colum
     return F.lit(2 * EARTH_M) * F.atan2(F.sqrt(a), F.sqrt(1 - a))
 
 
-def cell_size(radius_m: float, max_lat: float) -> tuple[float, float]:
-    """Degrees of latitude and longitude that hold the radius everywhere up to max_lat."""
-    g = radius_m / (EARTH_M * radians(1)) * 1.001
-    return g, g / max(cos(radians(max_lat)), 1e-6)
+def _cells(radius_m: float):
+    """The band of a latitude, how many cells a band has around the globe, and the cell of a longitude in it.
+
+    Bands are as high as the radius; a band's cells are as wide as the radius at the band's side towards the pole and one band beyond.
+    """
+    angle = radius_m / EARTH_M * 1.001
+    high = max(degrees(angle), 1e-9)
+    band = lambda lat: F.floor(lat / high).cast("long")
+    farthest = lambda y: F.least(F.greatest(F.abs(y), F.abs(y + 1)) * high + high, F.lit(90.0))
+    wide = lambda y: F.degrees(F.asin(F.least(F.lit(sin(min(angle, pi / 2))) / F.greatest(F.cos(F.radians(farthest(y))), F.lit(1e-12)), F.lit(1.0))))
+    count = lambda y: F.when(farthest(y) >= 90.0, 1).otherwise(F.greatest(F.floor(F.lit(360.0) / wide(y)), F.lit(1))).cast("long")
+    cell = lambda lng, n: F.pmod(F.floor((lng + 180.0) / (F.lit(360.0) / n)).cast("long"), n)
+    return band, count, cell
 
 
-def distance_join(left: DataFrame, right: DataFrame, radius_m: float, max_lat: float = 60.0, strict: bool = False, on: list[str] | None = None) -> DataFrame:
+def distance_join(left: DataFrame, right: DataFrame, radius_m: float, strict: bool = False, on: list[str] | None = None) -> DataFrame:
     """Pairs of left (lat, lng, ..) and right (r_lat, r_lng, ..) within the radius, with distance_m; `on`: further columns that must agree.
 
-    The right side goes to its cell and the eight around it; that factor is fixed, and the join is by equal cells.
+    Anywhere on the globe: cells get wider in degrees towards the poles, and the last of a band lies beside the first. The right side goes to
+    its cell and the eight around it; that factor is fixed, and the join is by equal cells.
     """
-    gy, gx = cell_size(radius_m, max_lat)
-    own = left.withColumn("__cy", F.floor(F.col("lat") / gy)).withColumn("__cx", F.floor(F.col("lng") / gx))
-    around = F.explode(F.flatten(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda y: F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda x: F.struct((F.floor(F.col("r_lat") / gy) + y).alias("y"), (F.floor(F.col("r_lng") / gx) + x).alias("x"))))))
+    band, count, cell = _cells(radius_m)
+    own = left.withColumn("__cy", band(F.col("lat"))).withColumn("__cx", cell(F.col("lng"), count(F.col("__cy"))))
+
+    def row(y: Column) -> Column:
+        n = count(y)
+        return F.transform(F.array_distinct(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda x: F.pmod(cell(F.col("r_lng"), n) + x, n))), lambda x: F.struct(y.alias("y"), x.alias("x")))
+
+    around = F.explode(F.flatten(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda dy: row(band(F.col("r_lat")) + dy))))
     other = right.withColumn("__c", around).withColumn("__cy", F.col("__c.y")).withColumn("__cx", F.col("__c.x")).drop("__c")
     pairs = own.join(other, ["__cy", "__cx", *(on or [])]).withColumn("distance_m", haversine_m(F.col("lat"), F.col("lng"), F.col("r_lat"), F.col("r_lng")))
     return pairs.where((F.col("distance_m") < radius_m) if strict else (F.col("distance_m") <= radius_m)).drop("__cy", "__cx")
 
 
-def nearest(left: DataFrame, right: DataFrame, key: str, order: str, radius_m: float, max_lat: float = 60.0) -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, key: str, order: str, radius_m: float) -> DataFrame:
     """For each left key the nearest right row within the radius; of equal distances the least `order`."""
-    pairs = distance_join(left, right, radius_m, max_lat)
+    pairs = distance_join(left, right, radius_m)
     kept = F.min_by(F.struct(*[c for c in right.columns], "distance_m"), F.struct("distance_m", order))
     return pairs.groupBy(key).agg(kept.alias("n")).select(key, "n.*")
 

@@ -27,7 +27,7 @@ def union_codes(df: DataFrame, key: str, codes: str) -> DataFrame:
     return each.groupBy(key).agg(F.array_sort(F.collect_set("c")).alias("codes"))
 
 
-def consolidation_pairs(df: DataFrame, near_m: float = 800.0, same_name_m: float = 300.0, max_lat: float = 60.0) -> DataFrame:
+def consolidation_pairs(df: DataFrame, near_m: float = 800.0, same_name_m: float = 300.0) -> DataFrame:
     """Pairs id < other of (id, name, codes, lat, lng) that share a code or a base name nearby, or a name very near.
 
     Each criterion has a radius, so each is blocked by its key and a cell, never by a name alone.
@@ -36,7 +36,7 @@ def consolidation_pairs(df: DataFrame, near_m: float = 800.0, same_name_m: float
 
     def pairs(keyed: DataFrame, radius: float) -> DataFrame:
         right = keyed.select(F.col("id").alias("other"), F.col("lat").alias("r_lat"), F.col("lng").alias("r_lng"), "key")
-        return G.distance_join(keyed, right, radius, max_lat, strict=True, on=["key"]).where("id < other").select("id", "other")
+        return G.distance_join(keyed, right, radius, strict=True, on=["key"]).where("id < other").select("id", "other")
 
     by_code = pairs(base.select("id", "lat", "lng", F.explode("codes").alias("key")), near_m)
     by_name = pairs(base.select("id", "lat", "lng", F.col("full").alias("key")), same_name_m)
@@ -87,10 +87,10 @@ def dedupe_last(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("r"), F.min(order).alias("first_pos")).select(*keys, "r.*", "first_pos")
 
 
-def consolidate(entities: DataFrame, exits: DataFrame, near_m: float = 800.0, same_name_m: float = 300.0, max_lat: float = 60.0) -> DataFrame:
+def consolidate(entities: DataFrame, exits: DataFrame, near_m: float = 800.0, same_name_m: float = 300.0) -> DataFrame:
     """A4: entities (id, name, codes, lat, lng) and exits (id, exit_code, lat, lng, ord) to one row per component:
     root, name of the least id, united codes, exits by first normalised code, sorted O1."""
-    root = _cut(components(entities, consolidation_pairs(entities, near_m, same_name_m, max_lat)))
+    root = _cut(components(entities, consolidation_pairs(entities, near_m, same_name_m)))
     named = entities.join(root, "id")
     codes = named.select("root", F.explode_outer("codes").alias("c")).groupBy("root").agg(F.array_sort(F.collect_set("c")).alias("codes"))
     head = named.groupBy("root").agg(F.min_by("name", "id").alias("name"))

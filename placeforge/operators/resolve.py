@@ -9,9 +9,9 @@ from placeforge.functions import scalars as S
 from placeforge.functions import spatial as G
 
 
-def gazetteer_entities(hits: DataFrame, suffix: str = "MRT STATION") -> DataFrame:
+def gazetteer_entities(hits: DataFrame, suffix: str = "MRT STATION", code_prefixes: tuple[str, ...] = S.CODE_PREFIXES) -> DataFrame:
     """SRC4: hits (building, latitude, longitude, ord) to one row per clean name with a code; the first hit wins."""
-    df = hits.where(S.has_entity_suffix(F.col("building"), suffix)).withColumn("codes", S.sorted_set(S.codes_strict(F.col("building")))).where(F.size("codes") > 0)
+    df = hits.where(S.has_entity_suffix(F.col("building"), suffix)).withColumn("codes", S.sorted_set(S.codes_strict(F.col("building"), code_prefixes))).where(F.size("codes") > 0)
     return G.first_in_group(df.withColumn("name", S.clean_building(F.col("building"))), ["name"], [F.col("ord")])
 
 
@@ -73,9 +73,9 @@ def augment(a_exits: DataFrame, missing_exits: DataFrame) -> DataFrame:
     return a_exits.unionByName(missing_exits)
 
 
-def match_candidates(groups: DataFrame, hits: DataFrame, eps: float = 800.0, max_lat: float = 60.0, on: list[str] | None = None) -> DataFrame:
+def match_candidates(groups: DataFrame, hits: DataFrame, eps: float = 800.0, on: list[str] | None = None) -> DataFrame:
     """Groups (lat, lng, ..) and hits (r_lat, r_lng, ..) at eps metres or less."""
-    return G.distance_join(groups, hits, eps, max_lat, on=on)
+    return G.distance_join(groups, hits, eps, on=on)
 
 
 def best_candidate(pairs: DataFrame, key: str, name: str, building: str, order: str, min_score: float | None = None) -> DataFrame:
@@ -88,10 +88,10 @@ def best_candidate(pairs: DataFrame, key: str, name: str, building: str, order:
     return agg.select(key, S.clean_building(F.col(f"t.{building}")).alias("matched_name"), F.col("t.score").alias("score"), "codes")
 
 
-def nearest_fallback(matched: DataFrame, groups: DataFrame, places: DataFrame, key: str, order: str, radius_m: float, max_lat: float = 60.0) -> DataFrame:
+def nearest_fallback(matched: DataFrame, groups: DataFrame, places: DataFrame, key: str, order: str, radius_m: float) -> DataFrame:
     """Groups without a code take the nearest place."""
     lost = groups.join(matched.where(F.size("codes") > 0).select(key), key, "left_anti")
-    return G.nearest(lost, places, key, order, radius_m, max_lat)
+    return G.nearest(lost, places, key, order, radius_m)
 
 
 def drop_unresolved(df: DataFrame, codes: str = "codes") -> DataFrame:

@@ -92,16 +92,26 @@ def build_requests(df: DataFrame, key: str, name: str, content: str, limit: int
 
 
 def extract_with(requests: DataFrame, fn: Callable[[pd.Series], list[str]], key: str) -> DataFrame:
-    """Fn maps a batch of prompts to responses; a batch that fails gives its rows' error and goes on."""
+    """Fn maps a batch of prompts to responses. The rows of a batch that fails are tried one by one; a row that fails gives its error, of
+    which 500 characters are kept, and the others go on."""
     kind = dict(requests.dtypes)[key]
 
+    def one(prompt: pd.Series) -> tuple[str | None, str | None]:
+        try:
+            return list(fn(prompt))[0], None
+        except Exception as e:  # user code
+            return None, str(e)[:500]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             try:
-                response, error = list(fn(x["prompt"])), None
-            except Exception as e:  # user code
-                response, error = [None] * len(x), str(e)[:500]
-            yield pd.DataFrame({key: x[key], "response": response, "error": [error] * len(x)})
+                response = list(fn(x["prompt"]))
+                if len(response) != len(x):
+                    raise ValueError(f"{len(response)} responses for {len(x)} prompts")
+                told = [(r, None) for r in response]
+            except Exception:  # user code
+                told = [one(x["prompt"].iloc[k : k + 1]) for k in range(len(x))]
+            yield pd.DataFrame({key: x[key], "response": [r for r, _ in told], "error": [e for _, e in told]})
 
     return requests.select(key, "prompt").mapInPandas(run, f"{key} {kind}, response string, error string")
 

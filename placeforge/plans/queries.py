@@ -78,7 +78,7 @@ PARTS = f"p AS (SELECT p_partkey, p_name, p_brand, {sql_point('p_partkey')} FROM
 SELECT s_suppkey, count(*) AS n_hits, cast(round(min(d)) AS BIGINT) AS nearest_m FROM m WHERE d <= 800 GROUP BY s_suppkey""")
 def match_radius(spark, d):
     """J2, F12."""
-    pairs = R.match_candidates(_points(t(spark, d, "supplier"), "s_suppkey"), _points(t(spark, d, "part"), "p_partkey", prefix="r_"), max_lat=2.0)
+    pairs = R.match_candidates(_points(t(spark, d, "supplier"), "s_suppkey"), _points(t(spark, d, "part"), "p_partkey", prefix="r_"))
     return pairs.groupBy("s_suppkey").agg(F.count("*").alias("n_hits"), F.round(F.min("distance_m")).cast("long").alias("nearest_m"))
 
 
@@ -158,7 +158,7 @@ y AS (SELECT *, round(greatest((1 - levenshtein(a, b) / greatest(length(a), leng
 SELECT s_suppkey, b AS matched_name, round(score, 2) AS score FROM y QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY score DESC, p_partkey) = 1""")
 def best_match(spark, d):
     """J3, W4, F21."""
-    pairs = R.match_candidates(_points(t(spark, d, "supplier"), "s_suppkey", "s_name"), _points(t(spark, d, "part"), "p_partkey", "p_name", prefix="r_").withColumn("p_name", F.upper("p_name")), max_lat=2.0)
+    pairs = R.match_candidates(_points(t(spark, d, "supplier"), "s_suppkey", "s_name"), _points(t(spark, d, "part"), "p_partkey", "p_name", prefix="r_").withColumn("p_name", F.upper("p_name")))
     return R.best_candidate(pairs, "s_suppkey", "s_name", "p_name", "p_partkey").select("s_suppkey", "matched_name", F.round("score", 2).alias("score"))
 
 
@@ -169,7 +169,7 @@ def nearest_fallback(spark, d):
     """J4, P7."""
     c = _points(t(spark, d, "customer"), "c_custkey")
     matched = c.select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, F.array(F.lit("X"))).otherwise(F.array().cast("array<string>")).alias("codes"))
-    return R.nearest_fallback(R.drop_unresolved(matched), c, _points(t(spark, d, "supplier"), "s_suppkey", prefix="r_"), "c_custkey", "s_suppkey", 2000.0, 2.0).select("c_custkey", "s_suppkey", F.round("distance_m").cast("long").alias("distance_m"))
+    return R.nearest_fallback(R.drop_unresolved(matched), c, _points(t(spark, d, "supplier"), "s_suppkey", prefix="r_"), "c_custkey", "s_suppkey", 2000.0).select("c_custkey", "s_suppkey", F.round("distance_m").cast("long").alias("distance_m"))
 
 
 @query("""SELECT p_brand, array_to_string(list_sort(list_distinct(flatten(list(regexp_extract_all(upper('ns' || p_partkey % 9 || ' x, dt, a1 ' || p_size), '\\b((?:NS|EW|NE|CC|CE|DT|TE|CG|BP|SW|SE|PW|PE|STC|PTC)\\d*)\\b', 1))))), ',') AS codes FROM part GROUP BY p_brand""")
@@ -191,7 +191,7 @@ def _entities(spark, d) -> DataFrame:
 @query(f"WITH {_ENTITY}, {_PAIRS} SELECT id, other FROM pairs")
 def consolidation_pairs(spark, d):
     """J5."""
-    return C.consolidation_pairs(_entities(spark, d), max_lat=2.0)
+    return C.consolidation_pairs(_entities(spark, d))
 
 
 @query(f"""WITH RECURSIVE {_ENTITY}, {_PAIRS}, linked AS (SELECT id AS a, other AS b FROM pairs UNION SELECT other, id FROM pairs), reach AS (SELECT id, id AS r FROM e UNION SELECT reach.id, linked.b FROM reach JOIN linked ON reach.r = linked.a), roots AS (SELECT id, min(r) AS root FROM reach GROUP BY id)
@@ -200,7 +200,7 @@ def consolidate(spark, d):
     """A4, W1, O1."""
     e = _entities(spark, d)
     x = e.select("id", F.concat(F.lit("Exit X"), (F.col("id") % 4).cast("string")).alias("exit_code"), "lat", "lng", F.col("id").alias("ord"))
-    return C.consolidate(e, x, max_lat=2.0).select("root", "name", F.array_join("codes", ",").alias("codes"), F.size("exits").cast("long").alias("n_exits"))
+    return C.consolidate(e, x).select("root", "name", F.array_join("codes", ",").alias("codes"), F.size("exits").cast("long").alias("n_exits"))
 
 
 _HUB = "SELECT n_nationkey, n_name || ' MRT STATION' AS official_name, [list_element(['NS', 'BP', 'PE', 'DT'], n_nationkey % 4 + 1) || n_nationkey] AS codes FROM nation"
@@ -592,3 +592,58 @@ def enrich_stream(spark, d):
     events.repartition(3).write.parquet(f"{base}/in")
     run(spark, f"{base}/in", events.schema, f"{base}/ledger", f"{base}/checkpoint", _attempts, order=("ts", "event_id"))
     return io.read_state(spark, f"{base}/ledger").select("entity_id", "status", "event_id")
+
+
+@query("""WITH x AS (SELECT p_partkey, list_element(['CR', 'JS', 'JW', 'JE', 'NS'], (p_partkey % 5 + 1)::INT) || (p_partkey % 9 + 1) AS code FROM part)
+SELECT p_partkey, code AS loose, code AS strict, list_element(['CRL', 'JRL', 'JRL', 'JRL', 'NSL'], (p_partkey % 5 + 1)::INT) AS line FROM x""")
+def future_codes(spark, d):
+    """F7, F8, F10 (where an unknown code is an error), for lines still to come."""
+    k = F.col("p_partkey")
+    x = t(spark, d, "part").select(k, F.concat(F.lit("at "), F.element_at(F.array(*map(F.lit, ("cr", "js", "jw", "je", "ns"))), (k % 5 + 1).cast("int")), (k % 9 + 1).cast("string"), F.lit(" and zz3")).alias("said"))
+    strict = S.codes_strict(F.col("said"))
+    return x.select(k, F.array_join(S.codes_loose(F.col("said")), ",").alias("loose"), F.array_join(strict, ",").alias("strict"), F.array_join(S.detect_lines_strict(strict), ",").alias("line"))
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'mrt' WHEN 1 THEN 'lrt' ELSE 'mrt' END AS kind FROM part""")
+def station_types(spark, d):
+    """F9."""
+    k = F.col("p_partkey")
+    name = F.concat(F.upper("p_name"), F.when(k % 3 == 0, " MRT/LRT STATION").when(k % 3 == 1, " LRT STATION").otherwise(" MRT STATION"))
+    return t(spark, d, "part").select(k, S.station_type(name).alias("kind"))
+
+
+@query("""SELECT doc_id, coalesce(quality, 0) <> 1 OR doc_id % 3 = 0 AS failed FROM documents LEFT JOIN labels USING (doc_id)""")
+def failed_extractions(spark, d):
+    """A row without success, or without an exit, has failed."""
+    j = t(spark, d, "documents").join(t(spark, d, "labels"), "doc_id", "left")
+    exits = F.slice(F.array(F.lit("A"), F.lit("B")), 1, (F.col("doc_id") % 3).cast("int"))
+    return j.select("doc_id", S.is_failed_extraction(F.when(F.col("quality") == 1, "success"), exits).alias("failed"))
+
+
+@query("""SELECT o_custkey, CASE WHEN count(*) % 2 = 0 THEN 'listed' WHEN min(o_orderkey) % 2 = 0 THEN '' ELSE 'name' END AS absent FROM orders GROUP BY o_custkey""")
+def missing_lists(spark, d):
+    """P5: an empty list and an empty string are missing."""
+    g = t(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("least"))
+    g = g.select("o_custkey", F.when(F.col("n") % 2 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("x"))).alias("listed"), F.when((F.col("n") % 2 == 1) & (F.col("least") % 2 == 1), "").otherwise("y").alias("name"))
+    return g.select("o_custkey", F.array_join(S.missing(["listed", "name"]), ",").alias("absent"))
+
+
+@query("""SELECT count(*) AS total, count(quality) AS enriched, (SELECT count(*) FROM documents) - count(*) AS skipped, round(count(*) FILTER (quality = 1) * 1.0::DOUBLE / count(*), 6) AS coverage, count(*) FILTER (quality = 1) * 1.0::DOUBLE / count(*) < 0.7 AS warn FROM labels""")
+def merge_totals(spark, d):
+    """A6, A10 of the labelled documents."""
+    labels = t(spark, d, "labels")
+    n = t(spark, d, "documents").count()
+    return Q.merge_summary(labels, F.lit(n), "quality").crossJoin(Q.coverage(labels, F.col("quality") == 1))
+
+
+@query("""SELECT count(*) AS n, count(*) <> 187 AS mismatch, count(*) < 187 AS shortfall FROM supplier""")
+def expected_count(spark, d):
+    """A15."""
+    return Q.count_check(t(spark, d, "supplier"), 187)
+
+
+@query("""SELECT max_by('v' || o_orderkey, (o_orderdate, o_orderkey)) AS path FROM orders""")
+def newest_version(spark, d):
+    """O4."""
+    o = t(spark, d, "orders").select(F.concat(F.lit("v"), F.col("o_orderkey").cast("string")).alias("path"), F.struct("o_orderdate", "o_orderkey").alias("at"))
+    return C.latest_version(o, "path", "at")

@@ -138,3 +138,32 @@ def test_geojson_and_state(spark, tmp_path):
     io.write_state(spark.range(3), str(tmp_path / "s"), 1)
     io.write_state(spark.range(0), str(tmp_path / "s"), 2)
     assert io.read_state(spark, str(tmp_path / "s")).count() == 3
+
+
+def test_distance_join_anywhere_on_the_globe(spark):
+    import random
+    from math import asin, cos, radians, sin, sqrt
+
+    from placeforge.functions import spatial as G
+
+    rng = random.Random(4)
+    places = [(i, lat + rng.uniform(-0.02, 0.02), (lng + rng.uniform(-0.02, 0.02) + 180) % 360 - 180) for i, (lat, lng) in enumerate([(1.3, 103.8), (0.0, 180.0), (75.0, -180.0), (-89.99, 40.0), (89.985, -120.0), (60.0, 0.0)] * 40)]
+    places = [(i, max(-90.0, min(90.0, lat)), lng) for i, lat, lng in places] + [(1000 + k, 89.995, -180.0 + 15 * k) for k in range(24)]
+    far = lambda a, b: 2 * 6_371_000.0 * asin(min(1, sqrt(sin(radians(b[1] - a[1]) / 2) ** 2 + cos(radians(a[1])) * cos(radians(b[1])) * sin(radians(b[2] - a[2]) / 2) ** 2)))
+    left = spark.createDataFrame(places, "id long, lat double, lng double")
+    right = left.toDF("r_id", "r_lat", "r_lng")
+    got = [(r.id, r.r_id) for r in G.distance_join(left, right, 800.0).collect()]
+    want = {(a[0], b[0]) for a in places for b in places if far(a, b) <= 800.0}
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > len(places)
+
+
+def test_extract_with_goes_on_behind_a_bad_row(spark):
+    from placeforge.operators import responses as J
+
+    def fn(prompts):
+        if any("bad" in p for p in prompts):
+            raise ValueError("no")
+        return [p.upper() for p in prompts]
+
+    rows = spark.createDataFrame([(1, "a"), (2, "bad"), (3, "c")], "id long, prompt string").coalesce(1)
+    assert [(r.id, r.response, r.error) for r in J.extract_with(rows, fn, "id").orderBy("id").collect()] == [(1, "A", None), (2, None, "no"), (3, "C", None)]
