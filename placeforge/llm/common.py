@@ -24,6 +24,8 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     import tempfile
 
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not hasattr(spark.sparkContext, "_placeforge_dir"):
         spark.sparkContext._placeforge_dir = "file://" + tempfile.mkdtemp(prefix="placeforge-")
     return spark.sparkContext._placeforge_dir
