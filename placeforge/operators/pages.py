@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from placeforge.functions import scalars as S
 
-# Elements and classes that are noise; words of the section classes, in their order.
+# Elements and classes that are noise; the containers of the main content (element, id, class), in their order; words of the
+# section classes, in their order, and their headings; words of tables.
 NOISE_TAGS = ("nav", "header", "footer", "aside", "script", "style", "noscript")
 NOISE_CLASSES = ("wds-global-navigation", "wds-community-header", "advertisement", "ad-slot", "rail-module", "page-side-tools", "categories", "page-footer")
+CONTAINERS = (("main", "content", None), (None, None, "mw-parser-output"), (None, None, "page-content"), ("article", None, None), ("main", None, None), (None, "content", None), (None, None, "content"), ("body", None, None))
 SECTION_WORDS = {
     "exits": ("exits", "exit", "station exits"),
     "platforms": ("platforms", "platform", "platform layout"),
@@ -22,7 +28,9 @@ SECTION_WORDS = {
     "lines": ("lines", "line", "line information"),
     "layout": ("layout", "station layout"),
 }
-EXIT_WORDS, STOP_WORDS = ("exit", "destination", "location"), ("bus stop", "service", "no")
+SECTION_HEADINGS = ("Exits", "Platforms", "Bus Stops", "Lines", "Layout")
+EXIT_WORDS, STOP_WORDS = ("exit", "destination", "location"), ("bus stop", "bus service", "bus no")
+HEADERS = ("h2", "h3", "h4")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
 
@@ -31,17 +39,153 @@ def page_status(status: Column, html: Column) -> DataFrame:
     return F.struct(F.when(status == 200, "ok").when(status == 404, "not_found").otherwise("failed").alias("outcome"), F.when(status == 200, html).alias("html"))
 
 
+@dataclass
+class _Element:
+    tag: str
+    id: str | None
+    classes: tuple[str, ...]
+    start: int
+    inner: int
+    last: int  # the end of what is inside
+    end: int
+
+
+class _Page(HTMLParser):
+    """Elements and texts of a page that no noise element holds, in document order, by their places in the source.
+
+    An end tag closes the nearest open element of its name and those within; one without such an element is ignored.
+    """
+
+    def __init__(self, source: str):
+        super().__init__(convert_charrefs=True)
+        self.source = source
+        self.lines = [0, *(m.end() for m in re.finditer("\n", source))]
+        self.elements: list[_Element] = []
+        self.children: dict[int, list[_Element]] = {}
+        self.siblings: list[tuple[int, int]] = []  # of each element: its parent and its place there
+        self.texts: list[tuple[int, str]] = []
+        self.noise: list[tuple[int, int]] = []
+        self.open: list[tuple[str, int | None]] = []  # names, and elements outside noise
+        self.names: Counter[str] = Counter()
+        self.hidden: tuple[int, int] | None = None  # depth and start of the noise element that is open
+        self.feed(source)
+        self.close()
+        self._shut(0, len(source), len(source))
+
+    def _at(self) -> int:
+        line, column = self.getpos()
+        return self.lines[line - 1] + column
+
+    def handle_starttag(self, tag, attrs):
+        at, values = self._at(), dict(reversed(attrs))
+        behind = at + len(self.get_starttag_text())
+        classes = tuple((values.get("class") or "").split())
+        if self.hidden is None and (tag in NOISE_TAGS or any(c in NOISE_CLASSES for c in classes)):
+            if tag in VOID:
+                self.noise.append((at, behind))
+                return
+            self.hidden = len(self.open), at
+        number = None
+        if self.hidden is None:
+            number, parent = len(self.elements), self.open[-1][1] if self.open else -1
+            self.elements.append(_Element(tag, values.get("id"), classes, at, behind, behind, behind))
+            own = self.children.setdefault(parent, [])
+            self.siblings.append((parent, len(own)))
+            own.append(self.elements[-1])
+        if tag not in VOID:
+            self.open.append((tag, number))
+            self.names[tag] += 1
+
+    def handle_endtag(self, tag):
+        if not self.names[tag]:
+            return
+        depth = next(k for k in range(len(self.open) - 1, -1, -1) if self.open[k][0] == tag)
+        at = self._at()
+        behind = self.source.find(">", at) + 1 or len(self.source)
+        if not self.source.startswith("</", at):  # <div/>
+            at = behind = at + len(self.get_starttag_text())
+        self._shut(depth, at, behind)
+
+    def _shut(self, depth: int, at: int, behind: int) -> None:
+        while len(self.open) > depth:
+            tag, number = self.open.pop()
+            self.names[tag] -= 1
+            end = behind if len(self.open) == depth else at
+            if number is not None:
+                self.elements[number].last, self.elements[number].end = at, end
+            elif self.hidden and self.hidden[0] == len(self.open):
+                self.noise.append((self.hidden[1], end))
+                self.hidden = None
+
+    def handle_data(self, data):
+        if self.hidden is None and data.strip():
+            self.texts.append((self._at(), data))
+
+    def markup(self, start: int, end: int) -> str:
+        """The source from start to end without noise."""
+        parts = []
+        for a, b in self.noise[bisect_left(self.noise, (start,)) :]:
+            if a >= end:
+                break
+            parts.append(self.source[start:a])
+            start = b
+        return "".join(parts) + self.source[start:end]
+
+    def text(self, e: _Element, sep: str = "") -> str:
+        """Its texts, each without white space around it."""
+        return sep.join(t.strip() for _, t in self.texts[bisect_left(self.texts, (e.start,)) : bisect_right(self.texts, (e.end,))])
+
+    def container(self) -> _Element | None:
+        for tag, own, c in CONTAINERS:
+            for e in self.elements:
+                if tag in (None, e.tag) and own in (None, e.id) and (c is None or c in e.classes):
+                    return e
+        return None
+
+    def sections(self) -> Iterator[tuple[str, str, str, str]]:
+        """(kind, title, text, markup): `page` if there is a container; an `element` for each that follows a heading there as its
+        sibling, up to the next heading; each `table`."""
+        top = self.container()
+        if top is None:
+            return
+        first = next(k for k, e in enumerate(self.elements) if e is top) + 1
+        inside = [(e, s) for e, s in zip(self.elements[first:], self.siblings[first:]) if e.start < top.end]
+        yield "page", "", "", ""
+        for e, (parent, place) in inside:
+            if e.tag in HEADERS:
+                title = self.text(e)
+                for x in self.children[parent][place + 1 :]:
+                    if x.tag in HEADERS:
+                        break
+                    yield "element", title, self.text(x, " "), self.markup(x.start, x.end)
+        for e, _ in inside:
+            if e.tag == "table":
+                yield "table", "", self.text(e, " "), self.markup(e.start, e.end)
+
+
+@F.pandas_udf(StringType())
+def _without_noise(html: pd.Series) -> pd.Series:
+    return html.map(lambda h: h if h is None else _Page(h).markup(0, len(h)))
+
+
+@F.pandas_udf(StringType())
+def _main(html: pd.Series) -> pd.Series:
+    def inside(h: str | None) -> str | None:
+        page = _Page(h or "")
+        top = page.container()
+        return None if top is None else page.markup(top.inner, top.last)
+
+    return html.map(inside)
+
+
 def strip_noise(html: Column) -> Column:
-    """H1: noise elements and their content go."""
-    for tag in NOISE_TAGS:
-        html = F.regexp_replace(html, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", "")
-    return html
+    """H1: noise elements, by name or class, and all they hold go; a null stays null."""
+    return _without_noise(html)
 
 
 def main_content(html: Column) -> Column:
-    """H2: the first of the usual containers, whole pages' body last; null if none."""
-    tries = (r'(?is)<main\b[^>]*id="content"[^>]*>(.*)</main\s*>', r"(?is)<article\b[^>]*>(.*)</article\s*>", r"(?is)<main\b[^>]*>(.*)</main\s*>", r"(?is)<body\b[^>]*>(.*)</body\s*>")
-    return F.coalesce(*[F.when(html.rlike(p), F.regexp_extract(html, p, 1)) for p in tries])
+    """H2: what the first of the usual containers holds, without noise, whole pages' body last; null if there is none."""
+    return _main(html)
 
 
 def visible_text(html: Column) -> Column:
@@ -64,93 +208,42 @@ def route_tables(table_text: Column, section: Column) -> Column:
     return F.array_compact(F.array(F.when(has(EXIT_WORDS) & (section != "exits"), "exits"), F.when(has(STOP_WORDS) & (section != "bus_stops"), "bus_stops")))
 
 
-class _Sections(HTMLParser):
-    """Headings and the elements that follow them as siblings; tables wherever they stand."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.stack: list[str] = []
-        self.skip = self.head = 0
-        self.rows: list[dict] = []
-        self.tables: list[list[str]] = []
-        self.level: int | None = None
-        self.open_text: list[str] = []
-
-    def handle_starttag(self, tag, attrs):
-        classes = (dict(attrs).get("class") or "").split()
-        if tag in VOID:
-            return
-        self.stack.append(tag)
-        if self.skip or tag in NOISE_TAGS or any(c in NOISE_CLASSES for c in classes):
-            self.skip += 1
-            return
-        if tag in ("h2", "h3", "h4"):
-            self.rows.append({"title": "", "text": []})
-            self.level, self.head = len(self.stack), 1
-        elif self.level is not None and len(self.stack) < self.level:
-            self.level = None
-        if tag == "table":
-            self.tables.append([])
-
-    def handle_endtag(self, tag):
-        if tag not in self.stack:
-            return
-        while True:
-            top = self.stack.pop()
-            if self.skip:
-                self.skip -= 1
-            if top in ("h2", "h3", "h4"):
-                self.head = 0
-            if self.level is not None and len(self.stack) < self.level - 1:
-                self.level = None
-            if top == tag:
-                return
-
-    def handle_data(self, data):
-        if self.skip or not data.strip():
-            return
-        if self.head:
-            self.rows[-1]["title"] += data
-        elif self.level is not None and len(self.stack) >= self.level:
-            self.rows[-1]["text"].append(data)
-        if "table" in self.stack and self.tables:
-            self.tables[-1].append(data)
-
-
 def sections(pages: DataFrame) -> DataFrame:
-    """H3, H5: (page_id, seq, kind, title, text); kind is `section` or `table`. Pages are parsed where they lie."""
+    """H3, H5: (page_id, seq, kind, title, text, html) of each page's elements under a heading and of its tables, with their markup; kind is
+    `page` (once, if the page has a container), `element` or `table`. Pages are parsed where they lie; a null page has no row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        clean = lambda parts: re.sub(r"\s+", " ", " ".join(parts)).strip()
         for x in batches:
-            out = []
             for page, html in zip(x["page_id"], x["html"]):
-                p = _Sections()
-                p.feed(html or "")
-                p.close()
-                found = [("section", clean([r["title"]]), clean(r["text"])) for r in p.rows] + [("table", "", clean(t)) for t in p.tables]
-                out += [(page, k, *f) for k, f in enumerate(found)]
-            yield pd.DataFrame(out, columns=["page_id", "seq", "kind", "title", "text"])
+                out = [(page, k, *f) for k, f in enumerate(_Page(html or "").sections())]
+                yield pd.DataFrame(out, columns=["page_id", "seq", "kind", "title", "text", "html"])
 
-    return pages.select("page_id", "html").mapInPandas(run, "page_id long, seq int, kind string, title string, text string")
+    return pages.select("page_id", "html").mapInPandas(run, "page_id long, seq int, kind string, title string, text string, html string")
 
 
 def routed_sections(found: DataFrame) -> DataFrame:
-    """H4, H5: (page_id, seq, section, text); a table goes to every class it fits, each text once in a class."""
-    own = found.where("kind = 'section'").withColumn("section", classify_section(F.col("title")))
+    """H4, H5: (page_id, seq, section, text, html); a table goes to every class it fits, unless the class holds the same already. The row of
+    the page itself has the section `page`."""
+    own = found.where("kind <> 'table'").withColumn("section", F.when(F.col("kind") == "page", "page").otherwise(classify_section(F.col("title"))))
     more = found.where("kind = 'table'").withColumn("section", F.explode(route_tables(F.col("text"), F.lit("other"))))
-    both = own.unionByName(more).select("page_id", "seq", "section", "text")
-    return both.groupBy("page_id", "section", "text").agg(F.min("seq").alias("seq")).select("page_id", "seq", "section", "text")
+    same = Window.partitionBy("page_id", "section", "html").orderBy("seq")  # elements come before tables
+    both = own.unionByName(more).withColumn("n", F.row_number().over(same)).where("kind <> 'table' or n = 1")
+    return both.select("page_id", "seq", "section", "text", "html")
 
 
 def format_sections(routed: DataFrame, names: DataFrame) -> DataFrame:
-    """H6: names (page_id, name): content with the sections in class order, without `other`; none gives ''."""
-    order = F.array_position(F.array(*map(F.lit, SECTION_WORDS)), F.col("section"))
-    block = F.concat(F.lit("<h2>"), F.col("section"), F.lit("</h2> "), F.col("text"))
-    body = routed.where("section <> 'other'").withColumn("o", order).groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("o", "seq", block.alias("b")))).alias("b"))
-    text = F.array_join(F.transform("b", lambda x: x["b"]), " ")
-    full = F.concat(F.lit("<h1>"), F.col("name"), F.lit("</h1> "), text)
-    return names.join(body, "page_id", "left").select("page_id", F.coalesce(F.trim(F.regexp_replace(full, r"\s+", " ")), F.lit("")).alias("content"))
+    """H6: names (page_id, name): the name, then the classes in their order, each heading once, with the markup of its elements; without
+    `other`; '' for a page without a container."""
+    order = F.array_position(F.array(F.lit("page"), *map(F.lit, SECTION_WORDS)), F.col("section"))
+    rows = routed.where("section <> 'other'").groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct(order.alias("o"), "seq", "html"))).alias("b"))
+
+    def part(k: int, heading: str) -> Column:
+        own = F.filter("b", lambda x: x["o"] == k)
+        return F.when(F.size(own) > 0, F.concat(F.lit(f" <h2>{heading}</h2> "), F.array_join(F.transform(own, lambda x: x["html"]), " "))).otherwise("")
+
+    parts = [part(k, heading) for k, heading in enumerate(SECTION_HEADINGS, 2)]
+    full = F.concat(F.lit("<h1>"), F.coalesce("name", F.lit("")), F.lit("</h1>"), *parts)
+    return names.join(rows, "page_id", "left").select("page_id", F.when(F.col("b").isNull(), "").otherwise(F.trim(F.regexp_replace(full, r"\s+", " "))).alias("content"))
 
 
 def extraction_stats(before: Column, after: Column) -> list[Column]:

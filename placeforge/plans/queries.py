@@ -427,7 +427,7 @@ def html_strip(spark, d):
 
 @query()
 def html_sections(spark, d):
-    """H3-H6 over the pages table, whose h1 is made an h2 so that sections exist."""
+    """H3-H6 over the pages table, whose h1 is made an h2 so that sections exist. SQL can't parse such pages; built_sections has SQL."""
     p = t(spark, d, "pages").withColumn("html", F.regexp_replace("html", r"<(/?)h1>", "<$1h2>"))
     return P.format_sections(P.routed_sections(P.sections(p)), p.select("page_id", F.col("url").alias("name")))
 
@@ -649,3 +649,18 @@ def newest_version(spark, d):
     """O4."""
     o = t(spark, d, "orders").select(F.concat(F.lit("v"), F.col("o_orderkey").cast("string")).alias("path"), F.struct("o_orderdate", "o_orderkey").alias("at"))
     return C.latest_version(o, "path", "at")
+
+
+@query("""WITH x AS (SELECT p_partkey AS page_id, p_name AS name, p_partkey % 3 AS k, '<table class="t"><tr><td>' || CASE p_partkey % 3 WHEN 0 THEN 'Exit' WHEN 1 THEN 'Bus service' ELSE 'Plan' END || '</td><td>' || p_partkey || '</td></tr></table>' AS cells FROM part)
+SELECT page_id, '<h1>' || name || '</h1>' || ' <h2>Exits</h2> <p>Exit <b>A</b> &amp; ' || page_id || '</p>' || CASE WHEN k = 0 THEN ' ' || cells ELSE '' END || ' <h2>Platforms</h2> <div>' || name || '</div> ' || cells || CASE WHEN k = 1 THEN ' <h2>Bus Stops</h2> ' || cells ELSE '' END AS content FROM x""")
+def built_sections(spark, d):
+    """H3-H6 of pages built around the parts: noise by name and class, loose text, a section of no class, tables that go to other sections."""
+    k, key = F.col("p_partkey"), F.col("p_partkey").cast("string")
+    word = F.when(k % 3 == 0, "Exit").when(k % 3 == 1, "Bus service").otherwise("Plan")
+    cells = F.concat(F.lit('<table class="t"><tr><td>'), word, F.lit("</td><td>"), key, F.lit("</td></tr></table>"))
+    html = F.concat(
+        F.lit('<body><p>outside</p><div class="x mw-parser-output"><nav><h2>Exits</h2><nav>in</nav><p>menu</p></nav><h3><i>Station</i> Exits</h3>loose<p>Exit <b>A</b> &amp; '),
+        key, F.lit('<span class="ad-slot">buy</span></p><h2>History</h2><p>old</p><h2>Platforms</h2><div>'), F.col("p_name"), F.lit("</div>\n"), cells, F.lit("</div></body>"),
+    )
+    pages = t(spark, d, "part").select(k.alias("page_id"), F.col("p_name").alias("name"), html.alias("html"))
+    return P.format_sections(P.routed_sections(P.sections(pages)), pages.select("page_id", "name"))

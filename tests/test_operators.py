@@ -118,9 +118,23 @@ def test_sections(spark):
     pages = spark.createDataFrame([(1, "u", html), (2, "u", None), (3, "u", "<h2>unclosed")], "page_id long, url string, html string")
     routed = P.routed_sections(P.sections(pages))
     got = {(r.page_id, r.section, r.text) for r in routed.collect()}
-    assert (1, "exits", "Exit A here") in got and (1, "other", "x") in got and (1, "bus_stops", "Service 14") in got
+    assert (1, "exits", "Exit A here") in got and (1, "page", "") in got and (1, "other", "x") in got and (1, "bus_stops", "Service 14") in got
     out = {r.page_id: r.content for r in P.format_sections(routed, pages.select("page_id", F.lit("N").alias("name"))).collect()}
-    assert out[1].startswith("<h1>N</h1> <h2>exits</h2> Exit A here") and out[2] == ""
+    assert out[1] == "<h1>N</h1> <h2>Exits</h2> <p>Exit A here</p> <h2>Bus Stops</h2> <table><tr><td>Service 14</td></tr></table>" and out[2] == out[3] == ""
+
+
+def test_noise_and_containers(spark):
+    cases = {
+        '<nav>a<nav>b</nav>c</nav>d<div class="x ad-slot">e<div>f</div></div>g': ("dg", None),
+        '<body>a<p class="content">b</p><article>c<article>d</article>e</article></body>': ('<body>a<p class="content">b</p><article>c<article>d</article>e</article></body>', "c<article>d</article>e"),
+        '<body><article>c</article><div class="mw-parser-output">m<aside>n</aside>o</div></body>': ('<body><article>c</article><div class="mw-parser-output">mo</div></body>', "mo"),
+        '<body><div id="content">\nb<br/>c<p title="a > b">d</div></body>': ('<body><div id="content">\nb<br/>c<p title="a > b">d</div></body>', '\nb<br/>c<p title="a > b">d'),
+        "a<script>1 < 2</script>b<header>c": ("ab", None),
+        "": ("", None),
+        None: (None, None),
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "h string").select("h", P.strip_noise(F.col("h")).alias("s"), P.main_content(F.col("h")).alias("m"))
+    assert {r.h: (r.s, r.m) for r in df.collect()} == cases
 
 
 def test_responses(spark):
