@@ -447,10 +447,10 @@ def responses(spark, d):
     return e.select("event_id", J.response_is_valid(F.col("v")).alias("valid"), F.array_join(J.result_issues(F.col("v"))["issues"], ",").alias("issues"), F.when(F.col("v").isNotNull(), J.to_enrichment(F.col("v"))["extraction_confidence"]).alias("confidence"))
 
 
-@query("SELECT page_id, 'Extract exits, platforms and bus stops of ' || url || ' as JSON.' || chr(10) || substr(html, 1, 1000) AS prompt FROM pages")
+@query("SELECT page_id, 'Extract exits, platforms and bus stops of ' || url || ' as JSON.' || chr(10) || substr(html, 1, 150000) AS prompt FROM pages")
 def requests(spark, d):
     """L7, F18."""
-    return J.build_requests(t(spark, d, "pages"), "page_id", "url", "html", limit=1000)
+    return J.build_requests(t(spark, d, "pages"), "page_id", "url", "html")
 
 
 @query()
