@@ -14,13 +14,21 @@ def latest_state(attempts: DataFrame, key: str = "entity_id", order: tuple[str,
     return attempts.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r")).select(key, "r.*")
 
 
-def apply_outcomes(ledger: DataFrame, batch: DataFrame) -> DataFrame:
-    """A success or skip replaces the entry, a failure updates it and adds up its attempts. Both have the ledger's columns."""
-    both = ledger.withColumn("__new", F.lit(0)).unionByName(batch.withColumn("__new", F.lit(1)))
-    last = latest_state(both, "entity_id", ("__new", "ts"))
-    tries = both.where("status = 'failed'").groupBy("entity_id").agg(F.sum("attempts").cast("int").alias("__n"))
-    joined = last.join(tries, "entity_id", "left")
-    return joined.withColumn("attempts", F.when(F.col("status") == "failed", F.col("__n")).otherwise(F.col("attempts"))).drop("__new", "__n")
+def apply_outcomes(ledger: DataFrame | None, batch: DataFrame, key: str = "entity_id", order: tuple[str, ...] = ("ts",)) -> DataFrame:
+    """The last row of each entity by `order`; a failure's attempts are the sum since the last success or skip that either table holds.
+
+    Both have the same columns, `status` and `attempts` among them; no ledger is an empty one. Of rows that tie the batch's stays. Where a
+    success comes later than newer failures, those that the ledger has summed already stay counted.
+    """
+    both = batch.withColumn("__new", F.lit(1))
+    if ledger is not None:
+        both = ledger.withColumn("__new", F.lit(0)).unionByName(both)
+    place = F.struct(*order, "__new")
+    failed = F.col("status") == "failed"
+    done = both.where(~failed).groupBy(key).agg(F.max(place).alias("__done"))
+    tries = both.where(failed).withColumn("__place", place).join(done, key, "left").where("__done is null or __place > __done").groupBy(key).agg(F.sum("attempts").cast("int").alias("__n"))
+    joined = latest_state(both, key, (*order, "__new")).join(tries, key, "left")
+    return joined.withColumn("attempts", F.when(failed, F.col("__n")).otherwise(F.col("attempts"))).drop("__new", "__n")
 
 
 def unprocessed(entities: DataFrame, ledger: DataFrame, key: str = "entity_id") -> DataFrame:

@@ -471,7 +471,7 @@ _LATEST = f"SELECT user_id AS entity_id, max_by({_STATUS}, (ts, event_id)) AS st
 
 @query(_LATEST)
 def latest_state(spark, d):
-    """W3, T1."""
+    """W3."""
     return L.latest_state(_attempts(t(spark, d, "events")), order=("ts", "event_id")).select("entity_id", "status", "event_id")
 
 
@@ -592,7 +592,7 @@ def enrich_stream(spark, d):
     base = _folder(spark, "stream")
     events = t(spark, d, "events")
     events.repartition(3).write.parquet(f"{base}/in")
-    run(spark, f"{base}/in", events.schema, f"{base}/ledger", f"{base}/checkpoint", _attempts, order=("ts", "event_id"))
+    run(spark, f"{base}/in", events.schema, f"{base}/ledger", f"{base}/checkpoint", lambda e: _attempts(e).withColumn("attempts", F.lit(1)), order=("ts", "event_id"))
     return io.read_state(spark, f"{base}/ledger").select("entity_id", "status", "event_id")
 
 
@@ -664,3 +664,15 @@ def built_sections(spark, d):
     )
     pages = t(spark, d, "part").select(k.alias("page_id"), F.col("p_name").alias("name"), html.alias("html"))
     return P.format_sections(P.routed_sections(P.sections(pages)), pages.select("page_id", "name"))
+
+
+@query(f"""WITH e AS (SELECT user_id AS entity_id, {_STATUS} AS status, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+g AS (SELECT entity_id, arg_max(status, n) AS status, max(n) AS n, max(n) FILTER (status <> 'failed') AS done FROM e GROUP BY entity_id)
+SELECT entity_id, status, CASE WHEN status = 'failed' THEN n - coalesce(done, 0) ELSE 1 END AS attempts FROM g""")
+def outcomes(spark, d):
+    """The later half of the events is applied to the ledger of the earlier half."""
+    e = _attempts(t(spark, d, "events")).withColumn("attempts", F.lit(1))
+    e = e.crossJoin(F.broadcast(e.agg(F.avg(F.col("ts").cast("double")).alias("mid"))))  # one row
+    early = F.col("ts").cast("double") < F.col("mid")
+    ledger = L.apply_outcomes(None, e.where(early).drop("mid"), order=("ts", "event_id"))
+    return L.apply_outcomes(ledger, e.where(~early).drop("mid"), order=("ts", "event_id")).select("entity_id", "status", F.col("attempts").cast("long").alias("attempts"))

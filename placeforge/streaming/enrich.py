@@ -10,14 +10,11 @@ from placeforge.sources import io
 
 
 def enrich_stream(spark: SparkSession, source: str, schema: StructType, base: str, checkpoint: str, to_attempts, key: str = "entity_id", order: tuple[str, ...] = ("ts",), files: int = 1) -> None:
-    """Reads what is there and ends. to_attempts maps the raw batch to rows (key, .., order columns); a batch that is given twice does
-    no harm, since the last state by `order` stays."""
+    """Reads what is there and ends. to_attempts maps the raw batch to rows (key, status, attempts, .., order columns), which T1 applies to the
+    ledger; a batch that is given twice does no harm, as each starts from the snapshot below its own number."""
 
     def upsert(batch: DataFrame, number: int) -> None:
-        new = to_attempts(batch)
-        old = io.read_state(spark, base, below=number)
-        both = new if old is None else old.unionByName(new)
-        io.write_state(L.latest_state(both, key, order), base, number)
+        io.write_state(L.apply_outcomes(io.read_state(spark, base, below=number), to_attempts(batch), key, order), base, number)
 
     query = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(source).writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(upsert).start()
     query.awaitTermination()

@@ -85,6 +85,9 @@ def test_ledger(spark):
     rows = {r.entity_id: (r.status, r.attempts) for r in new.collect()}
     assert rows == {"NS1": ("success", 1), "NS2": ("skipped", 0), "NS3": ("failed", 2)}
     assert L.broken_disjointness(new).count() == 0
+    turns = [("NS3", "success", False, 1, None, None, at(2)), ("NS3", "failed", False, 1, "z", None, at(3)), ("NS2", "failed", False, 1, "z", None, at(3))]
+    rows = {r.entity_id: (r.status, r.attempts) for r in L.apply_outcomes(new, spark.createDataFrame(turns, schema)).collect()}
+    assert rows == {"NS1": ("success", 1), "NS2": ("failed", 1), "NS3": ("failed", 1)}  # attempts count since the success or skip
 
 
 def test_rules(spark):
