@@ -32,16 +32,17 @@ def consolidation_pairs(df: DataFrame, near_m: float = 800.0, same_name_m: float
 
     Each criterion has a radius, so each is blocked by its key and a cell, never by a name alone.
     """
-    base = df.select("id", "lat", "lng", F.col("name").alias("full"), S.base_name(F.col("name")).alias("base"), "codes")
+    own = df.select("id", "lat", "lng", F.col("name").alias("full"), S.base_name(F.col("name")).alias("base"), "codes")
 
     def pairs(keyed: DataFrame, radius: float) -> DataFrame:
         right = keyed.select(F.col("id").alias("other"), F.col("lat").alias("r_lat"), F.col("lng").alias("r_lng"), "key")
         return G.distance_join(keyed, right, radius, strict=True, on=["key"]).where("id < other").select("id", "other")
 
-    by_code = pairs(base.select("id", "lat", "lng", F.explode("codes").alias("key")), near_m)
-    by_name = pairs(base.select("id", "lat", "lng", F.col("full").alias("key")), same_name_m)
-    by_base = pairs(base.select("id", "lat", "lng", F.col("base").alias("key")), near_m)
-    return by_code.unionByName(by_name).unionByName(by_base).distinct()
+    tagged = F.transform(F.coalesce("codes", F.array().cast("array<string>")), lambda c: F.concat(F.lit("code "), c))
+    near = pairs(own.select("id", "lat", "lng", F.explode(F.array_append(tagged, F.concat(F.lit("name "), F.col("base")))).alias("key")), near_m)
+    if same_name_m > near_m:  # otherwise equal names lie within near_m and have equal base names
+        near = near.unionByName(pairs(own.select("id", "lat", "lng", F.col("full").alias("key")), same_name_m))
+    return near.distinct()
 
 
 def _cut(df: DataFrame) -> DataFrame:
@@ -58,20 +59,29 @@ def _cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _toward(links: DataFrame, both_ways: bool) -> DataFrame:
+    """A contraction of links (hi, lo): the nodes around each node move to the least of them. Both ways: to the least of all around a node,
+    itself included, those above it; else to the least of those below it, and it moves with them."""
+    if both_ways:
+        around = links.select(F.explode(F.array(F.struct(F.col("hi").alias("u"), F.col("lo").alias("v")), F.struct(F.col("lo").alias("u"), F.col("hi").alias("v")))).alias("e")).select("e.*")
+        least = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        return around.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+    least = links.groupBy("hi").agg(F.min("lo").alias("m"))
+    below = links.join(least, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+    return below.unionByName(least.select("hi", F.col("m").alias("lo")))
+
+
 def components(nodes: DataFrame, pairs: DataFrame, max_rounds: int = 50) -> DataFrame:
-    """A4: (id, root): the least id of each component. Least labels pass along edges and jump along pointers; each round is written
-    to the shared folder; it fails loudly if it doesn't settle."""
-    edges = _cut(pairs.select(F.col("id").alias("a"), F.col("other").alias("b")).unionByName(pairs.select(F.col("other").alias("a"), F.col("id").alias("b"))))
-    linked = edges.select(F.col("a").alias("id")).distinct().withColumn("root", F.col("id"))
+    """A4: (id, root): the least id of each component. Links contract to stars around the least ids, above and below by turns, and get fewer; each
+    round is written to the shared folder; it fails loudly if it doesn't settle."""
+    links = _cut(pairs.where("id <> other").select(F.greatest("id", "other").alias("hi"), F.least("id", "other").alias("lo")).distinct())
+    state = None
     for _ in range(max_rounds):
-        least = edges.join(linked, edges["b"] == linked["id"]).groupBy("a").agg(F.min("root").alias("m"))
-        step = linked.join(least, linked["id"] == least["a"], "left").select("id", F.least("root", "m").alias("root"), F.col("root").alias("old"))
-        jump = step.select(F.col("id").alias("j"), F.col("root").alias("jr"))
-        new = _cut(step.join(jump, step["root"] == jump["j"], "left").select("id", F.least("root", "jr").alias("root"), "old"))
-        done = new.where("root <> old").isEmpty()
-        linked = new.select("id", "root")
-        if done:
-            return nodes.select("id").join(linked, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
+        now = links.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
+        if not now[0] or now == state:
+            return nodes.select("id").join(links.withColumnsRenamed({"hi": "id", "lo": "root"}), "id", "left").select("id", F.coalesce("root", "id").alias("root"))
+        state = now
+        links = _cut(_toward(_toward(links, True).distinct(), False).distinct())
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
