@@ -45,7 +45,7 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wit
 
 
 def drop_rows(docs: DataFrame, named: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` without the rows that `named` (doc_id, h, group, kept) names as not kept; its other rows stay, of each group only one.
+    """`docs` without the rows that `named` (doc_id, h, group, kept) names as not kept; its other rows stay, of each group only one: the first as JSON.
 
     Rows that nothing names stay as they are. Only where several rows of a group are kept (a repeated doc_id) is there a second pass.
     """
@@ -62,7 +62,7 @@ def drop_rows(docs: DataFrame, named: DataFrame, id_col: str = "doc_id", text_co
     gone = gone.distinct()
     rest = own.join(gone, same(gone), "left_anti").select("row.*")
     if ties:
-        rest = rest.unionByName(own.join(tied, same(tied)).dropDuplicates(["group"]).select("row.*"))
+        rest = rest.unionByName(own.join(tied, same(tied)).groupBy("group").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row.*"))
     return rest
 
 

@@ -116,7 +116,7 @@ _ROWS = pa.schema([("digest", pa.binary()), ("keep_id", pa.int64()), ("group_siz
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (digest, keep_id, group_size) to one for each digest: the least id and the sum of sizes; sizes of 0 or less leave the index."""
+    """Rows (digest, keep_id, group_size) to one for each digest: the least id and the sum of sizes."""
     index = CuckooIndex()
     for x in batches:
         for key, who, size in zip(*(c.to_pylist() for c in x.columns)):
@@ -161,7 +161,7 @@ def build_index(rows: DataFrame, n: int | None = None) -> DataFrame:
 def insert(index: DataFrame, rows: DataFrame) -> DataFrame:
     """The index after rows (doc_id, digest) came in; the smallest doc_id stays the one that is kept."""
     new = rows.select("digest", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")).mapInArrow(_merge, ROWS)
-    return index.unionByName(new).repartition(_shards(index, 0), "digest").mapInArrow(_merge, ROWS)
+    return index.unionByName(new).repartition(_shards(index, index.count()), "digest").mapInArrow(_merge, ROWS)
 
 
 def delete(index: DataFrame, gone: DataFrame, remaining: DataFrame) -> DataFrame:
@@ -172,7 +172,7 @@ def delete(index: DataFrame, gone: DataFrame, remaining: DataFrame) -> DataFrame
     less = gone.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), (-F.count("*")).alias("group_size"))
     heirs = remaining.join(less.select("digest"), "digest", "left_semi").groupBy("digest").agg(F.min("doc_id").alias("heir"))
     side = less.join(heirs, "digest", "left").select("digest", F.col("heir").alias("keep_id"), "group_size", F.lit(True).alias("going"))
-    both = index.withColumn("going", F.lit(False)).unionByName(side).repartition(_shards(index, 0), "digest").sortWithinPartitions("going")
+    both = index.withColumn("going", F.lit(False)).unionByName(side).repartition(_shards(index, index.count()), "digest").sortWithinPartitions("going")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shard = CuckooIndex()
@@ -205,7 +205,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with all its columns, one row for each text: the one with the smallest doc_id.
 
-    Equal texts that share this doc_id, too, leave one row. Rows that go are named by doc_id and a hash of the raw text.
+    Null texts count as empty. Equal texts that share this doc_id, too, leave one row, the first as JSON. An empty table gives no row.
+    Rows that go are named by doc_id and a hash of the raw text.
     """
     rows = cut(digests(docs, id_col, text_col, with_hash=True), "digests")
     many = build_index(rows).where("group_size > 1").select("digest", "keep_id")

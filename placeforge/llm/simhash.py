@@ -321,7 +321,8 @@ def deduplicate(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, id_c
     """`docs` with all its columns, of texts that hang together by shingles of a Jaccard similarity of at least `similarity` one row: the one
     with the smallest doc_id.
 
-    Candidates agree on a block of the second fingerprint and differ in REACH bits of the first at most; only what exact shingles prove is linked.
+    Candidates agree on a block of the second fingerprint and differ in REACH bits of the first at most; only what exact shingles prove is linked. Null texts count as empty, and texts without a word are alike. Of rows that share the smallest
+    doc_id, too, the first as JSON stays. An empty table gives no row.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -189,8 +189,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_co
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), text_col: str = "text") -> DataFrame:
-    """`docs` with all its columns, without the rows that the model calls toxic; the verdict is reached where the text lies, without a join."""
+    """`docs` with all its columns, without the rows that the model calls toxic; the verdict is reached where the text lies, without a join.
+
+    A null text counts as empty and gets the bias alone; repeated rows fare alike. Without labelled rows there is no model and
+    every row stays. An empty table gives no row.
+    """
     w = train(docs, labels.where(~held_out()), s, text_col=text_col)
+    if not w.any():
+        return docs
     place = np.nonzero(w[:-1])[0]
     model = docs.sparkSession.sparkContext.broadcast((place, w[place], float(w[-1])))
 

@@ -164,6 +164,53 @@ def test_quality(docs, labels):
     assert quality.quality(docs.limit(0), labels).count() == 0 and quality.quality(docs, labels.limit(0)).count() == len(TEXTS)
 
 
+def brute_counts(t):
+    """Words, word_chars, n_symbols, n_dup_lines and n_repeat_words as the contract words them."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", t)
+    lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    held = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(5)}
+    return [len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", t)), sum(x in lines[:i] for i, x in enumerate(lines)), len(held)]
+
+
+def brute_anomaly(forest, row):
+    """The mean path of one row, walked node by node, against that of a failed search among as many rows."""
+    total = 0.0
+    for feature, split, left, right, length in forest.trees:
+        at = 0
+        while left[at] != at:
+            at = left[at] if row[feature[at]] < split[at] else right[at]
+        total += length[at]
+    m = forest.size
+    mean = 2 * (np.log(m - 1) + 0.5772156649) - 2 * (m - 1) / m
+    return 2 ** (-total / len(forest.trees) / mean)
+
+
+def test_quality_is_brute_force(spark):
+    rng = random.Random(6)
+    rows = [(i, t) for i, (_, t) in enumerate(TEXTS) if t is not LONG]
+    for i in range(100, 220):
+        good = i % 3 > 0
+        t = prose(rng.randint(12, 60)) if good else rng.choice(["$$ | %% " * 8 + prose(12), "\n".join([prose(2)] * 9) + prose(11), prose(14).upper() + "!!! 12345 " * 5])
+        rows.append((i, t))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i, _ in rows if i >= 100], "doc_id long, quality int, toxic int")
+    s = quality.Settings(trees=20, rows_a_tree=64)
+    rates = {i: quality.statistics(text(t).encode())[1] for i, t in rows}
+    x = np.array([rates[i] for i in sorted(rates) if i >= 100])
+    y = np.array([int(i % 3 > 0) for i in sorted(rates) if i >= 100])
+    forest, most = quality.fit(x, y, s)
+    scores = [brute_anomaly(forest, r) for r in x]
+    balance = lambda cut: np.mean([v <= cut for v, g in zip(scores, y) if g]) + np.mean([v > cut for v, g in zip(scores, y) if not g])
+    assert balance(most) >= max(map(balance, scores)) - 1e-9 and balance(most) > 1.7
+    got = {r.doc_id: r for r in quality.quality(df, known, s).collect()}
+    for i, t in rows:
+        r, counts = got[i], brute_counts(text(t))
+        assert [r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words] == counts, t
+        assert r.base_failed == (counts[0] < 10 or 100 * counts[4] > 20 * counts[0])
+        assert abs(r.anomaly - brute_anomaly(forest, rates[i])) < 1e-9 and r.kept == (not r.base_failed and r.anomaly <= most)
+
+
 def test_toxicity_learns(spark):
     rng = random.Random(1)
     rows = [(i, prose(40) + (" vile" + rng.choice([".", "***"]) + " nasty " if i % 4 == 0 else " ") + prose(5), int(i % 4 == 0)) for i in range(400)]
@@ -225,6 +272,16 @@ def test_packing(docs):
         assert end <= 2048
 
 
+def test_runs_of_a_plan_do_not_grow_with_the_documents():
+    lengths = np.random.default_rng(2).lognormal(5.5, 1.2, 30_000).astype(int).clip(1, 2048)
+    base = dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True))))
+    for times in (1, 1000, 10**7):
+        sequences = packing.best_plan({k: v * times for k, v in base.items()})
+        runs = packing.places(sequences)
+        assert sum(len(r[0]) for r in runs.values()) <= 4 * 2048  # what pack broadcasts
+        assert sum(n for _, n in sequences) * 2048 <= 1.01 * times * int(lengths.sum()) + 2048
+
+
 def test_plan_is_close_to_the_bound():
     rng = np.random.default_rng(1)
     lengths = rng.integers(1, 1200, 20_000)
@@ -553,6 +610,83 @@ def test_empty_tables(docs, labels):
     assert packing.pack(none, tokenizers.path("byte_bpe_50k.json")).count() == toxicity.toxicity(none, labels).count() == 0
 
 
+def pipeline_rows():
+    """Toxic texts, exact and near copies, personal data, nulls, empty texts, repeated rows and rows without an id."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("klmnopqrstuvw") for _ in range(6))
+    rows, base = [], [" ".join(word() for _ in range(rng.randint(30, 120))) for _ in range(60)]
+    for i, t in enumerate(base):
+        rows.append((i, t))
+        w = t.split()
+        w[len(w) // 2] = "changed"
+        rows.append((1000 + i, [t, t.replace(" ", " \n "), " ".join(w), t + " end"][i % 4]))
+    rows += [(2000 + i, " ".join(word() for _ in range(40)) + " vile nasty " + word()) for i in range(60)]
+    rows += [(3000, None), (3001, ""), (3002, " \n"), (3003, "write to some.one@mail.example.org or +1 (988) 555-2485 " + prose(20)), (3004, prose(9000)), (None, "no id " + prose(30)), (None, "none " + prose(30)), rows[5], rows[5]]
+    return rows
+
+
+def test_pipeline_is_brute_force(spark, tmp_path):
+    import corpus_pipeline
+
+    rows = pipeline_rows()
+    docs = spark.createDataFrame([(i, t, "en", None, None if t is None else len(t), i, "x", True, 0.5) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, h long, group string, kept boolean, score double")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(2000 <= i < 3000)) for i, _ in rows if i is not None] + [(None, None, 1)], "doc_id long, quality int, toxic int").distinct().write.parquet(f"{tmp_path}/labels.parquet")
+    stages, folder = [f for _, f in corpus_pipeline.STAGES], str(tmp_path)
+    held = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+
+    clean = stages[0](spark, docs, folder).cache()
+    assert clean.columns == docs.columns and held(clean) == sorted(((i, t) for i, t in rows if i is None or not 2000 <= i < 3000), key=str)
+
+    groups = {}
+    for i, t in held(clean):
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", text(t)), []).append((i, t))
+    want = [min(g, key=lambda x: (x[0] is None, x[0] or 0)) for g in groups.values()]
+    single = stages[1](spark, clean, folder).cache()
+    assert single.columns == docs.columns and held(single) == sorted(want, key=str)
+
+    shingled = [(i, t, {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}) for i, t in want for w in [re.findall(r"[^\x20\x09-\x0D]+", text(t).lower())]]
+    root = list(range(len(shingled)))
+    for _ in range(3):
+        for a, (_, _, x) in enumerate(shingled):
+            for b, (_, _, y) in enumerate(shingled):
+                if len(x & y) >= 0.8 * len(x | y):
+                    root[a] = root[b] = min(root[a], root[b])
+    near = {}
+    for r, (i, t, _) in zip(root, shingled):
+        near.setdefault(r, []).append((i, t))
+    want = [min(g, key=lambda x: (x[0] is None, x[0] or 0)) for g in near.values()]
+    assert len(want) < len(shingled)
+    apart = stages[2](spark, single, folder).cache()
+    assert apart.columns == docs.columns and held(apart) == sorted(want, key=str)
+
+    hidden = stages[3](spark, apart, folder).cache()
+    assert hidden.columns == docs.columns and hidden.count() == len(want)
+    texts = {i: t for i, t in held(hidden)}
+    assert all(brute_pii(text(t)) == "" for t in texts.values()) and "[EMAIL]" in texts[3003] and "[PHONE]" in texts[3003]
+    assert all(texts[i] == t for i, t in want if i is not None and i != 3003)
+    assert hidden.where(F.col("n_chars") != F.length("text")).count() == 0
+
+    ids = [_exact_ids(t) for _, t in held(hidden)]
+    packed = corpus_pipeline.run(spark, folder).collect()
+    assert sum(r.length for r in packed) == sum(ids) and len(packed) == sum(-(-n // 2048) for n in ids)
+    assert len({r.sequence_id for r in packed}) == -(-sum(ids) // 2048)
+
+
+def _exact_ids(t):
+    from tokenizers import Tokenizer
+
+    return len(Tokenizer.from_file(tokenizers.path("byte_bpe_50k.json")).encode(text(t), add_special_tokens=False).ids) + 1
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
