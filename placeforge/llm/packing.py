@@ -214,15 +214,17 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, end: int = 0, id_col:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece of every row.
 
     A null text counts as empty: the end mark alone. Repeated rows are packed as often as they come. An empty table gives no row.
-    Only the histogram (at most `capacity` rows) reaches the driver; documents of a length are told apart by their rank, which is the
-    sum of the tasks' counts before, so no length is gathered in one task.
+    Only the histogram (at most `capacity` rows) reaches the driver, and the runs broadcast from it are a few for each length, however
+    many documents there are; documents of a length are told apart by their rank, which is the sum of the tasks' counts before, so no
+    length is gathered in one task. The counts (lengths x tasks rows) grow with the input; they are joined by a shuffle of
+    the pieces, in which each partition hashes its share of them.
     """
     rows = cut(pieces(docs, path, capacity, end, id_col, text_col), "pieces")
     counted = cut(rows.groupBy("length", "task").agg(F.count("*").alias("n")), "counts")
     histogram = {r["length"]: r["n"] for r in counted.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # `capacity` rows at most
     where = docs.sparkSession.sparkContext.broadcast(places(best_plan(histogram, capacity)))
     before = counted.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)))
-    ranked = rows.join(before.select("length", "task", F.coalesce("before", F.lit(0)).alias("before")), ["length", "task"])
+    ranked = rows.join(before.select("length", "task", F.coalesce("before", F.lit(0)).alias("before")).hint("shuffle_hash"), ["length", "task"])
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
