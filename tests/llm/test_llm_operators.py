@@ -364,6 +364,32 @@ def test_html_rows(spark):
     assert html.extract(pages.limit(0)).collect() == []
 
 
+def test_seeds_and_chains_are_brute_force(monkeypatch):
+    rng = np.random.default_rng(11)
+    for n in (1, 7, 8, 9, 60, 400):
+        x = rng.integers(0, 30, n).astype(np.uint64)
+        for window in (1, 2, 5, 8):
+            w = min(n, window)
+            assert passages.least_places(x, w).tolist() == sorted({i + int(x[i : i + w].argmin()) for i in range(n - w + 1)})
+    h = rng.integers(0, 3, 3000).astype(np.uint64)
+    for k in (1, 2, 8, 50):
+        of = {}
+        for i, v in enumerate(passages.run_hashes(h, k).tolist()):
+            assert of.setdefault(tuple(h[i : i + k]), v) == v
+        assert len(set(of.values())) == len(of)
+    s, groups, plain = passages.Settings(), [], 0
+    for _ in range(600):
+        steps = rng.integers(1, 30, (rng.integers(1, 40), 1)) + rng.integers(0, 3, (1, 2))
+        steps[rng.random(len(steps)) < 0.1] += rng.integers(0, 90, 2)
+        a = np.cumsum(steps, axis=0)
+        groups.append(rng.permutation(np.concatenate([a, a[:: rng.integers(2, 9)] + [0, 5]]) if rng.random() < 0.2 else a))
+    told = lambda found: sorted(c.tolist() for c in found)
+    quick = [told(passages.chain(g, s)) for g in groups]
+    plain = sum(passages._rising(g[np.lexsort((-g[:, 1], g[:, 0]))], s) is not None for g in groups)
+    monkeypatch.setattr(passages, "_rising", lambda a, s: None)
+    assert quick == [told(passages.chain(g, s)) for g in groups] and 100 < plain < 600
+
+
 def test_passages(spark):
     common, a, b = prose(70), prose(100), prose(100)
     words = common.split()
