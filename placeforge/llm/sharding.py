@@ -48,7 +48,7 @@ def _coordinate(df: DataFrame, name: str) -> Column:
 
 
 def _metadata(docs: DataFrame, dims: tuple[str, ...], id_col: str, text_col: str, keep: bool) -> DataFrame:
-    """doc_id, size, text_crc32, raw coordinates d0, d1, .., tie, uid; with `keep` also the row. Written once; each later pass reads what it needs."""
+    """doc_id, size, text_crc32, raw coordinates d0, d1, .., tie, uid; node (0); with `keep` also the row. Written once; each later pass reads what it needs."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b""))
     own = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
@@ -58,7 +58,7 @@ def _metadata(docs: DataFrame, dims: tuple[str, ...], id_col: str, text_col: str
         *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if keep else []),
     )
     tie = F.shiftrightunsigned(F.xxhash64("doc_id", "text_crc32", "size"), 1)
-    return cut(own.withColumn("tie", tie).withColumn("uid", F.monotonically_increasing_id()), "metadata")
+    return cut(own.withColumn("tie", tie).withColumn("uid", F.monotonically_increasing_id()).withColumn("node", F.lit(0)), "metadata")
 
 
 def _small(df: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
@@ -67,14 +67,14 @@ def _small(df: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
 
 
 def _placed(rows: DataFrame, levels: list[DataFrame]) -> DataFrame:
-    """Adds `node`, the first shard of the node that a row lies in: down the tree, level by level."""
-    out = rows.withColumn("node", F.lit(0))
+    """Moves `node`, the first shard of the node that a row lies in, from the root down the tree, level by level."""
+    out, rest = rows, [c for c in rows.columns if c != "node"]
     for cuts in levels:
         out = out.join(cuts, out["node"] == cuts["at"], "left")
         own, less = F.get("c", F.col("dim")), F.lit(False)
         for key, bound in ((F.col("uid"), F.col("k2")), (F.col("tie"), F.col("k1")), (own, F.col("k0"))):
             less = (key < bound) | ((key == bound) & less)
-        out = out.select(*rows.columns, F.when(F.col("at").isNull() | (less != (F.col("uid") == F.col("moved"))), F.col("node")).otherwise(F.col("right")).alias("node"))
+        out = out.select(*rest, F.when(F.col("at").isNull() | (less != (F.col("uid") == F.col("moved"))), F.col("node")).otherwise(F.col("right")).alias("node"))
     return out
 
 
@@ -162,7 +162,7 @@ def kd_shards(docs: DataFrame, n_shards: int | None = None, target_bytes: int |
         return F.when(F.col(f"d{k}").isNull(), -FINE).otherwise(F.rint(at * FINE).cast("long"))
 
     coordinates = F.array(*[whole(k) for k in range(len(dims))], F.lit(0).cast("long")).alias("c")
-    rows = meta.select("size", "tie", "uid", coordinates)
+    rows = meta.select("size", "tie", "uid", "node", coordinates)
     nodes, levels = {0: n_shards}, []
     while n and any(x > 1 for x in nodes.values()):
         placed = _placed(rows, levels)
@@ -177,7 +177,7 @@ def kd_shards(docs: DataFrame, n_shards: int | None = None, target_bytes: int |
         cuts = [(k, ask[k][0], *key, k + ask[k][1] // 2) for k, key in _medians(placed, open_).items()]
         levels.append(_small(rows, cuts, "at int, dim int, k0 long, k1 long, k2 long, moved long, right int"))
         nodes = {k: x for node, own in nodes.items() for k, x in ({node: own // 2, node + own // 2: own - own // 2} if own > 1 else {node: own}).items()}
-    out = meta.select("doc_id", "size", "text_crc32", "tie", "uid", coordinates, *(["row"] if keep else []))
+    out = meta.select("doc_id", "size", "text_crc32", "tie", "uid", "node", coordinates, *(["row"] if keep else []))
     out = _placed(out, levels).withColumnRenamed("node", "shard")
     return _numbered(out, n or 0, n_shards).select("doc_id", "size", "text_crc32", "shard", "slot", *(["row"] if keep else []))
 
