@@ -57,10 +57,10 @@ def clean_building(s: Column) -> Column:
 
 
 def official_name(s: Column) -> Column:
-    """F5."""
+    """without the dot at its end; a name that has no suffix at its end loses those inside and gets one."""
     bare = F.regexp_replace(strip(s), r"\.$", "")
-    known = bare.endswith("MRT STATION") | bare.endswith("LRT STATION")
-    return F.when(known, bare).when(bare.contains("LRT"), F.concat(bare, F.lit(" LRT STATION"))).otherwise(F.concat(bare, F.lit(" MRT STATION")))
+    known = bare.endswith(" MRT STATION") | bare.endswith(" LRT STATION")
+    return F.when(known, bare).otherwise(F.concat(replaced(bare, " LRT STATION", " MRT STATION"), F.when(bare.contains("LRT"), " LRT STATION").otherwise(" MRT STATION")))
 
 
 def display_name(s: Column) -> Column:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placeforge.functions import scalars as S
 from placeforge.functions import spatial as G
+from placeforge.operators.near import near_links
+from placeforge.sources.io import cut
 
 
 def group_exits(df: DataFrame, key: str, order: str, fields: list[str]) -> DataFrame:
@@ -27,36 +27,37 @@ def union_codes(df: DataFrame, key: str, codes: str) -> DataFrame:
     return each.groupBy(key).agg(F.array_sort(F.collect_set("c")).alias("codes"))
 
 
-def consolidation_pairs(df: DataFrame, near_m: float = 800.0, same_name_m: float = 300.0) -> DataFrame:
-    """Pairs id < other of (id, name, codes, lat, lng) that share a code or a base name nearby, or a name very near.
-
-    Each criterion has a radius, so each is blocked by its key and a cell, never by a name alone.
-    """
+def _keyed(df: DataFrame, near_m: float, same_name_m: float) -> list[tuple[DataFrame, float]]:
+    """The criteria of J5 as points (id, lat, lng, key) with the radius within which equal keys count."""
     own = df.select("id", "lat", "lng", F.col("name").alias("full"), S.base_name(F.col("name")).alias("base"), "codes")
-
-    def pairs(keyed: DataFrame, radius: float) -> DataFrame:
-        right = keyed.select(F.col("id").alias("other"), F.col("lat").alias("r_lat"), F.col("lng").alias("r_lng"), "key")
-        return G.distance_join(keyed, right, radius, strict=True, on=["key"]).where("id < other").select("id", "other")
-
     tagged = F.transform(F.coalesce("codes", F.array().cast("array<string>")), lambda c: F.concat(F.lit("code "), c))
-    near = pairs(own.select("id", "lat", "lng", F.explode(F.array_append(tagged, F.concat(F.lit("name "), F.col("base")))).alias("key")), near_m)
+    out = [(own.select("id", "lat", "lng", F.explode(F.array_append(tagged, F.concat(F.lit("name "), F.col("base")))).alias("key")), near_m)]
     if same_name_m > near_m:  # otherwise equal names lie within near_m and have equal base names
-        near = near.unionByName(pairs(own.select("id", "lat", "lng", F.col("full").alias("key")), same_name_m))
-    return near.distinct()
+        out.append((own.select("id", "lat", "lng", F.col("full").alias("key")), same_name_m))
+    return out
+
 
+def consolidation_pairs(df: DataFrame, near_m: float = 800.0, same_name_m: float = 300.0) -> DataFrame:
+    """All pairs id < other of (id, name, codes, lat, lng) that share a code or a base name nearby, or a name very near.
+
+    Each criterion has a radius, so each is blocked by its key and a cell, never by a name alone. To hold groups together use
+    consolidation_links, which are as many as the points.
+    """
+    found = None
+    for points, radius in _keyed(df, near_m, same_name_m):
+        right = points.select(F.col("id").alias("other"), F.col("lat").alias("r_lat"), F.col("lng").alias("r_lng"), "key")
+        one = G.distance_join(points, right, radius, strict=True, on=["key"]).where("id < other").select("id", "other")
+        found = one if found is None else found.unionByName(one)
+    return found.distinct()
 
-def _cut(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        import tempfile
 
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="placeforge-")
-    path = f"{folder}/components-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def consolidation_links(df: DataFrame, near_m: float = 800.0, same_name_m: float = 300.0) -> DataFrame:
+    """Links (id, other) with the same components as all pairs of consolidation_pairs, as many as the points."""
+    found = None
+    for points, radius in _keyed(df, near_m, same_name_m):
+        one = near_links(points, radius)
+        found = one if found is None else found.unionByName(one)
+    return found.distinct()
 
 
 def _toward(links: DataFrame, both_ways: bool) -> DataFrame:
@@ -73,15 +74,12 @@ def _toward(links: DataFrame, both_ways: bool) -> DataFrame:
 
 def components(nodes: DataFrame, pairs: DataFrame, max_rounds: int = 50) -> DataFrame:
     """A4: (id, root): the least id of each component. Links contract to stars around the least ids, above and below by turns, and get fewer; each
-    round is written to the shared folder; it fails loudly if it doesn't settle."""
-    links = _cut(pairs.where("id <> other").select(F.greatest("id", "other").alias("hi"), F.least("id", "other").alias("lo")).distinct())
-    state = None
+    round is written to the shared folder. They are stars when each node has one link and no root hangs on another; else it fails loudly."""
+    links = cut(pairs.where("id <> other").select(F.greatest("id", "other").alias("hi"), F.least("id", "other").alias("lo")).distinct(), "components")
     for _ in range(max_rounds):
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if not now[0] or now == state:
+        if links.join(links.select(F.col("lo").alias("mid")).distinct(), F.col("hi") == F.col("mid"), "left_semi").isEmpty() and links.groupBy("hi").count().where("count > 1").isEmpty():
             return nodes.select("id").join(links.withColumnsRenamed({"hi": "id", "lo": "root"}), "id", "left").select("id", F.coalesce("root", "id").alias("root"))
-        state = now
-        links = _cut(_toward(_toward(links, True).distinct(), False).distinct())
+        links = cut(_toward(_toward(links, True).distinct(), False).distinct(), "components")
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
@@ -102,7 +100,7 @@ def dedupe_last(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 def consolidate(entities: DataFrame, exits: DataFrame, near_m: float = 800.0, same_name_m: float = 300.0) -> DataFrame:
     """A4: entities (id, name, codes, lat, lng) and exits (id, exit_code, lat, lng, ord) to one row per component:
     root, name of the least id, united codes, exits by first normalised code, sorted O1."""
-    root = _cut(components(entities, consolidation_pairs(entities, near_m, same_name_m)))
+    root = cut(components(entities, consolidation_links(entities, near_m, same_name_m)), "roots")
     named = entities.join(root, "id")
     codes = named.select("root", F.explode_outer("codes").alias("c")).groupBy("root").agg(F.array_sort(F.collect_set("c")).alias("codes"))
     head = named.groupBy("root").agg(F.min_by("name", "id").alias("name"))

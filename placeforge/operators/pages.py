@@ -160,7 +160,7 @@ class _Page(HTMLParser):
                     yield "element", title, self.text(x, " "), self.markup(x.start, x.end)
         for e, _ in inside:
             if e.tag == "table":
-                yield "table", "", self.text(e, " "), self.markup(e.start, e.end)
+                yield "table", "", self.text(e), self.markup(e.start, e.end)
 
 
 @F.pandas_udf(StringType())
@@ -210,7 +210,7 @@ def route_tables(table_text: Column, section: Column) -> Column:
 
 def sections(pages: DataFrame) -> DataFrame:
     """H3, H5: (page_id, seq, kind, title, text, html) of each page's elements under a heading and of its tables, with their markup; kind is
-    `page` (once, if the page has a container), `element` or `table`. Pages are parsed where they lie; a null page has no row."""
+    `page` (once, if the page has a container), `element` or `table`, whose cells' texts are joined without a blank. Pages are parsed where they lie; a null page has no row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from placeforge.functions import scalars as S
 from placeforge.functions import spatial as G
+from placeforge.operators.search import search_titles
 
 
 def gazetteer_entities(hits: DataFrame, suffix: str = "MRT STATION", code_prefixes: tuple[str, ...] = S.CODE_PREFIXES) -> DataFrame:
@@ -120,16 +121,21 @@ def first_existing_candidate(df: DataFrame, pages: DataFrame, key: str, candidat
 
 
 def resolve_url(df: DataFrame, pages: DataFrame, mapping: DataFrame, cache: DataFrame, now: Column, base: str, key: str = "id", name: str = "name") -> DataFrame:
-    """Mapping, cache, first existing candidate, naive URL; interchanges bypass the chain. Adds url, resolution_source."""
+    """Mapping, cache, first existing candidate, search of the titles, naive URL; interchanges bypass the chain. Adds url, resolution_source.
+
+    Only names that no earlier step has settled are searched.
+    """
     full = lookup_mapping(df, mapping, name)
     full = ttl_lookup(full, cache, name, now).withColumn("__c", S.url_candidates(F.col(name), base))
     full = full.join(first_existing_candidate(full, pages, key, "__c"), key, "left")
     inter = F.col(name).contains("MRT/LRT")
-    chain = [(F.col("mapped_url"), "mapping"), (F.col("cached_url"), "cache"), (F.col("candidate_url"), "candidate"), (S.naive_url(F.col(name), base), "naive")]
+    lost = full.where(~inter & F.coalesce("mapped_url", "cached_url", "candidate_url").isNull())
+    full = full.join(search_titles(lost, pages, key, name, base).select(key, "search_url"), key, "left")
+    chain = [(F.col("mapped_url"), "mapping"), (F.col("cached_url"), "cache"), (F.col("candidate_url"), "candidate"), (F.col("search_url"), "search"), (S.naive_url(F.col(name), base), "naive")]
     source = F.when(inter, "interchange")
     for c, label in chain:
         source = source.when(c.isNotNull(), label)
-    return full.withColumn("url", F.when(inter, S.interchange_url(F.col(name), base)).otherwise(F.coalesce(*[c for c, _ in chain]))).withColumn("resolution_source", source).drop("mapped_url", "cached_url", "candidate_url", "__c")
+    return full.withColumn("url", F.when(inter, S.interchange_url(F.col(name), base)).otherwise(F.coalesce(*[c for c, _ in chain]))).withColumn("resolution_source", source).drop("mapped_url", "cached_url", "candidate_url", "search_url", "__c")
 
 
 def add_hub_codes(df: DataFrame, hubs: DataFrame, name: str = "official_name", codes: str = "codes", after: bool = True) -> DataFrame:

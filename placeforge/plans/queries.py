@@ -5,8 +5,6 @@ The tables have no coordinates or codes; both sides derive them from keys in the
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +16,7 @@ from placeforge.operators import merge as M
 from placeforge.operators import pages as P
 from placeforge.operators import quality as Q
 from placeforge.operators import resolve as R
+from placeforge.operators.near import near_links
 from placeforge.operators import responses as J
 from placeforge.sources import io
 
@@ -61,17 +60,6 @@ def _points(df: DataFrame, key: str, *cols: str, prefix: str = "") -> DataFrame:
     return df.select(key, *cols, lat(F.col(key)).alias(f"{prefix}lat"), lng(F.col(key)).alias(f"{prefix}lng"))
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        import tempfile
-
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="placeforge-")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
-
-
 SUPPLIERS = f"s AS (SELECT s_suppkey, s_name, {sql_point('s_suppkey')} FROM supplier)"
 PARTS = f"p AS (SELECT p_partkey, p_name, p_brand, {sql_point('p_partkey')} FROM part)"
 
@@ -196,6 +184,19 @@ def consolidation_pairs(spark, d):
     return C.consolidation_pairs(_entities(spark, d))
 
 
+_DENSE = f"d AS (SELECT o_orderkey AS id, o_orderpriority AS key, 1.3 + (o_orderkey * 7919 % 401) / 401.0::DOUBLE * 0.03 AS lat, 103.8 + (o_orderkey * 104729 % 389) / 389.0::DOUBLE * (CASE WHEN o_custkey % 2 = 0 THEN 0.004 ELSE 0.05 END) AS lng FROM orders WHERE o_orderkey % 8 = 1)"
+
+
+@query(f"""WITH RECURSIVE {_DENSE}, linked AS (SELECT a.id AS a, b.id AS b FROM d a JOIN d b ON a.key = b.key AND a.id <> b.id AND abs(a.lat - b.lat) < 0.002 AND abs(a.lng - b.lng) < 0.002 WHERE {sql_m('a', 'b')} < 60),
+reach AS (SELECT id, id AS r FROM d UNION SELECT reach.id, linked.b FROM reach JOIN linked ON reach.r = linked.a) SELECT id, min(r) AS root FROM reach GROUP BY id""")
+def near_groups(spark, d):
+    """What hangs together by steps under 60 m, in cells of many points of one key."""
+    k = F.col("o_orderkey")
+    wide = F.when(F.col("o_custkey") % 2 == 0, 0.004).otherwise(0.05)
+    points = t(spark, d, "orders").where(k % 8 == 1).select(k.alias("id"), F.col("o_orderpriority").alias("key"), (F.lit(1.3) + (k * 7919 % 401) / 401.0 * 0.03).alias("lat"), (F.lit(103.8) + (k * 104729 % 389) / 389.0 * wide).alias("lng"))
+    return C.components(points, near_links(points, 60.0))
+
+
 @query(f"""WITH RECURSIVE {_ENTITY}, {_PAIRS}, linked AS (SELECT id AS a, other AS b FROM pairs UNION SELECT other, id FROM pairs), reach AS (SELECT id, id AS r FROM e UNION SELECT reach.id, linked.b FROM reach JOIN linked ON reach.r = linked.a), roots AS (SELECT id, min(r) AS root FROM reach GROUP BY id)
 SELECT root, min_by(full_name, e.id) AS name, array_to_string(list_sort(list_distinct(list(code))), ',') AS codes, count(DISTINCT 'X' || e.id % 4) AS n_exits FROM roots JOIN e USING (id) GROUP BY root""")
 def consolidate(spark, d):
@@ -238,6 +239,27 @@ def url_resolution(spark, d):
     return R.resolve_url(n, pages, mapping, cache, now, BASE_URL).select("id", "url", "resolution_source")
 
 
+_WORDS = "list_sort(list_distinct(regexp_extract_all(lower({}), '[a-z0-9]+')))"
+
+
+@query(f"""WITH p AS (SELECT p_partkey AS id, p_name || ' ' || p_partkey % 97 || ' ' || p_brand AS name FROM part),
+pages AS (SELECT DISTINCT '{BASE_URL}/' || replace(CASE WHEN id % 3 = 0 THEN 'The ' || name || ' stop' ELSE name || ' MRT Station' END, ' ', '_') AS url FROM p WHERE id % 4 = 0),
+titles AS (SELECT url, {_WORDS.format(f"replace(substr(url, {len(BASE_URL) + 2}), '_', ' ')")} AS ws FROM pages), total AS (SELECT count(*) AS total FROM titles), posts AS (SELECT url, len(ws) AS size, unnest(ws) AS w FROM titles), often AS (SELECT w, count(*) AS n FROM posts GROUP BY w),
+asked AS (SELECT id, unnest({_WORDS.format("name || ' lift MRT STATION'")}) AS w FROM p), weighed AS (SELECT id, w, cast(floor(1000 * ln(1 + total::DOUBLE / coalesce(n, 1))) AS BIGINT) AS x FROM asked LEFT JOIN often USING (w), total),
+need AS (SELECT id, sum(x) / 2.0 AS need FROM weighed GROUP BY id), hits AS (SELECT id, url, size, sum(x)::BIGINT AS score FROM weighed JOIN posts USING (w) GROUP BY ALL),
+best AS (SELECT id, url, score FROM hits JOIN need USING (id) WHERE score >= need QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, size, url) = 1)
+SELECT p.id, b.url AS search_url, CASE WHEN b.url IS NULL THEN 'naive' ELSE 'search' END AS resolution_source FROM p LEFT JOIN best b ON p.id = b.id""")
+def url_search(spark, d):
+    """Names that no page's address spells are searched among the titles; rank and share of weight are held against SQL."""
+    n = t(spark, d, "part").select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", F.col("p_partkey") % 97, "p_brand").alias("own"))
+    title = F.when(F.col("id") % 3 == 0, F.concat(F.lit("The "), F.col("own"), F.lit(" stop"))).otherwise(F.concat("own", F.lit(" MRT Station")))
+    pages = n.where("id % 4 = 0").select(F.concat(F.lit(f"{BASE_URL}/"), F.replace(title, F.lit(" "), F.lit("_"))).alias("url"))
+    names = n.select("id", F.concat("own", F.lit(" lift MRT STATION")).alias("name"))
+    none = spark.createDataFrame([], "map_key string, url string, rank int"), spark.createDataFrame([], "key string, url string, cached_at timestamp")
+    found = R.resolve_url(names, pages, *none, F.current_timestamp(), BASE_URL)
+    return found.select("id", F.when(F.col("resolution_source") == "search", F.col("url")).alias("search_url"), "resolution_source")
+
+
 @query("SELECT s_suppkey, s_name AS old_value, CASE WHEN s_suppkey % 2 = 0 THEN s_name || '!' ELSE s_name END AS new_value FROM supplier WHERE s_suppkey % 2 = 0")
 def corrections_log(spark, d):
     """J17."""
@@ -525,11 +547,11 @@ def status_summary(spark, d):
     return Q.status_summary(_ledger(t(spark, d, "events")))
 
 
-@query("""SELECT p_partkey, trim(upper(p_name)) AS base, upper(p_name) || ' MRT STATION' AS official, p_name AS display, upper(p_name) || ' MRT STATION' AS source, lower(replace(p_name, ' ', '_')) AS cache_key FROM part""")
+@query("""SELECT p_partkey, trim(upper(p_name)) AS base, upper(p_name) || ' MRT STATION' AS official, upper(p_name) || ' (BP' || p_size || ') LRT STATION' AS inner_suffix, upper(p_name) || 'MRT STATION MRT STATION' AS glued, p_name AS display, upper(p_name) || ' MRT STATION' AS source, lower(replace(p_name, ' ', '_')) AS cache_key FROM part""")
 def name_scalars(spark, d):
     """F3, F5, F6, F16, F23."""
     n = F.col("p_name")
-    return t(spark, d, "part").select("p_partkey", S.base_name(F.concat(n, F.lit(" LRT Station"))).alias("base"), S.official_name(F.concat(F.lit(" "), F.upper(n), F.lit(". "))).alias("official"), S.display_name(F.concat(n, F.lit(" MRT STATION"))).alias("display"), S.source_name(F.concat(n, F.lit(" LRT STATION"))).alias("source"), S.cache_key(n).alias("cache_key"))
+    return t(spark, d, "part").select("p_partkey", S.base_name(F.concat(n, F.lit(" LRT Station"))).alias("base"), S.official_name(F.concat(F.lit(" "), F.upper(n), F.lit(". "))).alias("official"), S.official_name(F.concat(F.upper(n), F.lit(" LRT STATION (BP"), F.col("p_size").cast("string"), F.lit(")"))).alias("inner_suffix"), S.official_name(F.concat(F.upper(n), F.lit("MRT STATION"))).alias("glued"), S.display_name(F.concat(n, F.lit(" MRT STATION"))).alias("display"), S.source_name(F.concat(n, F.lit(" LRT STATION"))).alias("source"), S.cache_key(n).alias("cache_key"))
 
 
 @query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS version, strftime(o_orderdate, '%Y%m%d') AS compact FROM orders")
@@ -567,7 +589,7 @@ def repair_counts(spark, d):
 @query("SELECT s_suppkey AS entity_id, s_name AS name FROM supplier")
 def roundtrip(spark, d):
     """SNK2-SNK4, SRC9: written, versioned, snapshotted and read again."""
-    s, base = t(spark, d, "supplier").select(F.col("s_suppkey").alias("entity_id"), F.col("s_name").alias("name")), _folder(spark, "roundtrip")
+    s, base = t(spark, d, "supplier").select(F.col("s_suppkey").alias("entity_id"), F.col("s_name").alias("name")), io.shared_folder(spark, "roundtrip")
     io.write_version(s.where("false"), f"{base}/v", "2024-01-01")
     io.write_version(s, f"{base}/v", "2024-02-01")
     io.write_state(io.read_latest(spark, f"{base}/v").drop("data_version"), f"{base}/state", 1)
@@ -589,7 +611,7 @@ def enrich_stream(spark, d):
     """The events come as a stream of files."""
     from placeforge.streaming.enrich import enrich_stream as run
 
-    base = _folder(spark, "stream")
+    base = io.shared_folder(spark, "stream")
     events = t(spark, d, "events")
     events.repartition(3).write.parquet(f"{base}/in")
     run(spark, f"{base}/in", events.schema, f"{base}/ledger", f"{base}/checkpoint", lambda e: _attempts(e).withColumn("attempts", F.lit(1)), order=("ts", "event_id"))
@@ -651,12 +673,13 @@ def newest_version(spark, d):
     return C.latest_version(o, "path", "at")
 
 
-@query("""WITH x AS (SELECT p_partkey AS page_id, p_name AS name, p_partkey % 3 AS k, '<table class="t"><tr><td>' || CASE p_partkey % 3 WHEN 0 THEN 'Exit' WHEN 1 THEN 'Bus service' ELSE 'Plan' END || '</td><td>' || p_partkey || '</td></tr></table>' AS cells FROM part)
+@query("""WITH x AS (SELECT p_partkey AS page_id, p_name AS name, p_partkey % 3 AS k, '<table class="t"><tr><td>' || CASE p_partkey % 3 WHEN 0 THEN 'Exit' WHEN 1 THEN 'Bus service' ELSE 'Bus</td><td>stop' END || '</td><td>' || p_partkey || '</td></tr></table>' AS cells FROM part)
 SELECT page_id, '<h1>' || name || '</h1>' || ' <h2>Exits</h2> <p>Exit <b>A</b> &amp; ' || page_id || '</p>' || CASE WHEN k = 0 THEN ' ' || cells ELSE '' END || ' <h2>Platforms</h2> <div>' || name || '</div> ' || cells || CASE WHEN k = 1 THEN ' <h2>Bus Stops</h2> ' || cells ELSE '' END AS content FROM x""")
 def built_sections(spark, d):
-    """H3-H6 of pages built around the parts: noise by name and class, loose text, a section of no class, tables that go to other sections."""
+    """H3-H6 of pages built around the parts: noise by name and class, loose text, a section of no class, tables that go to other sections,
+    words that stand in two cells and so are none."""
     k, key = F.col("p_partkey"), F.col("p_partkey").cast("string")
-    word = F.when(k % 3 == 0, "Exit").when(k % 3 == 1, "Bus service").otherwise("Plan")
+    word = F.when(k % 3 == 0, "Exit").when(k % 3 == 1, "Bus service").otherwise("Bus</td><td>stop")
     cells = F.concat(F.lit('<table class="t"><tr><td>'), word, F.lit("</td><td>"), key, F.lit("</td></tr></table>"))
     html = F.concat(
         F.lit('<body><p>outside</p><div class="x mw-parser-output"><nav><h2>Exits</h2><nav>in</nav><p>menu</p></nav><h3><i>Station</i> Exits</h3>loose<p>Exit <b>A</b> &amp; '),

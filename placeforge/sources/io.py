@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,25 @@ from placeforge.schemas import ENRICHMENT, ENTITY
 FEATURES = "features array<struct<properties:struct<STATION_NA:string,EXIT_CODE:string>,geometry:struct<coordinates:array<double>>>>"
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder where driver and executors both see it; a local one only under a local master that names none."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        import tempfile
+
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="placeforge-")
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it again: lineage ends there."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def flatten_features(df: DataFrame) -> DataFrame:
     """SRC1: a row for each feature; coordinates are (lng, lat); without geometry both are 0."""
     at = lambda k: F.coalesce(F.try_element_at(F.col("f.geometry.coordinates"), F.lit(k)), F.lit(0.0))
