@@ -1,4 +1,4 @@
-"""Scalar functions over Columns: names, exit labels, codes, URLs (F1-F23) and predicates (P1-P9). Nothing here leaves the JVM."""
+"""Scalar functions over Columns: names, exit labels, codes, URLs (F1-F23; F21 lies in names.py) and predicates (P1-P9). Nothing here leaves the JVM."""
 
 from __future__ import annotations
 
@@ -165,17 +165,6 @@ def truncate(s: Column, limit: int = 150_000) -> Column:
     return F.substring(s, 1, limit)
 
 
-def name_score(a: Column, b: Column) -> Column:
-    """0 to 100; the better of edit similarity and of that over the sorted sets of words."""
-
-    def similar(x: Column, y: Column) -> Column:
-        longest = F.greatest(F.length(x), F.length(y))
-        return F.when(longest == 0, 100.0).otherwise((1 - F.levenshtein(x, y) / longest) * 100)
-
-    tokens = lambda s: F.array_join(F.array_sort(F.array_distinct(F.split(F.upper(s), " "))), " ")
-    return F.round(F.greatest(similar(F.upper(a), F.upper(b)), similar(tokens(a), tokens(b))), 4)
-
-
 def data_version(ts: Column, compact: bool = False) -> Column:
     """F22."""
     return F.date_format(ts, "yyyyMMdd" if compact else "yyyy-MM-dd")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from placeforge.functions import scalars as S
 from placeforge.functions import spatial as G
+from placeforge.functions.names import name_score
 from placeforge.operators.search import search_titles
 
 
@@ -81,7 +82,7 @@ def match_candidates(groups: DataFrame, hits: DataFrame, eps: float = 800.0, on:
 
 def best_candidate(pairs: DataFrame, key: str, name: str, building: str, order: str, min_score: float | None = None) -> DataFrame:
     """Best name score, the first on a tie; codes over all hits in range."""
-    scored = pairs.withColumn("score", S.name_score(F.col(name), F.col(building)))
+    scored = pairs.withColumn("score", F.round(name_score(F.col(name), F.col(building)), 6))
     if min_score is not None:
         scored = scored.where(F.col("score") >= min_score)
     top = F.max_by(F.struct(building, "score"), F.struct("score", -F.col(order)))
