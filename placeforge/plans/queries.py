@@ -5,10 +5,11 @@ The tables have no coordinates or codes; both sides derive them from keys in the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from placeforge.functions import scalars as S
+from placeforge.functions.canonical import canonical_json, check_sealed, sealed
 from placeforge.functions import spatial as G
 from placeforge.operators import consolidate as C
 from placeforge.operators import ledger as L
@@ -18,7 +19,9 @@ from placeforge.operators import quality as Q
 from placeforge.operators import resolve as R
 from placeforge.operators.near import near_links
 from placeforge.operators import responses as J
-from placeforge.sources import io
+from placeforge.operators import rules as V
+from placeforge.schemas import ENRICHED_EXIT, ENRICHMENT_FIELDS, ENRICHMENT_RULES, ENTITY, ENTITY_FIELDS, ENTITY_RULES
+from placeforge.sources import io, state
 
 BASE_URL = "https://wiki.example.org/wiki"
 QUERIES: dict = {}
@@ -277,6 +280,66 @@ def url_search(spark, d):
     return found.select("id", F.when(F.col("resolution_source") == "search", F.col("url")).alias("search_url"), "resolution_source")
 
 
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN s_name || '!' ELSE s_name END AS s_name FROM supplier")
+def corrected(spark, d):
+    """The corrected table; a correction that changes nothing, and rows without one, stay."""
+    s = t(spark, d, "supplier").select("s_suppkey", "s_name")
+    given = s.where("s_suppkey % 3 < 2").select("s_suppkey", F.when(F.col("s_suppkey") % 3 == 0, F.concat("s_name", F.lit("!"))).otherwise(F.col("s_name")).alias("new_value"))
+    return R.apply_corrections(s, given, "s_suppkey", "s_name").select("s_suppkey", "s_name")
+
+
+@query("""SELECT 'feature' AS kind, s_name AS id, s_nationkey || '|' || CASE WHEN s_suppkey % 5 = 0 THEN '0.0|0.0' ELSE (s_suppkey / 4.0::DOUBLE) || '|' || (s_suppkey / 8.0::DOUBLE) END AS value FROM supplier
+UNION ALL SELECT 'entity', 'NS' || s_suppkey, s_name || '|' || s_suppkey % 3 FROM supplier UNION ALL SELECT CASE s_suppkey % 3 WHEN 0 THEN 'success' WHEN 1 THEN 'failed' ELSE 'skipped' END, 'NS' || s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN s_name ELSE '' END FROM supplier
+UNION ALL SELECT 'broken', k, '{"cut": [' FROM (SELECT unnest(['features', 'entities', 'enrichment']) AS k)""")
+def documents_read_back(spark, d):
+    """SRC1-SRC3: documents of each kind are written, one for each nation and a broken one among them, and read again."""
+    s, base = t(spark, d, "supplier"), io.shared_folder(spark, "documents")
+    k, none = F.col("s_suppkey"), F.lit(None).cast("string")
+    place = F.when(k % 5 == 0, F.lit(None)).otherwise(F.struct(F.array((k / 8.0).cast("double"), (k / 4.0).cast("double")).alias("coordinates")))
+    feature = F.struct(F.struct(F.col("s_name").alias("STATION_NA"), F.col("s_nationkey").cast("string").alias("EXIT_CODE")).alias("properties"), place.alias("geometry"))
+    exits = F.transform(F.sequence(F.lit(1), (k % 3).cast("int"), F.lit(1)), lambda i: F.struct(i.cast("string").alias("exit_code")))
+    name = F.concat(F.lit("NS"), k.cast("string"))
+    entity = F.struct(name.alias("station_id"), F.col("s_name").alias("official_name"), F.when(k % 3 > 0, exits).otherwise(F.array().cast("array<struct<exit_code:string>>")).alias("exits"))
+    pick = lambda r, value: F.filter(F.collect_list(F.when(k % 3 == r, value)), lambda x: x.isNotNull())
+    result = F.map_from_entries(pick(0, F.struct(name.alias("key"), F.struct(name.alias("station_id"), F.col("s_name").alias("official_name")).alias("value"))))
+    listed = [pick(r, F.struct(name.alias("station_id"))).alias(c) for r, c in ((1, "failed_stations"), (2, "skipped_stations"))]
+    for kind, parts in (("features", [F.collect_list(feature).alias("features")]), ("entities", [F.collect_list(entity).alias("stations")]), ("enrichment", [result.alias("stations"), *listed])):
+        good = s.groupBy("s_nationkey").agg(F.to_json(F.struct(*parts)).alias("value"))
+        bad = spark.range(1).select(F.lit(-1).alias("s_nationkey"), F.lit('{"cut": [').alias("value"))
+        good.unionByName(bad).repartition("s_nationkey").write.partitionBy("s_nationkey").text(f"{base}/{kind}")
+    geo = io.read_geojson(spark, f"{base}/features").select(F.lit("feature").alias("kind"), F.col("station_na").alias("id"), F.concat_ws("|", "exit_code", F.col("latitude").cast("string"), F.col("longitude").cast("string")).alias("value"))
+    ent = io.read_entities(spark, f"{base}/entities").select(F.lit("entity").alias("kind"), F.col("station_id").alias("id"), F.concat_ws("|", "official_name", F.size("exits").cast("string")).alias("value"))
+    enr = io.read_enrichment(spark, f"{base}/enrichment").select(F.col("status").alias("kind"), F.col("station_id").alias("id"), F.coalesce("result.official_name", F.lit("")).alias("value"))
+    out = geo.unionByName(ent).unionByName(enr)
+    for kind, schema in (("features", io.FEATURES), ("entities", io.SAVED_ENTITIES), ("enrichment", io.SAVED_ENRICHMENT)):
+        out = out.unionByName(io.read_documents(spark, f"{base}/{kind}", schema)[1].select(F.lit("broken").alias("kind"), F.lit(kind).alias("id"), S.strip(F.col("document")).alias("value")))
+    return out
+
+
+@query("""SELECT 'entity' AS kind, s_suppkey AS id, s_name AS value FROM supplier UNION ALL SELECT 'run', s_suppkey % 5, count(*)::VARCHAR FROM supplier GROUP BY s_suppkey % 5 UNION ALL SELECT 'alert', s_suppkey, 'coverage below 70 %' FROM supplier WHERE s_suppkey % 4 = 0
+UNION ALL SELECT 'lookup', 0, x FROM (SELECT unnest(['CCL', 'NSL']) AS x) UNION ALL SELECT 'empty', 0, 'low|No relevant content found|0'""")
+def written_read_back(spark, d):
+    """SNK1, SNK4, SNK5, SRC8, L5: entities written and written over, runs and alerts appended twice, each read again."""
+    s, base = t(spark, d, "supplier"), io.shared_folder(spark, "written")
+    own = s.select(F.concat(F.lit("NS"), F.col("s_suppkey").cast("string")).alias("station_id"), F.col("s_name").alias("official_name"))
+    io.write_entities(own.limit(3), f"{base}/entities")
+    io.write_entities(own, f"{base}/entities")
+    back = spark.read.schema(ENTITY).json(f"{base}/entities").select(F.lit("entity").alias("kind"), F.substring("station_id", 3, 20).cast("long").alias("id"), F.col("official_name").alias("value"))
+    for half in (0, 1):
+        part = F.col("s_suppkey") % 2 == half
+        io.append_run(s.where(part).groupBy((F.col("s_suppkey") % 5).alias("run")).agg(F.count("*").alias("n")), f"{base}/runs")
+        io.append_alerts(s.where(part & (F.col("s_suppkey") % 4 == 0)).select("s_suppkey", F.lit("coverage below 70 %").alias("message")), f"{base}/alerts")
+    runs = spark.read.parquet(f"{base}/runs").groupBy("run").agg(F.sum("n").alias("n")).select(F.lit("run").alias("kind"), F.col("run").cast("long").alias("id"), F.col("n").cast("string").alias("value"))
+    alerts = spark.read.parquet(f"{base}/alerts").where("ts is not null").select(F.lit("alert").alias("kind"), F.col("s_suppkey").cast("long").alias("id"), F.col("message").alias("value"))
+    lines = io.lookup_table(spark, {k: v for k, v in S.LINES.items() if k in ("NS", "CC")}, "code", "line").select(F.lit("lookup").alias("kind"), F.lit(0).cast("long").alias("id"), F.col("line").alias("value"))
+    e = J.empty_content_result()
+    empty = s.where("s_suppkey = 1").select(F.lit("empty").alias("kind"), F.lit(0).cast("long").alias("id"), F.concat_ws("|", e["extraction_confidence"], F.array_join(e["accessibility_notes"], ","), F.size(e["exits"]).cast("string")).alias("value"))
+    out = back
+    for x in (runs, alerts, lines, empty):
+        out = out.unionByName(x)
+    return out
+
+
 @query("SELECT s_suppkey, s_name AS old_value, CASE WHEN s_suppkey % 2 = 0 THEN s_name || '!' ELSE s_name END AS new_value FROM supplier WHERE s_suppkey % 2 = 0")
 def corrections_log(spark, d):
     """J17."""
@@ -492,7 +555,12 @@ def requests(spark, d):
     return J.build_requests(t(spark, d, "pages"), "page_id", "url", "html")
 
 
-@query()
+_FOUND_EXITS = "list_transform(regexp_extract_all(prompt, 'Exit ([A-Z0-9][A-Z0-9]?)\\b', 1), lambda x: '{{\"exit_code\": \"' || x || '\"}}')"
+
+
+@query(f"""WITH p AS (SELECT page_id, 'Extract exits, platforms and bus stops of ' || url || ' as JSON.' || chr(10) || substr(html, 1, 150000) AS prompt FROM pages),
+x AS (SELECT page_id, {_FOUND_EXITS.format()} AS found FROM p)
+SELECT page_id, '{{"exits": [' || array_to_string(list_transform(list_filter(range(1, len(found) + 1), lambda i: list_position(found, found[i]) = i), lambda i: found[i]), ', ') || '], "extraction_confidence": "medium"}}' AS response, NULL::VARCHAR AS error FROM x""")
 def extract_job(spark, d):
     """L8."""
     return J.extract_with(J.build_requests(t(spark, d, "pages"), "page_id", "url", "html"), J.table_parser, "page_id")
@@ -632,7 +700,7 @@ def enrich_stream(spark, d):
     events = t(spark, d, "events")
     events.repartition(3).write.parquet(f"{base}/in")
     run(spark, f"{base}/in", events.schema, f"{base}/ledger", f"{base}/checkpoint", lambda e: _attempts(e).withColumn("attempts", F.lit(1)), order=("ts", "event_id"))
-    return io.read_state(spark, f"{base}/ledger").select("entity_id", "status", "event_id")
+    return state.read_buckets(spark, f"{base}/ledger").select("entity_id", "status", "event_id")
 
 
 @query("""WITH x AS (SELECT p_partkey, list_element(['CR', 'JS', 'JW', 'JE', 'NS'], (p_partkey % 5 + 1)::INT) || (p_partkey % 9 + 1) AS code FROM part)
@@ -706,6 +774,124 @@ def built_sections(spark, d):
     return P.format_sections(P.routed_sections(P.sections(pages)), pages.select("page_id", "name"))
 
 
+@query(f"""WITH e AS (SELECT user_id AS entity_id, {_STATUS} AS status, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+g AS (SELECT entity_id, arg_max(status, n) AS status, max(n) AS n, max(n) FILTER (status <> 'failed') AS done FROM e GROUP BY entity_id)
+SELECT entity_id, status, CASE WHEN status = 'failed' THEN n - coalesce(done, 0) ELSE 1 END AS attempts FROM g""")
+def ledger_upserts(spark, d):
+    """SNK3, T1, T13: two batches into buckets, the second one twice; the third touches one entity in a hundred."""
+    e = _attempts(t(spark, d, "events")).withColumn("attempts", F.lit(1))
+    e = e.crossJoin(F.broadcast(e.agg(F.avg(F.col("ts").cast("double")).alias("mid"))))  # one row
+    early, rare = F.col("ts").cast("double") < F.col("mid"), F.col("entity_id") % 100 == 0
+    base = io.shared_folder(spark, "upserts")
+    for version, part in ((0, early), (1, ~early & ~rare), (1, ~early & ~rare), (2, ~early & rare)):
+        state.upsert_buckets(e.where(part).drop("mid"), base, version, order=("ts", "event_id"))
+    return state.read_buckets(spark, base).select("entity_id", "status", F.col("attempts").cast("long").alias("attempts"))
+
+
+@query("""WITH s AS (SELECT s_suppkey AS k FROM supplier), r AS (SELECT k, CASE k % 3 WHEN 0 THEN 'success' WHEN 1 THEN 'failed' ELSE 'skipped' END AS state FROM s)
+SELECT 'whole' AS given, 'main' AS link, k AS entity_id, state FROM r WHERE k % 2 = 0 UNION ALL SELECT 'empty main', 'backup', k, state FROM r WHERE k % 5 = 0
+UNION ALL SELECT 'backup of results', 'backup', k, state FROM r WHERE k % 7 = 0 UNION ALL SELECT 'no backup', 'rebuilt', k, state FROM r UNION ALL SELECT 'only final', 'final', k, 'success' FROM r WHERE state = 'success'""")
+def recovery_chain(spark, d):
+    """SRC9, T6: the main state, its backup, what can be rebuilt and the final output, each where those before it fail."""
+    k = F.col("entity_id")
+    s = t(spark, d, "supplier").select(F.col("s_suppkey").alias("entity_id"))
+    r = s.withColumn("status", F.when(k % 3 == 0, "success").when(k % 3 == 1, "failed").otherwise("skipped"))
+    base, none = io.shared_folder(spark, "recovery"), s.where("false")
+    for name, own, results in (("whole", s.where(k % 2 == 0), r), ("empty", none, r), ("backup", s.where(k % 5 == 0), r), ("results", none, r.where(k % 7 == 0)), ("final", none, r.where("status = 'success'"))):
+        state.write_saved(own, results, f"{base}/{name}")
+    at = lambda name: state.read_saved(spark, f"{base}/{name}")
+    cases = {"whole": ("whole", "backup", "final"), "empty main": ("empty", "backup", "final"), "backup of results": ("empty", "results", "final"), "no backup": ("empty", "nothing", "final"), "only final": ("nothing", "nothing", "final"), "none": ("nothing", "nothing", "nothing")}
+    out = None
+    for given, names in cases.items():
+        if (found := state.recover(*map(at, names))) is not None:
+            one = found[1].select(F.lit(given).alias("given"), F.lit(found[0]).alias("link"), "entity_id", "state")
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
+_ORDER_JSON = """'{"o_orderkey":' || o_orderkey || ',"price":' || o_totalprice::DOUBLE || ',"text":"' || replace(replace(replace(o_orderpriority || chr(233) || chr(128512) || chr(10) || '"', '"', chr(92) || '"'), chr(10), chr(92) || 'n'), chr(233) || chr(128512), chr(92) || 'u00e9' || chr(92) || 'ud83d' || chr(92) || 'ude00') || '","void":null}'"""
+
+
+@query(f"""WITH j AS (SELECT o_custkey, count(*) AS n, string_agg({_ORDER_JSON}, ',' ORDER BY o_orderkey) AS s FROM orders GROUP BY o_custkey), x AS (SELECT *, '{{"metadata":{{"data_version":"2024-02-14","file_size_bytes":' AS a, ',"station_count":' || n || '}},"stations":[' || s || ']}}' AS b FROM j)
+SELECT o_custkey, strlen(a || '0' || b) AS n_bytes, sha256(a || strlen(a || '0' || b) || b) AS checksum, true AS holds, false AS changed_holds FROM x""")
+def sealed_documents(spark, d):
+    """A document for each customer, its bytes and checksum by canonical JSON, and the check that finds a change."""
+    o = t(spark, d, "orders").select("o_custkey", "o_orderkey", F.struct(F.concat("o_orderpriority", F.lit('\u00e9\U0001f600\n"')).alias("text"), F.col("o_totalprice").cast("double").alias("price"), "o_orderkey", F.lit(None).cast("string").alias("void")).alias("s"))
+    docs = o.groupBy("o_custkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "s"))), lambda x: x["s"]).alias("stations"))
+    meta = F.struct(F.lit("2024-02-14").alias("data_version"), F.size("stations").alias("station_count"), F.lit(0).cast("long").alias("file_size_bytes"), F.lit(None).cast("string").alias("checksum_sha256"))
+    docs = docs.select("o_custkey", F.struct("stations", meta.alias("metadata")).alias("d"))
+    kind = docs.schema["d"].dataType
+    n_bytes, checksum = sealed(F.col("d"), kind)
+    docs = docs.withColumn("n_bytes", n_bytes).withColumn("checksum", checksum)
+    stored = F.struct(F.col("d.stations").alias("stations"), F.struct(F.col("d.metadata.data_version").alias("data_version"), F.col("d.metadata.station_count").alias("station_count"), F.col("n_bytes").alias("file_size_bytes"), F.col("checksum").alias("checksum_sha256")).alias("metadata"))
+    docs = docs.withColumn("stored", stored)
+    changed = F.col("stored").withField("metadata.station_count", F.col("stored.metadata.station_count") + 1)
+    return docs.select("o_custkey", "n_bytes", "checksum", check_sealed(F.col("stored"), kind).alias("holds"), check_sealed(changed, kind).alias("changed_holds"))
+
+
+def _station_rows(spark, d) -> DataFrame:
+    """Entities of the suppliers with faults in one of eleven: id, name, type, no exit, and of exits place and source."""
+    k = F.col("s_suppkey")
+    exits = F.transform(F.sequence(F.lit(0), (k % 3).cast("int")), lambda i: F.struct(F.chr(i + 65).alias("exit_code"), F.when((k % 11 == 4) & (i == 1), 7.5).otherwise(1.3).alias("lat"), F.lit(103.8).alias("lng"), F.when((k % 11 == 5) & (i == 0), "guess").otherwise("onemap").alias("source")))
+    return t(spark, d, "supplier").select(
+        F.concat(F.when(k % 11 == 1, "ns").otherwise("NS"), k.cast("string")).alias("station_id"), F.concat("s_name", F.when(k % 11 == 2, " STOP").otherwise(" MRT STATION")).alias("official_name"), F.col("s_name").alias("display_name"),
+        F.when(k % 11 == 6, F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit("NS"), k.cast("string")))).alias("mrt_codes"), F.array(F.lit("NSL")).alias("lines"), F.when(k % 11 == 3, "tram").otherwise("mrt").alias("station_type"),
+        F.when(k % 11 != 7, exits).alias("exits"), F.lit(None).cast("string").alias("fandom_url"), F.lit("pending").alias("extraction_status"),
+    )
+
+
+_FAULTS = """s AS (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 11 = 1 THEN 'ns' ELSE 'NS' END || s_suppkey AS station_id, s_name FROM supplier), f AS (SELECT station_id, 'station_id' AS path, station_id AS value, 'station_id' AS rule FROM s WHERE k % 11 = 1 UNION ALL SELECT station_id, 'official_name', s_name || ' STOP', 'official_name' FROM s WHERE k % 11 = 2
+UNION ALL SELECT station_id, 'station_type', 'tram', 'station_type' FROM s WHERE k % 11 = 3 UNION ALL SELECT station_id, 'exits[1].lat', '7.5', 'exit_bounds' FROM s WHERE k % 11 = 4 AND k % 3 > 0 UNION ALL SELECT station_id, 'exits[0].source', 'guess', 'exit_source' FROM s WHERE k % 11 = 5
+UNION ALL SELECT station_id, 'mrt_codes', '[]', 'mrt_codes' FROM s WHERE k % 11 = 6 UNION ALL SELECT station_id, 'exits', NULL, 'exits' FROM s WHERE k % 11 = 7)"""
+
+
+@query(f"WITH {_FAULTS} SELECT station_id, path, value FROM f")
+def entity_violations(spark, d):
+    """Each violation with the place of the field, also within the exits."""
+    return V.violations(_station_rows(spark, d), "station_id", ENTITY_FIELDS)
+
+
+@query(f"WITH {_FAULTS} SELECT station_id, rule FROM f UNION ALL SELECT station_id, unnest(['exit_bounds', 'exit_source']) FROM s WHERE k % 11 = 7")
+def entity_rules(spark, d):
+    """V1: the names of broken rules; null exits break those of the exits, too."""
+    return Q.check_rules(_station_rows(spark, d), ENTITY_RULES).select("station_id", F.explode("violations").alias("rule"))
+
+
+@query("SELECT count(*) AS n_rows, count(*) FILTER (s_suppkey % 11 IN (1, 2, 3, 5, 6, 7) OR s_suppkey % 11 = 4 AND s_suppkey % 3 > 0) AS n_invalid, count(*) FILTER (s_suppkey % 11 IN (1, 2, 3, 5, 6, 7) OR s_suppkey % 11 = 4 AND s_suppkey % 3 > 0) = 0 AS passed FROM supplier UNION ALL SELECT count(*), 0, count(*) > 0 FROM supplier WHERE s_suppkey % 11 = 0 UNION ALL SELECT 0, 0, false")
+def output_check(spark, d):
+    """V2: all entities, those without a fault, and none."""
+    s = _station_rows(spark, d)
+    parts = (s, s.where("cast(regexp_extract(station_id, '[0-9]+', 0) as long) % 11 = 0"), s.where("false"))
+    checks = [Q.check_output(x, ENTITY_RULES) for x in parts]
+    return checks[0].unionByName(checks[1]).unionByName(checks[2])
+
+
+@query("""WITH l AS (SELECT l_orderkey, l_linenumber AS n, CASE WHEN l_partkey % 7 = 0 THEN 'x' ELSE 'NSL' END AS line, CASE WHEN l_partkey % 5 = 0 THEN NULL WHEN l_partkey % 5 = 1 THEN '1A' ELSE 'NS1' END AS towards, lpad((l_suppkey % 100000)::VARCHAR, CASE WHEN l_suppkey % 9 = 0 THEN 4 ELSE 5 END, '0') AS stop FROM lineitem QUALIFY count(*) OVER (PARTITION BY l_orderkey, l_linenumber) = 1),
+x AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY n) - 1 AS i FROM l)
+SELECT l_orderkey, 'exits[' || i || '].platforms[0].line_code' AS path, line AS value FROM x WHERE line = 'x' UNION ALL SELECT l_orderkey, 'exits[' || i || '].platforms[0].towards_code', towards FROM x WHERE towards = '1A' UNION ALL SELECT l_orderkey, 'exits[' || i || '].bus_stops[0].code', stop FROM x WHERE length(stop) <> 5
+UNION ALL SELECT DISTINCT l_orderkey, 'extraction_result', 'maybe' FROM x WHERE l_orderkey % 13 = 0""")
+def enrichment_violations(spark, d):
+    """V1: enriched exits with platforms and bus stops, three levels deep; the rules by name tell the same rows apart."""
+    k = F.col("l_partkey")
+    l = t(spark, d, "lineitem").withColumn("c", F.count("*").over(Window.partitionBy("l_orderkey", "l_linenumber"))).where("c = 1")
+    platform = F.struct(F.lit("P").alias("platform_code"), F.when(k % 5 == 0, None).when(k % 5 == 1, "1A").otherwise("NS1").alias("towards_code"), F.when(k % 7 == 0, "x").otherwise("NSL").alias("line_code"))
+    code = (F.col("l_suppkey") % 100000).cast("string")
+    stop = F.struct(F.when(F.col("l_suppkey") % 9 == 0, F.lpad(code, 4, "0")).otherwise(F.lpad(code, 5, "0")).alias("code"), F.array().cast("array<string>").alias("services"))
+    none = F.array().cast("array<string>")
+    own = F.struct(F.concat(F.lit("Exit "), F.col("l_linenumber").cast("string")).alias("exit_code"), F.array(platform).alias("platforms"), none.alias("accessibility"), F.array(stop).alias("bus_stops"), none.alias("nearby_landmarks")).cast(ENRICHED_EXIT)
+    rows = l.groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", own.alias("e")))), lambda x: x["e"]).alias("exits"))
+    rows = rows.withColumn("extraction_result", F.when(F.col("l_orderkey") % 13 == 0, "maybe").otherwise("success")).withColumn("extraction_confidence", F.lit("high"))
+    found = V.violations(rows, "l_orderkey", ENRICHMENT_FIELDS)
+    named = Q.check_rules(rows, ENRICHMENT_RULES).where(F.size("violations") > 0).select("l_orderkey")
+    return found.join(named, "l_orderkey", "left_semi")
+
+
+@query(f"WITH {_FAULTS} SELECT regexp_replace(path, '[0-9]+', '') AS rule, count(*) AS n FROM f GROUP BY 1")
+def violation_totals(spark, d):
+    """How often each rule is broken."""
+    return V.violation_counts(V.violations(_station_rows(spark, d), "station_id", ENTITY_FIELDS))
+
+
 @query(f"""WITH e AS (SELECT user_id AS entity_id, {_STATUS} AS status, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
 g AS (SELECT entity_id, arg_max(status, n) AS status, max(n) AS n, max(n) FILTER (status <> 'failed') AS done FROM e GROUP BY entity_id)
 SELECT entity_id, status, CASE WHEN status = 'failed' THEN n - coalesce(done, 0) ELSE 1 END AS attempts FROM g""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 EXIT = "struct<exit_code:string,lat:double,lng:double,source:string>"
 PLATFORM = "struct<platform_code:string,towards_code:string,line_code:string>"
 BUS_STOP = "struct<code:string,services:array<string>>"
@@ -30,3 +32,21 @@ ENRICHMENT_RULES = {
     "towards_code": r"forall(exits, e -> forall(coalesce(e.platforms, array()), p -> coalesce(p.towards_code, 'A') rlike '^[A-Z]{1,3}[0-9]*$'))",
     "bus_stop_code": r"forall(exits, e -> forall(coalesce(e.bus_stops, array()), b -> b.code rlike '^[0-9]{5}$'))",
 }
+
+#: The same by field, for rows that name the place of each violation.
+ENTITY_FIELDS = {
+    "station_id": lambda x: x.rlike("^[A-Z]{1,3}[0-9]+$"),
+    "official_name": lambda x: x.rlike("(MRT|LRT) STATION$"),
+    "mrt_codes": lambda x: F.size(x) >= 1,
+    "station_type": lambda x: x.isin("mrt", "lrt"),
+    "exits": lambda x: F.size(x) >= 1,
+    "exits[].lat": lambda x: x.between(1.0, 2.0),
+    "exits[].lng": lambda x: x.between(103.0, 105.0),
+    "exits[].source": lambda x: x.isin("onemap", "datagov"),
+}
+ENRICHMENT_FIELDS = {
+    "extraction_result": lambda x: x.isin("success", "failed"),
+    "exits[].platforms[].line_code": lambda x: x.rlike("^[A-Z]{2,5}$"),
+    "exits[].platforms[].towards_code": lambda x: F.coalesce(x, F.lit("A")).rlike("^[A-Z]{1,3}[0-9]*$"),
+    "exits[].bus_stops[].code": lambda x: x.rlike("^[0-9]{5}$"),
+}

@@ -37,29 +37,41 @@ def flatten_features(df: DataFrame) -> DataFrame:
     return df.select(F.posexplode("features").alias("ord", "f")).select(F.col("f.properties.STATION_NA").alias("station_na"), F.col("f.properties.EXIT_CODE").alias("exit_code"), at(2).alias("latitude"), at(1).alias("longitude"), "ord")
 
 
+def read_documents(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Files that hold one JSON document each: (the good ones by the schema, the broken ones as (file, document))."""
+    parsed = F.from_json("value", f"{schema}, __broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__broken"})
+    df = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.col("value").alias("document"), parsed.alias("d"))
+    broken = F.col("d").isNull() | F.col("d.__broken").isNotNull()
+    return df.where(~broken).select("d.*").drop("__broken"), df.where(broken).select("file", "document")
+
+
 def read_geojson(spark: SparkSession, path: str) -> DataFrame:
-    """SRC1."""
-    return flatten_features(spark.read.schema(FEATURES).json(path, multiLine=True))
+    """SRC1: of all good documents; broken ones are found by read_documents."""
+    return flatten_features(read_documents(spark, path, FEATURES)[0])
 
 
 def parse_geojson(text: Column) -> Column:
     return F.from_json(text, FEATURES)
 
 
+SAVED_ENTITIES = f"stations array<struct<{ENTITY}>>"
+SAVED_ENRICHMENT = f"stations map<string,struct<{ENRICHMENT}>>, failed_stations array<struct<station_id: string>>, skipped_stations array<struct<station_id: string>>"
+
+
 def read_entities(spark: SparkSession, path: str) -> DataFrame:
-    """SRC2: typed entities of a saved document; a file that is none gives no row."""
-    return spark.read.schema(f"stations array<struct<{ENTITY}>>").option("mode", "PERMISSIVE").json(path, multiLine=True).select(F.explode("stations").alias("s")).select("s.*")
+    """SRC2: typed entities of saved documents; a file that is none gives no row."""
+    return read_documents(spark, path, SAVED_ENTITIES)[0].select(F.explode("stations").alias("s")).select("s.*")
 
 
 def read_enrichment(spark: SparkSession, path: str) -> DataFrame:
-    """SRC3: (station_id, status, result): a map of results and the lists of failed and skipped ids as rows."""
-    item = "station_id: string"
-    doc = spark.read.schema(f"stations map<string,struct<{ENRICHMENT}>>, failed_stations array<struct<{item}>>, skipped_stations array<struct<{item}>>").json(path, multiLine=True)
-    done = doc.select(F.explode("stations").alias("station_id", "result")).select("station_id", F.lit("success").alias("status"), "result")
-    for name, status in (("failed_stations", "failed"), ("skipped_stations", "skipped")):
-        one = doc.select(F.explode(name).alias("x")).select(F.col("x.station_id").alias("station_id"), F.lit(status).alias("status"), F.lit(None).cast(f"struct<{ENRICHMENT}>").alias("result"))
-        done = done.unionByName(one)
-    return done
+    """SRC3: (station_id, status, result): a map of results and the lists of failed and skipped ids as rows, each document read once."""
+    none = F.lit(None).cast(f"struct<{ENRICHMENT}>")
+    row = lambda station, status, result: F.struct(station.alias("station_id"), F.lit(status).alias("status"), result.alias("result"))
+    kind = f"array<struct<station_id:string,status:string,result:struct<{ENRICHMENT}>>>"
+    listed = lambda col, status: F.transform(col, lambda x: row(x["station_id"], status, none))
+    parts = [F.transform(F.map_entries("stations"), lambda x: row(x["key"], "success", x["value"])), listed(F.col("failed_stations"), "failed"), listed(F.col("skipped_stations"), "skipped")]
+    rows = F.concat(*[F.coalesce(p.cast(kind), F.array().cast(kind)) for p in parts])
+    return read_documents(spark, path, SAVED_ENRICHMENT)[0].select(F.explode(rows).alias("x")).select("x.*")
 
 
 def lookup_table(spark: SparkSession, table: dict[str, str], key: str, value: str) -> DataFrame:

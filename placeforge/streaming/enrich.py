@@ -1,20 +1,19 @@
-"""Attempts arrive as files; each micro-batch is upserted into the ledger's next snapshot."""
+"""Attempts arrive as files; each micro-batch is upserted into the ledger's buckets."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from placeforge.operators import ledger as L
-from placeforge.sources import io
+from placeforge.sources.state import upsert_buckets
 
 
-def enrich_stream(spark: SparkSession, source: str, schema: StructType, base: str, checkpoint: str, to_attempts, key: str = "entity_id", order: tuple[str, ...] = ("ts",), files: int = 1) -> None:
+def enrich_stream(spark: SparkSession, source: str, schema: StructType, base: str, checkpoint: str, to_attempts, key: str = "entity_id", order: tuple[str, ...] = ("ts",), files: int = 1, buckets: int = 64) -> None:
     """Reads what is there and ends. to_attempts maps the raw batch to rows (key, status, attempts, .., order columns), which T1 applies to the
-    ledger; a batch that is given twice does no harm, as each starts from the snapshot below its own number."""
+    buckets of the ledger that they touch; a batch that is given twice does no harm, as each starts from the map below its own number."""
 
     def upsert(batch: DataFrame, number: int) -> None:
-        io.write_state(L.apply_outcomes(io.read_state(spark, base, below=number), to_attempts(batch), key, order), base, number)
+        upsert_buckets(to_attempts(batch), base, number, key, order, buckets)
 
     query = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(source).writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(upsert).start()
     query.awaitTermination()
