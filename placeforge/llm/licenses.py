@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placeforge.llm.common import running
+from placeforge.llm.common import bound, running
 
 #: Between words stand ASCII signs; digits, letters and all beyond ASCII make words. Case of A-Z doesn't matter.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -30,13 +30,18 @@ FAMILIES = {
     "bsd-4-clause": (r"(?:original bsd|bsd 4 clause|4 clause bsd) licen[sc]e", r"bsd 4 clause", "bsd"),
     "0bsd": (r"(?:zero clause|0 clause) bsd(?: licen[sc]e)?|bsd zero clause", r"0bsd", "bsd|0bsd"),
     "isc": (r"isc licen[sc]e", r"isc", "isc"),
-    "gpl-3.0": (r"gnu general public licen[sc]e(?: as published by the free software foundation)?(?: either)? version 3(?: 0)?|gnu gpl v?(?:ersion )?3", r"gpl (?:v)?3(?: 0)?(?: only| or later)?", "gnu|gpl"),
-    "gpl-2.0": (r"gnu general public licen[sc]e(?: as published by the free software foundation)?(?: either)? version 2(?: 0)?|gnu gpl v?(?:ersion )?2", r"gpl (?:v)?2(?: 0)?(?: only| or later)?", "gnu|gpl"),
+    "gpl-3.0": (r"gnu general public licen[sc]e(?: as published by the free software foundation)?(?: either)? (?:version |v)?3(?: 0)?|gnu gpl (?:version |v)?3", r"gpl v?3(?: 0)?(?: only)?", "gnu|gpl"),
+    "gpl-2.0": (r"gnu general public licen[sc]e(?: as published by the free software foundation)?(?: either)? (?:version |v)?2(?: 0)?|gnu gpl (?:version |v)?2", r"gpl v?2(?: 0)?(?: only)?", "gnu|gpl"),
     "gpl": (r"gnu general public licen[sc]e", r"gnu gpl", "gnu"),
-    "lgpl-3.0": (r"gnu lesser general public licen[sc]e version 3(?: 0)?", r"lgpl (?:v)?3(?: 0)?(?: only| or later)?", "gnu|lgpl"),
-    "lgpl-2.1": (r"gnu lesser general public licen[sc]e version 2 1", r"lgpl (?:v)?2 1(?: only| or later)?", "gnu|lgpl"),
+    "lgpl-3.0": (r"gnu lesser general public licen[sc]e (?:version |v)?3(?: 0)?", r"lgpl v?3(?: 0)?(?: only)?", "gnu|lgpl"),
+    "lgpl-2.1": (r"gnu lesser general public licen[sc]e (?:version |v)?2 1", r"lgpl v?2 1(?: only)?", "gnu|lgpl"),
     "lgpl": (r"gnu (?:lesser|library) general public licen[sc]e", r"gnu lgpl", "gnu"),
-    "agpl-3.0": (r"gnu affero general public licen[sc]e(?: version 3(?: 0)?)?", r"agpl (?:v)?3(?: 0)?(?: only| or later)?", "affero|agpl"),
+    "agpl-3.0": (r"gnu affero general public licen[sc]e(?: (?:version |v)?3(?: 0)?)?", r"agpl v?3(?: 0)?(?: only)?", "affero|agpl"),
+    "gpl-3.0-or-later": (r"gnu general public licen[sc]e (?:version |v)?3(?: 0)? or (?:any )?later(?: version)?", r"gpl v?3(?: 0)? or later", "gnu|gpl"),
+    "gpl-2.0-or-later": (r"gnu general public licen[sc]e (?:version |v)?2(?: 0)? or (?:any )?later(?: version)?", r"gpl v?2(?: 0)? or later", "gnu|gpl"),
+    "lgpl-3.0-or-later": (r"gnu lesser general public licen[sc]e (?:version |v)?3(?: 0)? or (?:any )?later(?: version)?", r"lgpl v?3(?: 0)? or later", "gnu|lgpl"),
+    "lgpl-2.1-or-later": (r"gnu lesser general public licen[sc]e (?:version |v)?2 1 or (?:any )?later(?: version)?", r"lgpl v?2 1 or later", "gnu|lgpl"),
+    "agpl-3.0-or-later": (r"gnu affero general public licen[sc]e (?:version |v)?3(?: 0)? or (?:any )?later(?: version)?", r"agpl v?3(?: 0)? or later", "affero|agpl"),
     "gfdl": (r"gnu free documentation licen[sc]e", r"gfdl(?: 1 [1-3])?", "gnu|gfdl"),
     "mpl-2.0": (r"mozilla public licen[sc]e(?: version| v)? 2(?: 0)?", r"mpl 2(?: 0)?", "mozilla|mpl"),
     "mpl-1.1": (r"mozilla public licen[sc]e(?: version| v)? 1 1", r"mpl 1 1", "mozilla|mpl"),
@@ -92,6 +97,59 @@ FORMS = (
     (r"(?:{n})", 0.7),
 )
 
+#: Where an SPDX tag stands in the text, further members of its expression.
+EXPRESSION, EXPRESSION_WEIGHT = r"(?:or|and) (?:{s})", 0.9
+
+# Short forms as people write them, by label: pattern, keyword that it holds, weight. A plus sign is no word, so "GPLv3+" is "gplv3".
+SHORT = (
+    ("gpl-3.0-or-later", r"(?:gnu )?gpl(?: version | v|v| )?3(?: 0)? or (?:any )?later(?: version)?", "gpl|gplv3|gpl3", 0.85),
+    ("gpl-2.0-or-later", r"(?:gnu )?gpl(?: version | v|v| )?2(?: 0)? or (?:any )?later(?: version)?", "gpl|gplv2|gpl2", 0.85),
+    ("lgpl-3.0-or-later", r"(?:gnu )?lgpl(?: version | v|v| )?3(?: 0)? or (?:any )?later(?: version)?", "lgpl|lgplv3|lgpl3", 0.85),
+    ("lgpl-2.1-or-later", r"(?:gnu )?lgpl(?: version | v|v| )?2 1 or (?:any )?later(?: version)?", "lgpl|lgplv2|lgpl2", 0.85),
+    ("agpl-3.0-or-later", r"(?:gnu )?agpl(?: version | v|v| )?3(?: 0)? or (?:any )?later(?: version)?", "agpl|agplv3|agpl3", 0.85),
+    ("gpl-3.0", r"(?:gnu )?gpl(?: version | v|v| )?3(?: 0)?(?: only)?(?: licen[sc]ed?)?", "gpl|gplv3|gpl3", 0.8),
+    ("gpl-2.0", r"(?:gnu )?gpl(?: version | v|v| )?2(?: 0)?(?: only)?(?: licen[sc]ed?)?", "gpl|gplv2|gpl2", 0.8),
+    ("lgpl-3.0", r"(?:gnu )?lgpl(?: version | v|v| )?3(?: 0)?(?: only)?(?: licen[sc]ed?)?", "lgpl|lgplv3|lgpl3", 0.8),
+    ("lgpl-2.1", r"(?:gnu )?lgpl(?: version | v|v| )?2 1(?: only)?(?: licen[sc]ed?)?", "lgpl|lgplv2|lgpl2", 0.8),
+    ("agpl-3.0", r"(?:gnu )?agpl(?: version | v|v| )?3(?: 0)?(?: only)?(?: licen[sc]ed?)?", "agpl|agplv3|agpl3", 0.8),
+    ("gpl", r"(?:gnu )?gpl(?: licen[sc]ed?)?", "gpl", 0.6),
+    ("lgpl", r"(?:gnu )?lgpl(?: licen[sc]ed?)?", "lgpl", 0.6),
+    ("agpl", r"(?:gnu )?agpl(?: licen[sc]ed?)?", "agpl", 0.6),
+    ("apache-2.0", r"apache(?: licen[sc]e)?(?: version | v|v| )?2(?: 0)?(?: licen[sc]ed?)?|asl ?v?2(?: 0)?", "apache|apachev2|apache2|asl|aslv2|asl2", 0.8),
+    ("mit", r"mit(?: style)? licen[sc]ed", "mit", 0.8),
+    ("bsd-3-clause", r"(?:bsd 3 clause|3 clause bsd|bsd3)(?: licen[sc]ed?)?", "bsd|bsd3", 0.8),
+    ("bsd-2-clause", r"(?:bsd 2 clause|2 clause bsd|bsd2)(?: licen[sc]ed?)?", "bsd|bsd2", 0.8),
+    ("bsd", r"bsd(?: style)? licen[sc]ed", "bsd", 0.7),
+    ("0bsd", r"0bsd", "0bsd", 0.8),
+    ("isc", r"isc licen[sc]ed", "isc", 0.8),
+    ("mpl-2.0", r"mpl ?v?2(?: 0)?", "mpl|mplv2|mpl2", 0.8),
+    ("mpl-1.1", r"mpl ?v?1 1", "mpl|mplv1|mpl1", 0.8),
+    ("epl-2.0", r"epl ?v?2(?: 0)?", "epl|eplv2|epl2", 0.8),
+    ("epl-1.0", r"epl ?v?1(?: 0)?", "epl|eplv1|epl1", 0.8),
+    ("eupl", r"eupl ?v?1 [0-2]", "eupl|euplv1|eupl1", 0.8),
+    ("cddl-1.0", r"cddl ?v?1 0", "cddl|cddlv1|cddl1", 0.8),
+    ("artistic-2.0", r"artistic 2(?: 0)?", "artistic", 0.7),
+    ("bsl-1.0", r"bsl 1 0|boost 1 0", "bsl|boost", 0.8),
+    ("busl-1.1", r"busl 1 1", "busl", 0.8),
+    ("sspl-1.0", r"sspl(?: v?1)?", "sspl", 0.8),
+    ("wtfpl", r"wtfpl", "wtfpl", 0.8),
+    ("ofl-1.1", r"ofl 1 1", "ofl", 0.8),
+    ("ms-pl", r"ms pl", "ms", 0.7),
+    ("gfdl", r"gfdl(?: v?1 [1-3])?", "gfdl", 0.8),
+    ("cc0-1.0", r"cc ?0(?: 1 0)?(?: universal)?", "cc0|cc", 0.8),
+    ("cc-by-4.0", r"cc by v?4 0", "cc", 0.8),
+    ("cc-by-3.0", r"cc by v?3 0", "cc", 0.8),
+    ("cc-by-sa-4.0", r"cc by sa v?4 0", "cc", 0.8),
+    ("cc-by-sa-3.0", r"cc by sa v?3 0", "cc", 0.8),
+    ("cc-by-nc-4.0", r"cc by nc v?4 0", "cc", 0.8),
+    ("cc-by-nc-sa-4.0", r"cc by nc sa v?4 0", "cc", 0.8),
+    ("cc-by-nd-4.0", r"cc by nd v?4 0", "cc", 0.8),
+    ("cc-by-nc-nd-4.0", r"cc by nc nd v?4 0", "cc", 0.8),
+    ("classpath-exception-2.0", r"(?:with )?classpath exception(?: 2 0)?", "classpath", 0.8),
+    ("llvm-exception", r"(?:with )?llvm exception", "llvm", 0.8),
+    ("gcc-exception-3.1", r"(?:with )?gcc exception(?: 3 1)?", "gcc", 0.8),
+)
+
 # Sentences of licence texts and notices, by label: pattern, keyword that it holds, weight.
 SENTENCES = (
     ("mit", r"permission is hereby granted free of charge to any person obtaining a copy", "granted", 0.95),
@@ -200,7 +258,8 @@ def rules() -> list[tuple[int, str, str, str, float]]:
     """(priority, label, keyword, pattern over lower-case words between single spaces, weight), the most telling first."""
     n = count()
     out = [(next(n), label, keyword, rf"(?<= )(?:{form.format(n=name, s=short)})(?= )", weight) for form, weight in FORMS for label, (name, short, keyword) in FAMILIES.items()]
-    return out + [(next(n), label, keyword, rf"(?<= )(?:{pattern})(?= )", weight) for label, pattern, keyword, weight in SENTENCES]
+    out += [(next(n), label, "spdx", rf"(?<= )(?:{EXPRESSION.format(s=short)})(?= )", EXPRESSION_WEIGHT) for label, (_, short, _) in FAMILIES.items()]
+    return out + [(next(n), label, keyword, rf"(?<= )(?:{pattern})(?= )", weight) for label, pattern, keyword, weight in (*SHORT, *SENTENCES)]
 
 
 def _ascii_lower(text: Column) -> Column:
@@ -229,19 +288,27 @@ def _spans(words: Column, pattern: Column) -> Column:
 
 
 def _settle(found: Column) -> Column:
-    """What stays of detections sorted by start, longer ones first, then priority.
+    """What stays of detections: one that lies within another goes (of equal places all but the first by priority); the rest are taken by
+    priority, then by start, and one that overlaps none taken before stays.
 
-    One that lies within another goes; of two that overlap otherwise, the one with the lower priority number stays.
+    Sorted by start, what lies in nothing has rising ends as well. So it falls into stretches that don't touch, and each is settled alone.
     """
-    at = lambda start, backward: F.struct(F.lit(start).alias("start"), F.lit(backward).alias("backward"), F.lit(0).alias("priority"), F.lit("").alias("label"), F.lit(0.0).alias("weight")).cast(DETECTION)
-
-    def step(a: Column, x: Column) -> Column:
-        stays = (x["start"] < -a["backward"]) & ((x["backward"] >= a["backward"]) | (x["priority"] >= a["priority"]))
-        return F.when(stays, a).otherwise(x)
-
-    out = lambda a, x: F.when((x["start"] >= -a["backward"]) & (a["start"] >= 0), a)
-    closed = F.concat(F.array_sort(found), F.array(at(2**31 - 1, -(2**31 - 1))))
-    return F.array_compact(running(closed, step, out, f"array<{DETECTION}>", at(-1, 0), DETECTION))
+    none = F.array().cast(f"array<{DETECTION}>")
+    whole = F.array_compact(running(F.array_sort(found), lambda at, x: F.greatest(at, -x["backward"]), lambda at, x: F.when(-x["backward"] > at, x), f"array<{DETECTION}>"))
+    by_priority = lambda part: F.transform(F.array_sort(F.transform(part, lambda x: F.struct(x["priority"].alias("p"), x.alias("x")))), lambda y: y["x"])
+    apart = lambda x, y: (x["start"] >= -y["backward"]) | (y["start"] >= -x["backward"])
+
+    def taken(part: Column) -> Column:
+        fold = lambda own: F.aggregate(by_priority(own), none, lambda kept, x: F.when(F.forall(kept, lambda y: apart(x, y)), F.concat(kept, F.array(x))).otherwise(kept))
+        return F.when(F.size(part) > 1, fold(part)).otherwise(part)
+
+    def stretches(c: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(c) - 1)
+        firsts = F.filter(places, lambda i: (i == 0) | (F.get(c, i)["start"] >= -F.get(c, F.greatest(i - 1, F.lit(0)))["backward"]))
+        return bound(F.concat(firsts, F.array(F.size(c))), lambda f: F.transform(F.sequence(F.lit(0), F.size(f) - 2), lambda k: F.slice(c, F.get(f, k) + 1, F.get(f, k + 1) - F.get(f, k))))
+
+    settled = lambda c: F.when(F.size(c) > 0, F.array_sort(F.flatten(F.transform(stretches(c), taken)))).otherwise(none)
+    return bound(whole, settled)
 
 
 def gate() -> list[str]:

@@ -589,7 +589,7 @@ def test_licence_gates_pass_every_rule(spark):
     rng, rows = random.Random(2), []
     for _, label, keyword, pattern, _ in licenses.rules():
         for _ in range(3):
-            words = example(pattern, rng).split()
+            words = ["spdx"] * (keyword == "spdx") + example(pattern, rng).split()
             joined = f" {' '.join(words)} "
             assert re.search(pattern, joined) and re.search(f" (?:{keyword}) ", joined), (pattern, joined)
             rows += [(len(rows), "so " + " ".join(words) + " here"), (len(rows) + 1, "\n".join(words).upper())]
@@ -602,19 +602,53 @@ def brute_licences(t):
     """labels, best weight and detections by the definition."""
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
     joined, found, out = f" {' '.join(words)} ", [], []
-    for p, label, _, pattern, weight in licenses.rules():
-        for m in re.finditer(pattern, joined, re.A):
+    for p, label, keyword, pattern, weight in licenses.rules():
+        for m in re.finditer(pattern, joined, re.A) if keyword != "spdx" or " spdx " in joined else ():
             start = joined[: m.start()].count(" ") - 1
             found.append((start, -(start + len(m.group(0).split())), p, label, weight))
-    for x in sorted(found):
-        if not out or x[0] >= -out[-1][1]:
-            out.append(x)
-        elif x[1] < out[-1][1] and x[2] < out[-1][2]:
-            out[-1] = x
+    # one that lies within another goes (of equal places the later by priority); of the rest, by priority, what overlaps none that is kept stays
+    whole = [x for x in found if not any(y is not x and y[0] <= x[0] and y[1] <= x[1] and (y[:2] != x[:2] or y[2] < x[2]) for y in found if y[0] <= x[0])] if len(found) < 3000 else None
+    if whole is None:  # the same, for rows of equal notices
+        whole, last = [], 0
+        for x in sorted(found):
+            if -x[1] > last:
+                whole.append(x)
+            last = max(last, -x[1])
+        out = sorted(whole)
+        assert all(x[0] >= -y[1] for y, x in zip(out, out[1:]))
+    else:
+        for x in sorted(whole, key=lambda x: (x[2], x[0])):
+            if not any(x[0] < -y[1] and y[0] < -x[1] for y in out):
+                out.append(x)
+        out.sort()
     base = {label for phrase, label in licenses.BASE if f" {phrase} " in joined}
     return ",".join(sorted({x[3] for x in out} | base)), max([x[4] for x in out] + [0.75 * bool(base)]), [(x[3], x[0], -x[1]) for x in out]
 
 
+def test_licence_that_overlaps_nothing_kept_stays(spark):
+    rows = [[(0, -10, 300, "a", 0.1), (5, -15, 200, "b", 0.1), (12, -20, 100, "c", 0.1), (13, -14, 1, "within", 0.1), (30, -31, 5, "d", 0.1), (30, -31, 4, "e", 0.1)], []]
+    df = spark.createDataFrame([(x,) for x in rows], f"found array<{licenses.DETECTION}>")
+    assert [[x.label for x in r[0]] for r in df.select(licenses._settle(F.col("found"))).collect()] == [["a", "c", "e"], []]
+
+
+SHORT_FORMS = {
+    "GPLv3": "gpl-3.0", "GPL v3": "gpl-3.0", "GPL-3.0": "gpl-3.0", "GPL-3.0-only": "gpl-3.0", "GPL-3.0-or-later": "gpl-3.0-or-later", "GPLv3 or later": "gpl-3.0-or-later", "GPL version 3": "gpl-3.0", "GNU GPLv3": "gpl-3.0", "GPLv2": "gpl-2.0", "GPL v2": "gpl-2.0",
+    "GPLv2+": "gpl-2.0", "GPL-2.0-or-later": "gpl-2.0-or-later", "GPLv2 or any later version": "gpl-2.0-or-later", "GPL": "gpl", "GPL licensed": "gpl", "AGPLv3": "agpl-3.0", "AGPL-3.0": "agpl-3.0", "AGPL-3.0-or-later": "agpl-3.0-or-later", "LGPLv3": "lgpl-3.0",
+    "LGPLv2.1": "lgpl-2.1", "LGPLv2.1+": "lgpl-2.1", "LGPL-2.1-or-later": "lgpl-2.1-or-later", "LGPL": "lgpl", "MPL-2.0": "mpl-2.0", "MPL 1.1": "mpl-1.1", "EPL-2.0": "epl-2.0", "EPL 1.0": "epl-1.0", "EUPL-1.2": "eupl", "CDDL-1.0": "cddl-1.0", "CC-BY-4.0": "cc-by-4.0",
+    "CC BY 3.0": "cc-by-3.0", "CC-BY-SA-4.0": "cc-by-sa-4.0", "CC-BY-NC-4.0": "cc-by-nc-4.0", "CC BY-NC-SA 4.0": "cc-by-nc-sa-4.0", "CC-BY-ND-4.0": "cc-by-nd-4.0", "CC-BY-NC-ND-4.0": "cc-by-nc-nd-4.0", "CC0": "cc0-1.0", "CC0-1.0": "cc0-1.0", "MIT licensed": "mit",
+    "MIT-style licensed": "mit", "Apache 2 license": "apache-2.0", "Apache-2.0": "apache-2.0", "Apache v2": "apache-2.0", "ASL 2.0": "apache-2.0", "BSD-3-Clause": "bsd-3-clause", "3-clause BSD": "bsd-3-clause", "BSD-2-Clause": "bsd-2-clause", "0BSD": "0bsd", "BSD licensed": "bsd",
+    "ISC licensed": "isc", "WTFPL": "wtfpl", "SSPL": "sspl-1.0", "BUSL-1.1": "busl-1.1", "OFL-1.1": "ofl-1.1", "GFDL 1.3": "gfdl", "BSL-1.0": "bsl-1.0", "Artistic-2.0": "artistic-2.0", "GNU General Public License v3.0": "gpl,gpl-3.0", "GNU General Public License v2 or later": "gpl,gpl-2.0-or-later",
+    "SPDX-License-Identifier: MIT": "mit", "SPDX-License-Identifier: (MIT OR Apache-2.0)": "apache-2.0,mit", "SPDX-License-Identifier: GPL-3.0-or-later": "gpl-3.0-or-later", "SPDX-License-Identifier: GPL-2.0 WITH Classpath-exception-2.0": "classpath-exception-2.0,gpl-2.0",
+    "SPDX-License-Identifier: BSD-3-Clause AND MIT": "bsd-3-clause,mit", "SPDX-License-Identifier: Apache-2.0 WITH LLVM-exception OR MIT": "apache-2.0,llvm-exception,mit", "a free mind": "", "either or": "",
+}
+
+
+def test_licence_short_forms(spark):
+    df = spark.createDataFrame([(k, f"It is {t}, as said") for k, t in enumerate(SHORT_FORMS)], "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in licenses.scan(df).collect()}
+    assert {t: got[k] for k, t in enumerate(SHORT_FORMS)} == SHORT_FORMS
+
+
 def test_licences_are_brute_force(spark):
     rng, every = random.Random(6), licenses.rules()
     texts = []
