@@ -58,6 +58,26 @@ def nearest(left: DataFrame, right: DataFrame, key: str, order: str, radius_m: f
     return pairs.groupBy(key).agg(kept.alias("n")).select(key, "n.*")
 
 
+def nearest_anywhere(left: DataFrame, right: DataFrame, key: str, order: str, first_m: float = 1000.0, factor: float = 4.0) -> DataFrame:
+    """For each left key the nearest right row, however far; of equal distances the least `order`.
+
+    Rings grow: what a round finds within its radius is the nearest there is, and only rows that have found nothing go on to the next, wider
+    one, up to half around the globe. Each round is written to the shared folder. Rows without a place have no nearest.
+    """
+    from placeforge.sources.io import cut  # sources build on these functions
+
+    open_ = left.where("lat is not null and lng is not null")
+    places = right.where("r_lat is not null and r_lng is not null")
+    radius, found = first_m, None
+    while True:
+        one = cut(nearest(open_, places, key, order, radius), "nearest")
+        found = one if found is None else found.unionByName(one)
+        open_ = cut(open_.join(one.select(key), key, "left_anti"), "open")
+        if radius >= pi * EARTH_M or open_.isEmpty() or places.isEmpty():
+            return found
+        radius = min(radius * factor, pi * EARTH_M)
+
+
 def first_in_group(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each group."""
     return df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__n = 1").drop("__n")

@@ -90,10 +90,10 @@ def best_candidate(pairs: DataFrame, key: str, name: str, building: str, order:
     return agg.select(key, S.clean_building(F.col(f"t.{building}")).alias("matched_name"), F.col("t.score").alias("score"), "codes")
 
 
-def nearest_fallback(matched: DataFrame, groups: DataFrame, places: DataFrame, key: str, order: str, radius_m: float) -> DataFrame:
-    """Groups without a code take the nearest place."""
+def nearest_fallback(matched: DataFrame, groups: DataFrame, places: DataFrame, key: str, order: str, radius_m: float | None = None) -> DataFrame:
+    """Groups without a code take the nearest place, however far or within a radius."""
     lost = groups.join(matched.where(F.size("codes") > 0).select(key), key, "left_anti")
-    return G.nearest(lost, places, key, order, radius_m)
+    return G.nearest_anywhere(lost, places, key, order) if radius_m is None else G.nearest(lost, places, key, order, radius_m)
 
 
 def drop_unresolved(df: DataFrame, codes: str = "codes") -> DataFrame:

@@ -182,6 +182,19 @@ def nearest_fallback(spark, d):
     return R.nearest_fallback(R.drop_unresolved(matched), c, _points(t(spark, d, "supplier"), "s_suppkey", prefix="r_"), "c_custkey", "s_suppkey", 2000.0).select("c_custkey", "s_suppkey", F.round("distance_m").cast("long").alias("distance_m"))
 
 
+_FAR = "c_custkey % 11 * 30 - 150 + c_custkey % 7"
+
+
+@query(f"""WITH c AS (SELECT c_custkey, (c_custkey % 13 * 13 - 80)::DOUBLE AS lat, ({_FAR})::DOUBLE AS lng FROM customer WHERE c_custkey % 3 <> 0), {SUPPLIERS}, m AS (SELECT c_custkey, s_suppkey, {sql_m('c', 's')} AS d FROM c, s)
+SELECT c_custkey, s_suppkey, cast(round(d) AS BIGINT) AS distance_m FROM m QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY d, s_suppkey) = 1""")
+def nearest_anywhere(spark, d):
+    """Groups all around the globe take the nearest place, in rings that grow."""
+    k = F.col("c_custkey")
+    c = t(spark, d, "customer").select(k, (k % 13 * 13 - 80).cast("double").alias("lat"), (k % 11 * 30 - 150 + k % 7).cast("double").alias("lng"))
+    matched = c.where(k % 3 == 0).select("c_custkey", F.array(F.lit("X")).alias("codes"))
+    return R.nearest_fallback(matched, c, _points(t(spark, d, "supplier"), "s_suppkey", prefix="r_"), "c_custkey", "s_suppkey").select("c_custkey", "s_suppkey", F.round("distance_m").cast("long").alias("distance_m"))
+
+
 @query("""SELECT p_brand, array_to_string(list_sort(list_distinct(flatten(list(regexp_extract_all(upper('ns' || p_partkey % 9 || ' x, dt, a1 ' || p_size), '\\b((?:NS|EW|NE|CC|CE|DT|TE|CG|BP|SW|SE|PW|PE|STC|PTC)\\d*)\\b', 1))))), ',') AS codes FROM part GROUP BY p_brand""")
 def codes_union(spark, d):
     """A3, F7, O2."""

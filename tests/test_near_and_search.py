@@ -100,3 +100,15 @@ def test_search_is_the_step_behind_the_candidates(spark):
     none = spark.createDataFrame([], "map_key string, url string, rank int"), spark.createDataFrame([], "key string, url string, cached_at timestamp")
     got = {r.id: (r.url, r.resolution_source) for r in resolve_url(names, pages, *none, F.current_timestamp(), base).collect()}
     assert got[1] == got[2][:1] + ("candidate",) and got[2][1] == "search" and got[3][1] == "naive" and got[4][1] == "interchange"
+
+
+def test_nearest_anywhere_goes_on_until_all_have_one(spark):
+    from placeforge.functions.spatial import nearest_anywhere
+
+    rng = random.Random(3)
+    own = [(k, rng.uniform(-89, 89), rng.uniform(-180, 180)) for k in range(40)] + [(90, None, 1.0)]
+    places = [(k, rng.uniform(-60, 60), rng.uniform(100, 130)) for k in range(25)] + [(70, None, None), (71, 5.0, 110.0), (72, 5.0, 110.0)]
+    left, right = spark.createDataFrame(own, "id long, lat double, lng double"), spark.createDataFrame(places, "place long, r_lat double, r_lng double")
+    got = {r.id: r.place for r in nearest_anywhere(left, right, "id", "place", first_m=100_000.0, factor=10.0).collect()}
+    assert got == {a[0]: min((metres(a, p), p[0]) for p in places if p[1] is not None)[1] for a in own if a[1] is not None}
+    assert nearest_anywhere(left, right.limit(0), "id", "place").count() == 0 and nearest_anywhere(left.limit(0), right, "id", "place").count() == 0
