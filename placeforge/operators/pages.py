@@ -12,7 +12,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from placeforge.functions import scalars as S
 
@@ -163,29 +163,25 @@ class _Page(HTMLParser):
                 yield "table", "", self.text(e), self.markup(e.start, e.end)
 
 
-@F.pandas_udf(StringType())
-def _without_noise(html: pd.Series) -> pd.Series:
-    return html.map(lambda h: h if h is None else _Page(h).markup(0, len(h)))
-
-
-@F.pandas_udf(StringType())
-def _main(html: pd.Series) -> pd.Series:
-    def inside(h: str | None) -> str | None:
+@F.pandas_udf(StructType([StructField("clean", StringType()), StructField("main", StringType())]))
+def _parts(html: pd.Series) -> pd.DataFrame:
+    """The page without noise and what its container holds, from one parse; equal calls of a query are worked out once."""
+    rows = []
+    for h in html:
         page = _Page(h or "")
         top = page.container()
-        return None if top is None else page.markup(top.inner, top.last)
-
-    return html.map(inside)
+        rows.append((None if h is None else page.markup(0, len(h)), None if top is None else page.markup(top.inner, top.last)))
+    return pd.DataFrame(rows, columns=["clean", "main"])
 
 
 def strip_noise(html: Column) -> Column:
     """H1: noise elements, by name or class, and all they hold go; a null stays null."""
-    return _without_noise(html)
+    return _parts(html)["clean"]
 
 
 def main_content(html: Column) -> Column:
     """H2: what the first of the usual containers holds, without noise, whole pages' body last; null if there is none."""
-    return _main(html)
+    return _parts(html)["main"]
 
 
 def visible_text(html: Column) -> Column:

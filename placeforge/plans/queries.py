@@ -535,9 +535,9 @@ for _tag in P.NOISE_TAGS:
 SELECT page_id, b AS size_before, a AS size_after, CASE WHEN b > 0 THEN round((b - a) * 100.0::DOUBLE / b, 1) ELSE 0.0 END AS reduction_percent, round(b / greatest(a, 1)::DOUBLE, 1) AS reduction_ratio, length(main) AS n_main FROM x""")
 def html_strip(spark, d):
     """H1, H2, H7."""
-    p = t(spark, d, "pages").select("page_id", "html", P.strip_noise(F.col("html")).alias("clean"))
+    p = t(spark, d, "pages").select("page_id", "html", P.strip_noise(F.col("html")).alias("clean"), P.main_content(F.col("html")).alias("main"))
     stats = P.extraction_stats(F.col("html"), F.col("clean"))
-    return p.select("page_id", *[c.cast("long").alias(n) if n.startswith("size") else c for c, n in zip(stats, ("size_before", "size_after", "", ""))], F.length(P.main_content(F.col("clean"))).cast("long").alias("n_main"))
+    return p.select("page_id", *[c.cast("long").alias(n) if n.startswith("size") else c for c, n in zip(stats, ("size_before", "size_after", "", ""))], F.length("main").cast("long").alias("n_main"))
 
 
 @query()
