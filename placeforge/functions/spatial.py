@@ -7,6 +7,8 @@ from math import degrees, pi, sin
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from placeforge.functions.hotcells import DEALT, deal
+
 EARTH_M = 6_371_000.0
 
 
@@ -32,14 +34,13 @@ def _cells(radius_m: float):
     return band, count, cell
 
 
-def distance_join(left: DataFrame, right: DataFrame, radius_m: float, strict: bool = False, on: list[str] | None = None) -> DataFrame:
-    """Pairs of left (lat, lng, ..) and right (r_lat, r_lng, ..) within the radius, with distance_m; `on`: further columns that must agree.
-
-    Anywhere on the globe: cells get wider in degrees towards the poles, and the last of a band lies beside the first. The right side goes to
-    its cell and the eight around it; that factor is fixed, and the join is by equal cells.
-    """
+def celled(left: DataFrame, right: DataFrame, radius_m: float, on: list[str] | None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Left rows in their cell, right rows in theirs and the eight around it, and the columns that tell the cell."""
     band, count, cell = _cells(radius_m)
     own = left.withColumn("__cy", band(F.col("lat"))).withColumn("__cx", cell(F.col("lng"), count(F.col("__cy"))))
+    high = max(degrees(radius_m / EARTH_M * 1.001), 1e-9)
+    along = (F.col("lng") + 180.0) / (F.lit(360.0) / count(F.col("__cy")))
+    own = own.withColumn("__fy", F.col("lat") / high - F.col("__cy")).withColumn("__fx", along - F.floor(along))
 
     def row(y: Column) -> Column:
         n = count(y)
@@ -47,18 +48,30 @@ def distance_join(left: DataFrame, right: DataFrame, radius_m: float, strict: bo
 
     around = F.explode(F.flatten(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda dy: row(band(F.col("r_lat")) + dy))))
     other = right.withColumn("__c", around).withColumn("__cy", F.col("__c.y")).withColumn("__cx", F.col("__c.x")).drop("__c")
-    pairs = own.join(other, ["__cy", "__cx", *(on or [])]).withColumn("distance_m", haversine_m(F.col("lat"), F.col("lng"), F.col("r_lat"), F.col("r_lng")))
-    return pairs.where((F.col("distance_m") < radius_m) if strict else (F.col("distance_m") <= radius_m)).drop("__cy", "__cx")
+    return own, other, ["__cy", "__cx", *(on or [])]
+
+
+def distance_join(left: DataFrame, right: DataFrame, radius_m: float, strict: bool = False, on: list[str] | None = None, hot: int | None = 20_000) -> DataFrame:
+    """Pairs of left (lat, lng, ..) and right (r_lat, r_lng, ..) within the radius, with distance_m; `on`: further columns that must agree.
+
+    Anywhere on the globe: cells get wider in degrees towards the poles, and the last of a band lies beside the first. The right side goes to
+    its cell and the eight around it; that factor is fixed, and the join is by equal cells. Cells with more than `hot` rows of a side are cut
+    further and dealt to tiles (hotcells.deal).
+    """
+    own, other, keys = celled(left, right, radius_m, on)
+    own, other = deal(own, other, keys, radius_m / EARTH_M, hot)
+    pairs = own.drop("__fy", "__fx").join(other, [*keys, *DEALT]).withColumn("distance_m", haversine_m(F.col("lat"), F.col("lng"), F.col("r_lat"), F.col("r_lng")))
+    return pairs.where((F.col("distance_m") < radius_m) if strict else (F.col("distance_m") <= radius_m)).drop("__cy", "__cx", *DEALT)
 
 
-def nearest(left: DataFrame, right: DataFrame, key: str, order: str, radius_m: float) -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, key: str, order: str, radius_m: float, hot: int | None = 20_000) -> DataFrame:
     """For each left key the nearest right row within the radius; of equal distances the least `order`."""
-    pairs = distance_join(left, right, radius_m)
+    pairs = distance_join(left, right, radius_m, hot=hot)
     kept = F.min_by(F.struct(*[c for c in right.columns], "distance_m"), F.struct("distance_m", order))
     return pairs.groupBy(key).agg(kept.alias("n")).select(key, "n.*")
 
 
-def nearest_anywhere(left: DataFrame, right: DataFrame, key: str, order: str, first_m: float = 1000.0, factor: float = 4.0) -> DataFrame:
+def nearest_anywhere(left: DataFrame, right: DataFrame, key: str, order: str, first_m: float = 1000.0, factor: float = 4.0, hot: int | None = 20_000) -> DataFrame:
     """For each left key the nearest right row, however far; of equal distances the least `order`.
 
     Rings grow: what a round finds within its radius is the nearest there is, and only rows that have found nothing go on to the next, wider
@@ -70,7 +83,7 @@ def nearest_anywhere(left: DataFrame, right: DataFrame, key: str, order: str, fi
     places = right.where("r_lat is not null and r_lng is not null")
     radius, found = first_m, None
     while True:
-        one = cut(nearest(open_, places, key, order, radius), "nearest")
+        one = cut(nearest(open_, places, key, order, radius, hot), "nearest")
         found = one if found is None else found.unionByName(one)
         open_ = cut(open_.join(one.select(key), key, "left_anti"), "open")
         if radius >= pi * EARTH_M or open_.isEmpty() or places.isEmpty():

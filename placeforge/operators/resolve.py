@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from placeforge.functions import scalars as S
 from placeforge.functions import spatial as G
 from placeforge.functions.names import name_score
+from placeforge.operators.containment import pieces_within
 from placeforge.operators.search import search_titles
 
 
@@ -41,33 +42,16 @@ def missing_exit_rows(lacking: DataFrame, exits: DataFrame) -> DataFrame:
     return have.unionByName(bare)
 
 
-def containment_anti_join(b: DataFrame, a: DataFrame, limit_bytes: int = 8 << 20) -> DataFrame:
+def containment_anti_join(b: DataFrame, a: DataFrame) -> DataFrame:
     """Rows of b (name) for which no name of a holds its base name or lies in its name.
 
-    Both directions are joined on rare trigrams, then verified; names under three characters, which have none, are few by their number
-    (at most one for each pair of characters) and are broadcast.
+    Both directions are equi-joins of whole pieces (containment.pieces_within). Rows of b whose name is null are kept, and so are repeated ones.
     """
-    own = b.withColumn("__id", F.xxhash64("name")).withColumn("__base", S.base_name(F.col("name"))).withColumn("__up", F.upper("name"))
+    own = b.withColumn("__base", S.base_name(F.col("name"))).withColumn("__up", F.upper("name"))
     names = a.select(S.source_name(F.col("name")).alias("__dg")).where("__dg is not null").distinct()
-    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1))), lambda i: F.substring(c, i, F.lit(3))))
-    keys = own.select("__base", "__up").distinct()
-
-    def inside(needles: DataFrame, needle: str, hay: DataFrame, straw: str) -> DataFrame:
-        """(needle, straw) pairs with the needle in the straw, over the needle's rarest trigram."""
-        spread = hay.select(straw, F.explode(grams(F.col(straw))).alias("g"))
-        often = spread.groupBy("g").agg(F.count("*").alias("n"))
-        each = needles.where(F.length(needle) >= 3).select(needle, F.explode(grams(F.col(needle))).alias("g")).join(often, "g", "left")
-        rare = each.groupBy(needle).agg(F.min_by("g", F.struct(F.coalesce("n", F.lit(0)), "g")).alias("g"))
-        return rare.join(spread, "g").where(F.col(straw).contains(F.col(needle))).select(needle, straw)
-
-    one = inside(keys.select("__base").distinct(), "__base", names, "__dg").select("__base").distinct()
-    two = inside(names, "__dg", keys.select("__up").distinct(), "__up").select("__up").distinct()
-    rest = own.join(one, "__base", "left_anti").join(two, "__up", "left_anti")
-    tiny = names.where(F.length("__dg") < 3)
-    rest = rest.join(F.broadcast(tiny), F.col("__up").contains(F.col("__dg")), "left_anti")
-    short = rest.where(F.length("__base") < 3).select("__base").distinct()
-    hit = names.join(F.broadcast(short), F.col("__dg").contains(F.col("__base"))).select("__base").distinct()
-    return rest.join(hit, "__base", "left_anti").select(*b.columns)
+    one = pieces_within(own.select("__base").distinct(), "__base", names, "__dg").select("__base").distinct()
+    two = pieces_within(names, "__dg", own.select("__up").distinct(), "__up").select("__up").distinct()
+    return own.join(one, "__base", "left_anti").join(two, "__up", "left_anti").select(*b.columns)
 
 
 def augment(a_exits: DataFrame, missing_exits: DataFrame) -> DataFrame:
@@ -76,7 +60,7 @@ def augment(a_exits: DataFrame, missing_exits: DataFrame) -> DataFrame:
 
 
 def match_candidates(groups: DataFrame, hits: DataFrame, eps: float = 800.0, on: list[str] | None = None) -> DataFrame:
-    """Groups (lat, lng, ..) and hits (r_lat, r_lng, ..) at eps metres or less."""
+    """Groups (lat, lng, ..) and hits (r_lat, r_lng, ..) at eps metres or less; cells that hold many are cut and dealt."""
     return G.distance_join(groups, hits, eps, on=on)
 
 

@@ -754,8 +754,8 @@ def missing_lists(spark, d):
 def merge_totals(spark, d):
     """A6, A10 of the labelled documents."""
     labels = t(spark, d, "labels")
-    n = t(spark, d, "documents").count()
-    return Q.merge_summary(labels, F.lit(n), "quality").crossJoin(Q.coverage(labels, F.col("quality") == 1))
+    n = t(spark, d, "documents").agg(F.count("*")).scalar()
+    return Q.merge_summary(labels, n, "quality").crossJoin(Q.coverage(labels, F.col("quality") == 1))
 
 
 @query("""SELECT count(*) AS n, count(*) <> 187 AS mismatch, count(*) < 187 AS shortfall FROM supplier""")
