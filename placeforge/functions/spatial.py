@@ -75,18 +75,21 @@ def nearest_anywhere(left: DataFrame, right: DataFrame, key: str, order: str, fi
     """For each left key the nearest right row, however far; of equal distances the least `order`.
 
     Rings grow: what a round finds within its radius is the nearest there is, and only rows that have found nothing go on to the next, wider
-    one, up to half around the globe. Each round is written to the shared folder. Rows without a place have no nearest.
+    one, up to half around the globe. Each round is written to the shared folder. Rows without a place have no nearest. Cells are counted
+    (for `hot`, see distance_join) only while more than `hot` rows could share one.
     """
     from placeforge.sources.io import cut  # sources build on these functions
 
     open_ = left.where("lat is not null and lng is not null")
     places = right.where("r_lat is not null and r_lng is not null")
-    radius, found = first_m, None
+    radius, found, n_open, n_places = first_m, None, None, places.count()
     while True:
-        one = cut(nearest(open_, places, key, order, radius, hot), "nearest")
+        few = hot is None or (n_open is not None and max(n_open, 9 * n_places) <= hot)
+        one = cut(nearest(open_, places, key, order, radius, None if few else hot), "nearest")
         found = one if found is None else found.unionByName(one)
         open_ = cut(open_.join(one.select(key), key, "left_anti"), "open")
-        if radius >= pi * EARTH_M or open_.isEmpty() or places.isEmpty():
+        n_open = open_.count()
+        if radius >= pi * EARTH_M or not n_open or not n_places:
             return found
         radius = min(radius * factor, pi * EARTH_M)
 

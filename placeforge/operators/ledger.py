@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from placeforge.operators.consolidate import dedupe_first
+
 STATE = ("status", "permanent", "attempts", "error", "reason", "ts")
 
 
@@ -71,6 +73,11 @@ def rebuild_processed(parts: list[tuple[str, DataFrame]], key: str = "entity_id"
     return both.where(F.col(key).isNotNull()).groupBy(key).agg(F.min_by("state", "k").alias("state"))
 
 
+def dedupe_skipped(skipped: DataFrame, key: str = "entity_id", order: tuple[str, ...] = ("ts",)) -> DataFrame:
+    """Of an entity's skips the first stays; those without an id go."""
+    return dedupe_first(skipped, [key], [F.col(c) for c in order])
+
+
 def overlap(a: DataFrame, b: DataFrame, key: str = "entity_id") -> DataFrame:
     """U2."""
     return a.select(key).intersect(b.select(key))

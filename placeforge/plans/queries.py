@@ -619,16 +619,18 @@ def pending(spark, d):
 
 @query(f"""WITH e AS (SELECT user_id AS entity_id, {_STATUS} AS status, event_id, ts FROM events), done AS (SELECT DISTINCT entity_id FROM e WHERE status = 'success'), skipped AS (SELECT DISTINCT entity_id FROM e WHERE status = 'skipped'), failed AS (SELECT * FROM e WHERE status = 'failed')
 SELECT entity_id, 'kept' AS kind, -1::BIGINT AS event_id FROM done WHERE entity_id NOT IN (SELECT entity_id FROM skipped) UNION ALL SELECT entity_id, 'failure', max_by(event_id, (ts, event_id)) FROM failed WHERE entity_id NOT IN (SELECT entity_id FROM done) GROUP BY entity_id
-UNION ALL SELECT entity_id, 'overlap', -1 FROM done WHERE entity_id IN (SELECT entity_id FROM skipped) UNION ALL SELECT entity_id, 'processed', -1 FROM (SELECT DISTINCT entity_id FROM e) UNION ALL SELECT entity_id, 'broken', -1 FROM e GROUP BY entity_id HAVING count(DISTINCT status) > 1""")
+UNION ALL SELECT entity_id, 'overlap', -1 FROM done WHERE entity_id IN (SELECT entity_id FROM skipped) UNION ALL SELECT entity_id, 'processed', -1 FROM (SELECT DISTINCT entity_id FROM e) UNION ALL SELECT entity_id, 'broken', -1 FROM e GROUP BY entity_id HAVING count(DISTINCT status) > 1
+UNION ALL SELECT entity_id, 'skip', min_by(event_id, (ts, event_id)) FROM e WHERE status = 'skipped' GROUP BY entity_id""")
 def ledger_repair(spark, d):
     """T6-T9, U2, U4, U5."""
     e = _attempts(t(spark, d, "events"))
     done, skipped, failed = (e.where(F.col("status") == s) for s in ("success", "skipped", "failed"))
-    done, skipped = done.select("entity_id").distinct(), skipped.select("entity_id").distinct()
+    first = L.dedupe_skipped(skipped, order=("ts", "event_id"))
+    done, skipped = done.select("entity_id").distinct(), first.select("entity_id")
     none = F.lit(-1).cast("long").alias("event_id")
     out = L.resolve_overlap(done, skipped).select("entity_id", F.lit("kept").alias("kind"), none)
-    for kind, df in (("failure", L.drop_recovered_failures(failed, done, order=("ts", "event_id"))), ("overlap", L.overlap(done, skipped)), ("processed", L.rebuild_processed([("success", done), ("failed", failed), ("skipped", skipped)])), ("broken", L.broken_disjointness(e))):
-        out = out.unionByName(df.select("entity_id", F.lit(kind).alias("kind"), F.col("event_id") if kind == "failure" else none))
+    for kind, df in (("failure", L.drop_recovered_failures(failed, done, order=("ts", "event_id"))), ("overlap", L.overlap(done, skipped)), ("processed", L.rebuild_processed([("success", done), ("failed", failed), ("skipped", skipped)])), ("broken", L.broken_disjointness(e)), ("skip", first)):
+        out = out.unionByName(df.select("entity_id", F.lit(kind).alias("kind"), F.col("event_id") if kind in ("failure", "skip") else none))
     return out
 
 
