@@ -112,3 +112,43 @@ def test_nearest_anywhere_goes_on_until_all_have_one(spark):
     got = {r.id: r.place for r in nearest_anywhere(left, right, "id", "place", first_m=100_000.0, factor=10.0).collect()}
     assert got == {a[0]: min((metres(a, p), p[0]) for p in places if p[1] is not None)[1] for a in own if a[1] is not None}
     assert nearest_anywhere(left, right.limit(0), "id", "place").count() == 0 and nearest_anywhere(left.limit(0), right, "id", "place").count() == 0
+
+
+@pytest.mark.parametrize("radius", [None, 900.0, 3_000_000.0])
+def test_nearest_is_that_of_all_pairs(spark, radius):
+    """Clouds, one place with many rows, both poles and the date line; ties go to the least order."""
+    from placeforge.functions.spatial import haversine_m, nearest
+
+    draw = random.Random(4)
+
+    def points(n):
+        kinds = [lambda: (1.3 + draw.randint(0, 30) / 5000, 103.8 + draw.randint(0, 30) / 5000), lambda: (1.301, 103.801), lambda: (draw.choice([90.0, -90.0, 89.99]), draw.random() * 360 - 180), lambda: (10.0, draw.choice([180.0, -180.0, 179.999])), lambda: (draw.random() * 170 - 85, draw.random() * 360 - 180)]
+        return [(i, *draw.choice(kinds)()) for i in range(n)]
+
+    left = spark.createDataFrame([*points(150), (900, None, 1.0), (901, float("nan"), 1.0)], "a long, lat double, lng double")
+    right = spark.createDataFrame([*points(260), (902, None, None)], "b long, r_lat double, r_lng double")
+    every = left.where("a < 900").crossJoin(right.where("b < 900")).withColumn("d", haversine_m(F.col("lat"), F.col("lng"), F.col("r_lat"), F.col("r_lng")))
+    best = (every if radius is None else every.where(F.col("d") <= radius)).groupBy("a").agg(F.min_by("b", F.struct("d", "b")).alias("b"), F.min("d").alias("d"))
+    assert sorted((r.a, r.b, r.distance_m) for r in nearest(left, right, "a", "b", radius).collect()) == sorted(map(tuple, best.collect()))
+
+
+def test_nearest_lists_no_pairs_of_far_clouds(spark):
+    """4,000 places far from a cloud of 4,000: rings met all 16,000,000 pairs in the end; boxes leave a few for each place."""
+    from placeforge.functions.descent import nearest_places
+
+    left = spark.range(4000).select((40 + F.col("id") / 4000).alias("lat"), (F.col("id") * 37 % 4000 / 4000).alias("lng"))
+    right = spark.range(4000).select(F.col("id").alias("b"), (F.col("id") * 7 % 4000 / 100_000 + 1.3).alias("r_lat"), (F.col("id") / 100_000 + 103.8).alias("r_lng"))
+    found = nearest_places(left, right, "b", None)
+    found.collect()
+    rows = []
+    stack = [found._jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            node = node.executedPlan()
+        if node.nodeName().startswith(("ShuffleQueryStage", "ResultQueryStage")):
+            node = node.plan()
+        if "Join" in node.nodeName():
+            rows.append(node.metrics().apply("numOutputRows").value())
+        stack += [node.children().apply(k) for k in range(node.children().size())]
+    assert rows and max(rows) < 200_000
