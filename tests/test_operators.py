@@ -184,3 +184,21 @@ def test_extract_with_goes_on_behind_a_bad_row(spark):
 
     rows = spark.createDataFrame([(1, "a"), (2, "bad"), (3, "c")], "id long, prompt string").coalesce(1)
     assert [(r.id, r.response, r.error) for r in J.extract_with(rows, fn, "id").orderBy("id").collect()] == [(1, "A", None), (2, None, "no"), (3, "C", None)]
+
+
+def test_pages_of_one_partition_are_dealt_and_parsed_once(spark):
+    """A small file is one partition however many pages it holds; parsing is dealt to tasks, happens once, and leaves in batches of many pages."""
+    html = F.concat(F.lit("<body><h2>Exits</h2><p>Exit "), F.col("page_id").cast("string"), F.lit("</p><table><tr><td>exit</td></tr></table></body>"))
+    pages = spark.range(400).coalesce(1).withColumnRenamed("id", "page_id").withColumn("html", html)
+    found = P.sections(pages)
+    assert found.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    routed = P.routed_sections(found)
+    assert routed._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert routed.groupBy("section").count().where("section in ('page', 'exits')").agg(F.sum("count")).first()[0] == 1200
+
+
+def test_page_parts_leave_arrow_batches_alone(spark):
+    """An Arrow batch of 10,000 pages lies in Python with both results; rows that come by the hundred do not."""
+    df = spark.createDataFrame([("<body>a<nav>b</nav></body>",)], "h string").select(P.strip_noise(F.col("h")).alias("s"), P.main_content(F.col("h")).alias("m"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchEvalPython") == 1 and "ArrowEvalPython" not in plan
