@@ -208,3 +208,13 @@ def test_a_name_and_building_are_scored_once(spark, monkeypatch):
     groups, hits = _supplied(spark)
     R.best_candidate(R.match_candidates(groups, hits), "id", "name", "building", "r_key").collect()
     assert 0 < seen.value <= 16
+
+
+def test_search_joins_two_words_where_both_are_in_every_hit(spark):
+    """Names of two rare words and a common one against 900 titles of 30 x 30 words; titles longer than `long`, which go by one word, are found, too."""
+    base = "https://x"
+    pages = spark.range(900).select(F.concat(F.lit(f"{base}/a"), (F.col("id") % 30).cast("string"), F.lit("_b"), F.floor(F.col("id") / 30).cast("string"), F.lit("_stop")).alias("url"))
+    names = spark.range(900).select("id", F.concat(F.lit("a"), (F.col("id") % 30).cast("string"), F.lit(" b"), F.floor(F.col("id") / 30).cast("string"), F.lit(" stop")).alias("name"))
+    full = [search_titles(names, pages, "id", "name", base, 0.7, long) for long in (40, 2)]
+    got = [sorted((r.id, r.search_url) for r in x.collect()) for x in full]
+    assert got[0] == got[1] and got[0] == sorted((i, f"{base}/a{i % 30}_b{i // 30}_stop") for i in range(900))
