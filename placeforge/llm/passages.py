@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from itertools import chain as chained
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -36,21 +35,6 @@ class Settings:
     identity: float = 0.8
 
 
-class Words(dict):
-    """Hashes of a text's words, A-Z lower-cased, remembered in a table of bounded size."""
-
-    LIMIT = 200_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        h = self[word] = crc32(word)
-        return h
-
-    def __call__(self, text: bytes) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, text.lower().split()), np.uint64)
-
-
 _POWERS = np.ones((2, 1), np.uint64)
 
 
@@ -67,7 +51,7 @@ def _powers(n: int) -> np.ndarray:
 def run_hashes(h: np.ndarray, k: int) -> np.ndarray:
     """A hash of each run of k words: the difference of two prefix sums of a polynomial, so the work doesn't grow with k."""
     power, inverse = _powers(len(h))
-    w = (h + np.uint64(1)) * MIX
+    w = (h.astype(np.uint64) + np.uint64(1)) * MIX
     w ^= w >> np.uint64(29)
     sums = np.zeros(len(h) + 1, np.uint64)
     np.cumsum(w * MIX * power, out=sums[1:])
@@ -77,6 +61,42 @@ def run_hashes(h: np.ndarray, k: int) -> np.ndarray:
     return x ^ x >> np.uint64(29)
 
 
+#: White space, and a number for each byte, the same for A-Z and a-z.
+SPACES = np.zeros(256, bool)
+SPACES[[*range(9, 14), 32]] = True
+LETTERS = np.array([(b + 32 if 65 <= b <= 90 else b) + 1 for b in range(256)], np.uint64) * MIX
+LETTERS = (LETTERS ^ LETTERS >> np.uint64(31)) * MIX
+#: Bytes that are looked at in one go.
+BLOCK = 1 << 17
+
+
+def word_hashes(texts: list[bytes]) -> list[bytes]:
+    """Each text's words, A-Z lower-cased, as 32-bit hashes one behind the other. A word's hash is that of its run of bytes, from prefix sums."""
+    flat = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    hashes, firsts, at = [], [], 0
+    while at < len(flat):
+        end = at + BLOCK
+        while end < len(flat) and not SPACES[flat[end - 1]]:  # a word is not cut
+            rest = np.nonzero(SPACES[flat[end : end + BLOCK]])[0]
+            end += int(rest[0]) + 1 if len(rest) else BLOCK
+        b = flat[at:end]
+        edges = np.diff(SPACES[b].view(np.int8), prepend=np.int8(1))
+        start, stop = np.nonzero(edges == -1)[0], np.nonzero(edges == 1)[0]  # each text ends with a blank
+        power, inverse = _powers(len(b) + 1)
+        sums = np.zeros(len(b) + 1, np.uint64)
+        np.cumsum(LETTERS[b] * power[: len(b)], out=sums[1:])
+        x = (sums[stop] - sums[start]) * inverse[start] * MIX
+        hashes.append(((x ^ x >> np.uint64(29)) * MIX >> np.uint64(32)).astype(np.uint32))
+        firsts.append(start + at)
+        at += len(b)
+    if not hashes:
+        return []
+    cuts = np.searchsorted(np.concatenate(firsts), ends) * 4
+    every = np.concatenate(hashes).tobytes()
+    return [every[a:b] for a, b in zip([0, *cuts.tolist()], cuts.tolist())]
+
+
 def least_places(x: np.ndarray, window: int) -> np.ndarray:
     """Places of the first least value of each window, each once; windows double, so a value is met a few times whatever the window."""
     value, at, size = x, np.arange(len(x)), 1
@@ -195,19 +215,53 @@ def extend(a: np.ndarray, b: np.ndarray, s: Settings) -> tuple[int, int, int]:
             return end
 
 
-def _seed_rows(docs: DataFrame, s: Settings, id_col: str, text_col: str) -> DataFrame:
+def seeds_of_texts(h: np.ndarray, ends: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, place, number of the text) of the least seed of each window of texts that lie one behind the other in `h` and end at `ends`."""
+    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    count = np.maximum(ends - starts - s.k + 1, 0)
+    if not count.any():
+        return (np.empty(0, np.int64),) * 3
+    x = run_hashes(h, s.k)
+    short = np.nonzero((count > 0) & (count < s.window))[0]
+    found, of = [starts[i] + np.argmin(x[starts[i] : starts[i] + count[i]]) for i in short], [short]
+    full = np.nonzero(count >= s.window)[0]
+    if len(full):
+        value, at, size = x, np.arange(len(x)), 1
+        while size < s.window:
+            step = min(size, s.window - size)
+            later = value[step:] < value[:-step]
+            value, at = np.where(later, value[step:], value[:-step]), np.where(later, at[step:], at[:-step])
+            size += step
+        windows = count[full] - s.window + 1
+        own = np.repeat(full, windows)
+        at = at[np.arange(len(own)) + np.repeat(starts[full] - np.cumsum(windows) + windows, windows)]
+        new = np.concatenate([[True], at[1:] != at[:-1]])
+        found, of = np.concatenate([np.array(found, np.int64), at[new]]), [short, own[new]]
+    at, own = np.array(found, np.int64), np.concatenate(of)
+    return x[at].view(np.int64), at - starts[own], own
+
+
+def _word_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id and its words, 32-bit hashes one behind the other. Texts are read once; all that follows reads this table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            for k in range(0, x.num_rows, 256):
+                y = x.slice(k, 256)
+                yield pa.RecordBatch.from_arrays([y.column(0), pa.array(word_hashes(y.column(1).to_pylist()), pa.binary())], ["doc_id", "words"])
+
+    return id_text(docs, id_col, text_col).where("doc_id is not null").mapInArrow(run, "doc_id long, words binary")
+
+
+def _seed_rows(words: DataFrame, s: Settings) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
         for x in batches:
-            ids, hashes, places = [], [], []
-            for who, text in zip(x.column(0).to_pylist(), x.column(1).to_pylist()):
-                h, at = seeds(words(text), s)
-                ids.append(np.full(len(h), who, np.int64))
-                hashes.append(h)
-                places.append(2 * at + 1)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else np.empty(0, np.int64)) for c in (hashes, ids, places)], ["seed", "doc_id", "place"])
+            for k in range(0, x.num_rows, 64):
+                ids, texts = x.column(0).slice(k, 64).to_numpy(zero_copy_only=False), x.column(1).slice(k, 64).to_pylist()
+                hashes, places, own = seeds_of_texts(np.frombuffer(b"".join(texts), np.uint32), np.cumsum([len(t) // 4 for t in texts]), s)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (hashes, ids[own], 2 * places + 1)], ["seed", "doc_id", "place"])
 
-    return id_text(docs, id_col, text_col).where("doc_id is not null").mapInArrow(run, "seed long, doc_id long, place long")
+    return words.mapInArrow(run, "seed long, doc_id long, place long")
 
 
 def shared_passages(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -221,9 +275,10 @@ def shared_passages(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
     in those of longer rows of its pair is left out. Repeats within one document are none. Null texts have no passage; rows without doc_id can't be
     named and are left out; rows that repeat a doc_id count as one document. An empty table gives no row.
     """
-    common = _common_seeds(_seed_rows(_sample(docs, id_col), s, id_col, text_col))
-    matches = cut(_matches(_seed_rows(docs, s, id_col, text_col), common), "matches")
-    found = cut(_aligned(docs, matches, s, id_col, text_col), "passages")
+    words = cut(_word_rows(docs, id_col, text_col), "words", compression="zstd")
+    common = _common_seeds(_seed_rows(_sample(words), s))
+    matches = cut(_matches(_seed_rows(words, s), common), "matches")
+    found = cut(_aligned(words, _chains(matches, s), s), "passages")
     places = matches.select("seed", "doc_id", F.col("y").alias("at")).unionByName(matches.select("seed", F.col("partner_id").alias("doc_id"), F.col("x").alias("at")).distinct())
     loose = cut(_loose(places, found, s), "loose")
     asked = loose.where(F.col("kind") == SEED).select("seed").distinct()
@@ -233,9 +288,9 @@ def shared_passages(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
     near = loose.where(F.col("kind") != SEED).select("doc_id", "kind", "lo", "hi").unionByName(asked)
     near = near.groupBy(F.col("doc_id").alias("who")).agg(F.collect_set(F.struct("kind", "lo", "hi")).alias("near")).where(F.exists("near", lambda x: x["kind"] == SEED))
     near = cut(near, "near")
-    common = _common_seeds(_run_rows(_sample(docs, id_col), near, s, id_col, text_col))
-    runs = cut(_matches(_run_rows(docs, near, s, id_col, text_col), common), "runs")
-    return _whole(found.unionByName(_aligned(docs, runs, replace(s, k=s.min_words), id_col, text_col, equal_runs=True)))
+    common = _common_seeds(_run_rows(_sample(words), near, s))
+    runs = cut(_matches(_run_rows(words, near, s), common), "runs")
+    return _whole(found.unionByName(_aligned(words, _chains(runs, replace(s, k=s.min_words), equal_runs=True), s)))
 
 
 #: Kinds of what is told of a document's places: a stretch of starts of runs that may be shared, one of runs in no single passage, a seed of such a run.
@@ -345,8 +400,8 @@ def _whole(found: DataFrame) -> DataFrame:
 SAMPLE, COMMON, SHARES = 64, 100, 64
 
 
-def _sample(docs: DataFrame, id_col: str) -> DataFrame:
-    return docs.where(F.pmod(F.xxhash64(F.col(f"`{id_col}`").cast("long"), F.lit(7)), F.lit(SAMPLE)) == 0)
+def _sample(words: DataFrame) -> DataFrame:
+    return words.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(SAMPLE)) == 0)
 
 
 def _common_seeds(rows: DataFrame):
@@ -364,12 +419,20 @@ def _matches(rows: DataFrame, common) -> DataFrame:
     share = F.when(common(F.col("seed")), F.pmod(F.xxhash64("doc_id"), F.lit(SHARES)).cast("int")).otherwise(-1)
     schema, names = "seed long, doc_id long, partner_id long, x long, y long", ["seed", "doc_id", "partner_id", "x", "y"]
 
+    def met(b: pa.RecordBatch) -> np.ndarray:
+        """A batch without seeds that stand in it once, but for its ends, whose like may be in another batch, and rows of shares."""
+        seed, share = (b.column(c).to_numpy(zero_copy_only=False) for c in range(2))
+        keep = np.ones(len(seed) + 1, bool)
+        keep[1:-1] = seed[1:] == seed[:-1]
+        keep = keep[1:] | keep[:-1] | (share >= 0)
+        return np.stack([c.to_numpy(zero_copy_only=False)[keep].astype(np.int64) for c in b.columns], axis=1)
+
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by seed, share, document and place. Of a seed's group that isn't over yet, the first holder's rows are held, and those of
         the last one, the most places of a holder before (most) and the last place of the second holder (second)."""
         held, most, second = np.empty((0, 4), np.int64), 0, None
         for b in chained(batches, [None]):
-            rows = held if b is None else np.concatenate([held, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns], axis=1)])
+            rows = held if b is None else np.concatenate([held, met(b)])
             if not len(rows):
                 continue
             rows = rows[np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)])]  # the table may repeat a row
@@ -420,7 +483,7 @@ def _matches(rows: DataFrame, common) -> DataFrame:
     return once.where("partner_id is not null").unionByName(walked(heads)).select(*names)
 
 
-def _run_rows(docs: DataFrame, near: DataFrame, s: Settings, id_col: str, text_col: str) -> DataFrame:
+def _run_rows(words: DataFrame, near: DataFrame, s: Settings) -> DataFrame:
     """Hashes of runs of min_words words that may be shared and hold one of the given seeds, and whether they lie in no single passage. near: (who, near)."""
 
     def within(n: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -430,7 +493,7 @@ def _run_rows(docs: DataFrame, near: DataFrame, s: Settings, id_col: str, text_c
         return np.cumsum(edges)[:n] > 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, whole = Words(), replace(s, k=s.min_words, window=1)
+        whole = replace(s, k=s.min_words, window=1)
         for x in batches:
             for k in range(0, x.num_rows, 256):
                 y = x.slice(k, 256)
@@ -439,7 +502,7 @@ def _run_rows(docs: DataFrame, near: DataFrame, s: Settings, id_col: str, text_c
                 kind, lo, hi = (told.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in range(3))
                 ends = np.cumsum(y.column(2).value_lengths().to_numpy(zero_copy_only=False))
                 for who, text, start, end in zip(y.column(0).to_pylist(), y.column(1).to_pylist(), [0, *ends], ends):
-                    h, at = seeds(words(text), whole)
+                    h, at = seeds(np.frombuffer(text, np.uint32), whole)
                     of = [start + np.nonzero(kind[start:end] == c)[0] for c in (SHARED, OPEN, SEED)]
                     keep = within(len(h), lo[of[SHARED]], hi[of[SHARED]]) & within(len(h), lo[of[SEED]] + s.k - s.min_words, hi[of[SEED]])
                     ids.append(np.full(keep.sum(), who, np.int64))
@@ -447,8 +510,7 @@ def _run_rows(docs: DataFrame, near: DataFrame, s: Settings, id_col: str, text_c
                     places.append((2 * at + within(len(h), lo[of[OPEN]], hi[of[OPEN]]))[keep])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (hashes, ids, places)], ["seed", "doc_id", "place"])
 
-    texts = id_text(docs, id_col, text_col).where("doc_id is not null")
-    return texts.join(near, F.col("doc_id") == F.col("who")).select("doc_id", "text", "near").mapInArrow(run, "seed long, doc_id long, place long")
+    return words.join(near, F.col("doc_id") == F.col("who")).select("doc_id", "words", "near").mapInArrow(run, "seed long, doc_id long, place long")
 
 
 def equal_stretches(g: np.ndarray, k: int) -> Iterator[tuple[int, int, int, int]]:
@@ -458,9 +520,9 @@ def equal_stretches(g: np.ndarray, k: int) -> Iterator[tuple[int, int, int, int]
         yield c[0, 1], c[-1, 1] + k, c[0, 0], c[-1, 0] + k
 
 
-def _aligned(docs: DataFrame, matches: DataFrame, s: Settings, id_col: str, text_col: str, equal_runs: bool = False) -> DataFrame:
-    """Passages along the chains (or stretches of equal runs) of matches (doc_id, partner_id, x, y)."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _chains(matches: DataFrame, s: Settings, equal_runs: bool = False) -> DataFrame:
+    """Chains (or stretches of equal runs) of matches: doc_id, partner_id, d0, d1, p0, p1 (words) and whole: whether all in it is equal."""
+    parts = int(matches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     matches = matches.select("doc_id", "partner_id", "x", "y").repartition(parts, "doc_id", "partner_id").sortWithinPartitions("doc_id", "partner_id", "x", "y")
 
     def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -476,38 +538,41 @@ def _aligned(docs: DataFrame, matches: DataFrame, s: Settings, id_col: str, text
                 out = []
         yield _batch(out)
 
-    names = ["doc_id", "partner_id", "d0", "d1", "p0", "p1"]
-
     def _batch(out: list[tuple[int, ...]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in (zip(*out) if out else [()] * 6)], names)
+        return pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in (zip(*out) if out else [()] * 6)], ENDS)
+
+    return matches.mapInArrow(chains, ", ".join(f"{c} long" for c in ENDS)).withColumn("whole", F.lit(equal_runs))
+
+
+#: A chain's documents and where it begins and ends in them.
+ENDS = ["doc_id", "partner_id", "d0", "d1", "p0", "p1"]
+
 
-    found = cut(matches.mapInArrow(chains, ", ".join(f"{c} long" for c in names)), "chains")
-    found = found.withColumn("chain", F.struct(*names))
+def _aligned(words: DataFrame, chains: DataFrame, s: Settings) -> DataFrame:
+    """Passages along chains."""
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = [*ENDS, "whole"]
+    found = cut(chains, "chains").withColumn("chain", F.struct(*names))
     asked = found.select(F.col("doc_id").alias("who"), "chain", F.lit(0).alias("side"), F.col("d0").alias("lo"), F.col("d1").alias("hi")).unionByName(found.select(F.col("partner_id").alias("who"), "chain", F.lit(1).alias("side"), F.col("p0").alias("lo"), F.col("p1").alias("hi")))
-    # words as 32-bit hashes, made once a text and not once a chain
-    every = F.transform(F.filter(F.split(F.col("text").cast("string"), "[\\x20\\x09-\\x0D]+"), lambda w: w != ""), lambda w: F.hash(F.lower(w)))
-    texts = id_text(docs, id_col, text_col).where("doc_id is not null").select(F.col("doc_id").alias("who"), every.alias("every"))
-    # each side's words around the chain; a text that many chains ask for is not gathered, but streamed by the join
-    own = F.slice("every", F.greatest(F.col("lo") - s.margin, F.lit(0)).cast("int") + 1, (F.col("hi") + s.margin - F.greatest(F.col("lo") - s.margin, F.lit(0))).cast("int"))
-    cuts = asked.join(texts, "who").select("chain.*", "side", own.alias("words"))
+    # each side's words around the chain, of 4 bytes each; a text that many chains ask for is not gathered, but streamed by the join
+    first = F.greatest(F.col("lo") - s.margin, F.lit(0)).cast("int")
+    own = F.col("words").substr(first * 4 + 1, (F.col("hi").cast("int") + s.margin - first) * 4)
+    cuts = asked.join(words.withColumnRenamed("doc_id", "who"), "who").select("chain.*", "side", own.alias("words"))
     pairs = cuts.repartition(parts, *names).sortWithinPartitions(*names, "side")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, first = None, None
         for x in batches:
             out = []
-            flat, at = x.column("words").flatten().to_numpy(), x.column("words").offsets.to_numpy()
-            at = at - at[0]
-            keys = list(zip(*(x.column(c).to_pylist() for c in names)))
-            for k, (who, side) in enumerate(zip(keys, x.column("side").to_pylist())):
-                own = flat[at[k] : at[k + 1]]
+            keys = zip(*(x.column(c).to_pylist() for c in names))
+            for who, side, own in zip(keys, x.column("side").to_pylist(), x.column("words").to_pylist()):
                 if side == 0:
-                    last, first = who, own.copy()
+                    last, first = who, own
                     continue
                 if who != last:
                     continue
-                a, b = first, own
-                d0, d1, p0, p1 = who[2:]
+                a, b = np.frombuffer(first, np.uint32), np.frombuffer(own, np.uint32)
+                d0, d1, p0, p1, whole = who[2:]
                 i, j = min(d0, s.margin), min(p0, s.margin)  # where the first seed stands
                 right = extend(a[i:], b[j:], s)
                 if min(right[0] + i, right[1] + j) < s.min_words:  # whatever lies before, it is too short
@@ -515,7 +580,7 @@ def _aligned(docs: DataFrame, matches: DataFrame, s: Settings, id_col: str, text
                 left = extend(a[:i][::-1], b[:j][::-1], s)
                 equal = right[2] + left[2]
                 span = right[0] + left[0], right[1] + left[1]
-                if equal_runs and equal < s.identity * max(span):  # what lies around an equal run must not lose it
+                if whole and equal < s.identity * max(span):  # what lies around an equal run must not lose it
                     right, left, equal, span = (d1 - d0, p1 - p0, d1 - d0), (0, 0, 0), d1 - d0, (d1 - d0, p1 - p0)
                 if min(span) >= s.min_words and equal >= s.identity * max(span):
                     out.append((who[0], d0 - left[0], d0 + right[0], who[1], p0 - left[1], p0 + right[1], equal))

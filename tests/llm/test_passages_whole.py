@@ -150,3 +150,26 @@ def test_loose_runs_are_brute_force():
         assert bare == {y for a, b in open_ for y in range(a, b + 1)}
         for y in bare & set(may):
             assert any(y <= p <= y + s.min_words - s.k for p in picked)
+
+
+def test_words_of_texts_are_those_of_a_plain_split(monkeypatch):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice(" \t\n\r\x0b\x0cabABéÉ\x1c\x85") for _ in range(rng.choice((0, 1, 5, 200)))).encode() for _ in range(300)] + [b"x" * 500, b"", b" "]
+    plain = [t.lower().split() for t in texts]
+    for block in (3, 64, 1 << 17):  # words longer than a block, too
+        monkeypatch.setattr(passages, "BLOCK", block)
+        got = [np.frombuffer(w, np.uint32).tolist() for w in passages.word_hashes(texts)]
+        assert [len(w) for w in got] == [len(w) for w in plain]
+        of = {}
+        assert all(of.setdefault(w, h) == h for ws, hs in zip(plain, got) for w, h in zip(ws, hs)) and len(set(of.values())) == len(of)
+    assert passages.word_hashes([]) == []
+
+
+def test_seeds_of_texts_together_are_those_of_each():
+    rng = np.random.default_rng(9)
+    s = passages.Settings()
+    for _ in range(30):
+        texts = [rng.integers(0, 30, n).astype(np.uint32) for n in rng.choice([0, 1, 7, 8, 9, 14, 15, 16, 90], rng.integers(1, 12))]
+        hashes, at, own = passages.seeds_of_texts(np.concatenate(texts), np.cumsum([len(t) for t in texts]), s)
+        want = {(i, int(h), int(a)) for i, t in enumerate(texts) for h, a in zip(*passages.seeds(t, s))}
+        assert sorted(zip(own.tolist(), hashes.tolist(), at.tolist())) == sorted(want)
