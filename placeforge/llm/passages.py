@@ -199,7 +199,7 @@ def extend(a: np.ndarray, b: np.ndarray, s: Settings) -> tuple[int, int, int]:
             return end
         p, q = a[i : i + s.band + s.k], b[j : j + s.band + s.k]
         same = p[:, None] == q[None, :]
-        if not same.any():
+        if np.count_nonzero(same) < min(4, len(p), len(q)):
             return end
         run = min(4, len(p), len(q))  # so many words must agree behind an edit
         on = same[: len(p) - run + 1, : len(q) - run + 1].copy()
@@ -210,7 +210,8 @@ def extend(a: np.ndarray, b: np.ndarray, s: Settings) -> tuple[int, int, int]:
             return end
         least = int(np.argmin(np.maximum(di, dj) * 64 + np.abs(di - dj)))
         move = int(di[least]), int(dj[least])
-        i, j, score = i + move[0], j + move[1], score - 2 * max(move)
+        kept = int(np.count_nonzero(p[: move[0]] == q[: move[1]])) if move[0] == move[1] else 0  # words in place between changes
+        i, j, equal, score = i + move[0], j + move[1], equal + kept, score + kept - 2 * (max(move) - kept)
         if score < best - s.drop:
             return end
 
@@ -271,30 +272,71 @@ def shared_passages(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
     very common seed the smallest of its share of the documents, and these with the smallest of all); the i-th place of a seed with its
     i-th place there, or the last. Every equal run of min_words words that two documents share lies in a single row of each of them
     (as doc_id or as partner_id): runs of shared seeds that lie in no single passage are matched again as whole runs, with their own
-    first holder. An edited passage is found where a seed of it is matched with the document that it is shared with. A row whose sides lie
-    in those of longer rows of its pair is left out. Repeats within one document are none. Null texts have no passage; rows without doc_id can't be
+    first holder. An edited passage is found where a seed of it is matched with the document that it is shared with, or a sequence of
+    LENGTHS shared seeds in a row or a pair of near ones, for seeds that go to several documents; these, too, go to their own first holder. A row whose sides
+    lie in those of longer rows of its pair is left out. Repeats within one document are none. Null texts have no passage; rows without doc_id can't be
     named and are left out; rows that repeat a doc_id count as one document. An empty table gives no row.
     """
     words = cut(_word_rows(docs, id_col, text_col), "words", compression="zstd")
     common = _common_seeds(_seed_rows(_sample(words), s))
     matches = cut(_matches(_seed_rows(words, s), common), "matches")
     found = cut(_aligned(words, _chains(matches, s), s), "passages")
-    places = matches.select("seed", "doc_id", F.col("y").alias("at")).unionByName(matches.select("seed", F.col("partner_id").alias("doc_id"), F.col("x").alias("at")).distinct())
+    held = matches.select("seed", "doc_id", F.col("y").alias("at"), F.col("partner_id").alias("head"), F.col("x").alias("head_at"))
+    first = matches.select("seed", F.col("partner_id").alias("doc_id"), F.col("x").alias("at")).distinct()
+    places = held.unionByName(first.withColumns({"head": F.col("doc_id"), "head_at": F.col("at")}))
     loose = cut(_loose(places, found, s), "loose")
+    rows = loose.where(F.col("kind") == SEQUENCE).select("seed", "doc_id", F.col("lo").alias("place"))
+    chains = _chains(cut(_matches(rows, _common_seeds(_sample(rows))), "sequences"), replace(s, margin=SIDES))
     asked = loose.where(F.col("kind") == SEED).select("seed").distinct()
     if asked.isEmpty():
-        return _whole(found)
+        return _whole(found.unionByName(_aligned(words, chains, s)))
     asked = places.join(asked, "seed", "left_semi").select("doc_id", F.lit(SEED).alias("kind"), F.col("at").alias("lo"), F.col("at").alias("hi"))
-    near = loose.where(F.col("kind") != SEED).select("doc_id", "kind", "lo", "hi").unionByName(asked)
+    near = loose.where(F.col("kind") < SEED).select("doc_id", "kind", "lo", "hi").unionByName(asked)
     near = near.groupBy(F.col("doc_id").alias("who")).agg(F.collect_set(F.struct("kind", "lo", "hi")).alias("near")).where(F.exists("near", lambda x: x["kind"] == SEED))
     near = cut(near, "near")
     common = _common_seeds(_run_rows(_sample(words), near, s))
     runs = cut(_matches(_run_rows(words, near, s), common), "runs")
-    return _whole(found.unionByName(_aligned(words, _chains(runs, replace(s, k=s.min_words), equal_runs=True), s)))
+    chains = chains.unionByName(_chains(runs, replace(s, k=s.min_words), equal_runs=True))
+    return _whole(found.unionByName(_aligned(words, chains, s)))
 
 
-#: Kinds of what is told of a document's places: a stretch of starts of runs that may be shared, one of runs in no single passage, a seed of such a run.
-SHARED, OPEN, SEED = 0, 1, 2
+#: Kinds of what is told of a document's places: a stretch of starts of runs that may be shared, one of runs in no single passage, a seed of such a run,
+#: and an end of a sequence of shared seeds.
+SHARED, OPEN, SEED, SEQUENCE = 0, 1, 2, 3
+
+#: Shared seeds in a sequence, seeds from the first to the second of a pair, the words that may be changed between two in a row, and the words that
+#: are aligned on each side. Near a change other seeds are drawn, so seeds of a pair needn't follow each other.
+LENGTHS, APART, CHANGED, SIDES = (3, 5, 8), (1, 2, 3, 4), 12, 200
+
+
+def sequences(at: np.ndarray, seed: np.ndarray, head: np.ndarray, head_at: np.ndarray, spans: np.ndarray, own: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, place as _matches takes it) of both ends of sequences and pairs of a document's shared seeds, which stand at `at`, that were not met as a whole.
+
+    head, head_at: the document that a seed is matched with, and its place there. A sequence that stands in a row in one such document was met with it,
+    and one that lies in a single passage of this document (own) has the passage's partner to stand for it. spans: (start, end) of its passages, sorted by
+    start; a place is told as sought (odd) if the sequence lies in none.
+    """
+    step = s.k + s.window - 1 + CHANGED
+    rise = np.diff(head_at)
+    loose = np.concatenate([[0], np.cumsum(np.diff(at) > step)])
+    turns = np.concatenate([[0], np.cumsum((np.diff(head) != 0) | (rise < 1) | (rise > step))])
+
+    def inside(of: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        last = np.searchsorted(of[:, 0], lo, "right") - 1
+        return (last >= 0) & (np.maximum.accumulate(of[:, 1])[last] >= hi) if len(of) else np.zeros(len(lo), bool)
+
+    keys, places = [], []
+    seed = seed.view(np.uint64)
+    for m, pair in [*((m, False) for m in LENGTHS), *((d + 1, True) for d in APART)]:
+        i = np.arange(len(at) - m + 1)
+        i = i[(loose[i + m - 1] == loose[i]) & (turns[i + m - 1] != turns[i])] if len(i) else i
+        i = i[~inside(spans[own], at[i], at[i + m - 1] + s.k)] if len(i) else i
+        if len(i):
+            key = run_hashes(np.column_stack([seed[i], seed[i + m - 1]]).ravel(), 2)[::2] if pair else run_hashes(seed, m)[i]
+            odd = ~inside(spans, at[i], at[i + m - 1] + s.k)
+            keys += [key, key ^ MIX]
+            places += [2 * at[i] + odd, 2 * at[i + m - 1] + odd]
+    return (np.concatenate(keys).view(np.int64), np.concatenate(places)) if keys else (np.empty(0, np.int64),) * 2
 
 
 def loose_runs(at: np.ndarray, starts: np.ndarray, ends: np.ndarray, s: Settings) -> tuple[list[tuple[int, int]], list[tuple[int, int]], list[int]]:
@@ -329,9 +371,11 @@ def loose_runs(at: np.ndarray, starts: np.ndarray, ends: np.ndarray, s: Settings
 def _loose(places: DataFrame, found: DataFrame, s: Settings) -> DataFrame:
     """doc_id, kind, lo, hi, seed: what loose_runs tells of each document. A document's rows are as many as it has words at most."""
     parts = int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sides = found.select("doc_id", "start", "end").unionByName(found.select(F.col("partner_id").alias("doc_id"), F.col("partner_start").alias("start"), F.col("partner_end").alias("end")))
-    spans = sides.groupBy("doc_id", F.col("start").alias("at")).agg(F.max("end").alias("value")).withColumn("kind", F.lit(0).cast("long"))
-    rows = places.select("doc_id", "at", F.col("seed").alias("value"), F.lit(1).cast("long").alias("kind")).unionByName(spans)
+    names = ["doc_id", "at", "kind", "value", "head", "head_at"]
+    long = lambda v: F.lit(v).cast("long")
+    sides = found.select("doc_id", "start", "end", long(0).alias("kind")).unionByName(found.select(F.col("partner_id").alias("doc_id"), F.col("partner_start").alias("start"), F.col("partner_end").alias("end"), long(-1).alias("kind")))
+    spans = sides.groupBy("doc_id", F.col("start").alias("at"), "kind").agg(F.max("end").alias("value")).withColumns({"head": long(0), "head_at": long(0)})
+    rows = places.select("doc_id", "at", F.col("seed").alias("value"), long(1).alias("kind"), "head", "head_at").unionByName(spans.select("doc_id", "at", "value", "kind", "head", "head_at"))
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -341,7 +385,7 @@ def _loose(places: DataFrame, found: DataFrame, s: Settings) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 5, kinds)], ["doc_id", "kind", "lo", "hi", "seed"])
 
         for g in groups(batches, 1):
-            who, spans, held = int(g[0, 0]), g[g[:, 2] == 0], g[g[:, 2] == 1]
+            who, spans, held = int(g[0, 0]), g[g[:, 2] < 1], g[g[:, 2] == 1]
             at, first = np.unique(held[:, 1], return_index=True)
             if not len(at):
                 continue
@@ -349,12 +393,14 @@ def _loose(places: DataFrame, found: DataFrame, s: Settings) -> DataFrame:
             out += [(who, SHARED, *c, None) for c in shared]
             out += [(who, OPEN, *c, None) for c in open_]
             out += [(who, SEED, p, p, int(v)) for p, v in zip(picked, held[first[np.searchsorted(at, picked)], 3] if picked else ())]
+            told = sequences(at, *held[first, 3:].T.copy(), spans[:, [1, 3]], spans[:, 2] == 0, s)
+            out += [(who, SEQUENCE, p, p, v) for v, p in zip(*(c.tolist() for c in told))]
             if len(out) >= 50_000:
                 yield batch()
                 out = []
         yield batch()
 
-    dealt = rows.select("doc_id", "at", "kind", "value").repartition(parts, "doc_id").sortWithinPartitions("doc_id", "at", "kind")
+    dealt = rows.select(*names).repartition(parts, "doc_id").sortWithinPartitions("doc_id", "at", "kind", "head")
     return dealt.mapInArrow(tell, "doc_id long, kind int, lo long, hi long, seed long")
 
 
@@ -521,13 +567,14 @@ def equal_stretches(g: np.ndarray, k: int) -> Iterator[tuple[int, int, int, int]
 
 
 def _chains(matches: DataFrame, s: Settings, equal_runs: bool = False) -> DataFrame:
-    """Chains (or stretches of equal runs) of matches: doc_id, partner_id, d0, d1, p0, p1 (words) and whole: whether all in it is equal."""
+    """Chains (or stretches of equal runs) of matches: doc_id, partner_id, d0, d1, p0, p1 (words), whole: whether all in it is equal, and the margin."""
     parts = int(matches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     matches = matches.select("doc_id", "partner_id", "x", "y").repartition(parts, "doc_id", "partner_id").sortWithinPartitions("doc_id", "partner_id", "x", "y")
 
     def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, ...]] = []
         for g in groups(batches, 2):
+            g = g[np.concatenate([[True], (g[1:] != g[:-1]).any(axis=1)])]  # several sequences may begin or end at a place
             if equal_runs:
                 out.extend((g[0, 0], g[0, 1], *c) for c in equal_stretches(g[:, 2:], s.k))
             for c in () if equal_runs else chain(g[:, 2:], s):
@@ -541,7 +588,7 @@ def _chains(matches: DataFrame, s: Settings, equal_runs: bool = False) -> DataFr
     def _batch(out: list[tuple[int, ...]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in (zip(*out) if out else [()] * 6)], ENDS)
 
-    return matches.mapInArrow(chains, ", ".join(f"{c} long" for c in ENDS)).withColumn("whole", F.lit(equal_runs))
+    return matches.mapInArrow(chains, ", ".join(f"{c} long" for c in ENDS)).withColumns({"whole": F.lit(equal_runs), "margin": F.lit(s.margin)})
 
 
 #: A chain's documents and where it begins and ends in them.
@@ -551,12 +598,12 @@ ENDS = ["doc_id", "partner_id", "d0", "d1", "p0", "p1"]
 def _aligned(words: DataFrame, chains: DataFrame, s: Settings) -> DataFrame:
     """Passages along chains."""
     parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    names = [*ENDS, "whole"]
+    names = [*ENDS, "whole", "margin"]
     found = cut(chains, "chains").withColumn("chain", F.struct(*names))
     asked = found.select(F.col("doc_id").alias("who"), "chain", F.lit(0).alias("side"), F.col("d0").alias("lo"), F.col("d1").alias("hi")).unionByName(found.select(F.col("partner_id").alias("who"), "chain", F.lit(1).alias("side"), F.col("p0").alias("lo"), F.col("p1").alias("hi")))
     # each side's words around the chain, of 4 bytes each; a text that many chains ask for is not gathered, but streamed by the join
-    first = F.greatest(F.col("lo") - s.margin, F.lit(0)).cast("int")
-    own = F.col("words").substr(first * 4 + 1, (F.col("hi").cast("int") + s.margin - first) * 4)
+    first = F.greatest(F.col("lo") - F.col("chain.margin"), F.lit(0)).cast("int")
+    own = F.col("words").substr(first * 4 + 1, (F.col("hi").cast("int") + F.col("chain.margin") - first) * 4)
     cuts = asked.join(words.withColumnRenamed("doc_id", "who"), "who").select("chain.*", "side", own.alias("words"))
     pairs = cuts.repartition(parts, *names).sortWithinPartitions(*names, "side")
 
@@ -572,8 +619,8 @@ def _aligned(words: DataFrame, chains: DataFrame, s: Settings) -> DataFrame:
                 if who != last:
                     continue
                 a, b = np.frombuffer(first, np.uint32), np.frombuffer(own, np.uint32)
-                d0, d1, p0, p1, whole = who[2:]
-                i, j = min(d0, s.margin), min(p0, s.margin)  # where the first seed stands
+                d0, d1, p0, p1, whole, margin = who[2:]
+                i, j = min(d0, margin), min(p0, margin)  # where the first seed stands
                 right = extend(a[i:], b[j:], s)
                 if min(right[0] + i, right[1] + j) < s.min_words:  # whatever lies before, it is too short
                     continue

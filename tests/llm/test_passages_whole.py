@@ -173,3 +173,30 @@ def test_seeds_of_texts_together_are_those_of_each():
         hashes, at, own = passages.seeds_of_texts(np.concatenate(texts), np.cumsum([len(t) for t in texts]), s)
         want = {(i, int(h), int(a)) for i, t in enumerate(texts) for h, a in zip(*passages.seeds(t, s))}
         assert sorted(zip(own.tolist(), hashes.tolist(), at.tolist())) == sorted(want)
+
+
+def edited_among_pieces(n, seed=11):
+    """n pairs that share 60 words with two changed ones, made of pieces that three documents of lower ids hold each on its own, and all rows."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(9))
+    line = lambda k: [word() for _ in range(k)]
+    rows, pairs = [], []
+    for i in range(n):
+        a, b, c = line(20), line(20), line(20)
+        for k, piece in enumerate((a, b, c)):
+            rows.append((3 * i + k, line(25) + piece + line(25)))
+        for k in range(2):
+            rows.append((3 * n + 2 * i + k, line(30) + a + line(1) + b + line(1) + c + line(30)))
+        pairs.append((3 * n + 2 * i + 1, 3 * n + 2 * i))
+    return [(i, " ".join(w)) for i, w in rows], pairs
+
+
+def test_edited_passages_whose_seeds_all_go_to_others(spark, monkeypatch):
+    texts, pairs = edited_among_pieces(40)
+    for common in (100, -1):
+        monkeypatch.setattr(passages, "COMMON", common)
+        monkeypatch.setattr(passages, "SAMPLE", 1 if common < 0 else 64)
+        rows = passages.shared_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+        assert not false(texts, rows)
+        whole = {(r.doc_id, r.partner_id) for r in rows if r.start <= 30 and r.end >= 92 and r.partner_start <= 30 and r.partner_end >= 92}
+        assert whole == set(pairs), len(whole & set(pairs))
