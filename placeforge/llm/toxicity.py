@@ -40,7 +40,7 @@ class Settings:
 class Hasher:
     """Hash features of texts. Word hashes are remembered in a table of bounded size."""
 
-    def __init__(self, bits: int, limit: int = 500_000):
+    def __init__(self, bits: int, limit: int = 100_000):
         self.shift, self.limit, self.known = np.uint64(64 - bits), limit, {}
 
     def words(self, text: bytes) -> np.ndarray:
