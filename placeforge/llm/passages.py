@@ -128,23 +128,64 @@ def _rising(a: np.ndarray, s: Settings) -> list[np.ndarray] | None:
     return np.split(a, np.nonzero(apart)[0] + 1)
 
 
-def chain(anchors: np.ndarray, s: Settings) -> list[np.ndarray]:
-    """Anchors (x, y) to chains that rise in both, best first. A chain's score is its seeds less the cost of the words between.
-
-    Anchors are taken by x; a Fenwick tree over the ranks of y holds the best chain that ends below, each with its gap cost to the origin.
-    Where that chain is too far off, the anchors that are near enough are asked one by one. Anchors that simply follow each other need no tree.
-    """
-    order = np.lexsort((-anchors[:, 1], anchors[:, 0]))
-    a = anchors[order]
-    if (plain := _rising(a, s)) is not None:
-        return plain
+#: Anchors of a column from which columns are taken whole.
+COLUMN = 12
+
+
+def _by_columns(a: np.ndarray, s: Settings) -> tuple[list[float], list[int]]:
+    """What the tree in `chain` gives, score and anchor before of each, for all anchors of a column (of one x) at once. Anchors of a column don't
+    follow each other, so they need only the columns before: the best chain that ends below is a running maximum over the ranks of y, and the
+    near ones lie side by side among the last columns' anchors in the order of their diagonals."""
+    x, y, cost, reach = a[:, 0], a[:, 1], s.gap_cost, s.max_gap + s.k
+    diagonal, total, rank = x - y, cost * (x + y), np.searchsorted(np.unique(y), y)
+    score, back = np.full(len(a), float(s.k)), np.full(len(a), -1)
+    best, of = np.full(int(rank.max()) + 2, -1e18), np.full(int(rank.max()) + 2, -1)  # at rank + 1
+    starts = np.nonzero(np.diff(x, prepend=x[0] - 1))[0]
+    firsts = np.searchsorted(x, x[starts] - reach)
+    for lo, hi, first in zip(starts.tolist(), [*starts[1:].tolist(), len(a)], firsts.tolist()):
+        own = np.arange(lo, hi)
+        top = np.maximum.accumulate(best)
+        step = np.cumsum(np.diff(top, prepend=top[0]) > 0) * (len(a) + 1)
+        last = np.maximum.accumulate(np.where(best == top, of, -1) + step) - step  # of equal ones the last
+        gain, j = top[rank[own]] - total[own], last[rank[own]]
+        dx, dy = x[own] - x[j], y[own] - y[j]
+        far = np.nonzero((gain > 0) & ((dx > reach) | (dy > reach) | (np.abs(dx - dy) > s.max_shift)))[0]
+        if len(far):
+            i = own[far]
+            gain[far], j[far] = 0.0, -1
+            before = first + np.argsort(diagonal[first:lo], kind="stable")
+            sides = diagonal[before]
+            left, right = np.searchsorted(sides, diagonal[i] - s.max_shift), np.searchsorted(sides, diagonal[i] + s.max_shift, "right")
+            some = right > left
+            far, i, left, many = far[some], i[some], left[some], (right - left)[some]
+            if len(i):
+                at = np.cumsum(many) - many
+                o = before[np.arange(int(many.sum())) + np.repeat(left - at, many)]
+                who = np.repeat(i, many)
+                dy = y[who] - y[o]
+                value = np.where((dy > 0) & (dy <= reach), score[o] - cost * (x[who] - x[o] + dy), -np.inf)
+                most = np.maximum.reduceat(value, at)
+                gain[far] = np.maximum(most, 0.0)
+                j[far] = np.maximum.reduceat(np.where(value == np.repeat(most, many), o, -1), at)
+        on = gain > 0
+        score[own[on]], back[own[on]] = s.k + gain[on], j[on]
+        entry, at = score[own] + total[own], rank[own] + 1
+        better = entry >= best[at]
+        best[at[better]], of[at[better]] = entry[better], own[better]
+    return score.tolist(), back.tolist()
+
+
+def _by_tree(a: np.ndarray, s: Settings) -> tuple[list[float], list[int]]:
+    """Score of each anchor and the one before it, by a Fenwick tree."""
     x, y = a[:, 0].tolist(), a[:, 1].tolist()
     rank = (np.searchsorted(np.unique(a[:, 1]), a[:, 1]) + 1).tolist()
     size = max(rank)
     tree: list[tuple[float, int]] = [(-1e18, -1)] * (size + 1)
     score, back = [0.0] * len(a), [-1] * len(a)
-    cost, first = s.gap_cost, 0
-    near = lambda i, j: x[i] - x[j] <= s.max_gap + s.k and y[i] - y[j] <= s.max_gap + s.k and abs((x[i] - x[j]) - (y[i] - y[j])) <= s.max_shift
+    cost, reach = s.gap_cost, s.max_gap + s.k
+    column, slope = (a[:, 0] // (reach + 1)).tolist(), ((a[:, 0] - a[:, 1]) // (s.max_shift + 1)).tolist()
+    cells: dict[tuple[int, int], list[int]] = {}  # anchors before, by column and diagonal; near ones are at most a cell away
+    near = lambda i, j: x[i] - x[j] <= reach and y[i] - y[j] <= reach and abs((x[i] - x[j]) - (y[i] - y[j])) <= s.max_shift
     for i in range(len(a)):
         best, r = (-1e18, -1), rank[i] - 1
         while r > 0:
@@ -153,10 +194,14 @@ def chain(anchors: np.ndarray, s: Settings) -> list[np.ndarray]:
             r -= r & -r
         gain = best[0] - cost * (x[i] + y[i])
         j = best[1]
-        while x[i] - x[first] > s.max_gap + s.k:
-            first += 1
+        c, d = column[i], slope[i]
         if gain > 0 and not near(i, j):
-            gain, j = max(((score[j] - cost * (x[i] - x[j] + y[i] - y[j]), j) for j in range(first, i) if x[j] < x[i] and y[j] < y[i] and near(i, j)), default=(0.0, -1))
+            gain, j = 0.0, -1
+            for cell in ((c, d), (c, d - 1), (c, d + 1), (c - 1, d), (c - 1, d - 1), (c - 1, d + 1)):
+                for o in cells.get(cell, ()):
+                    if x[o] < x[i] and y[o] < y[i] and near(i, o):
+                        gain, j = max((gain, j), (score[o] - cost * (x[i] - x[o] + y[i] - y[o]), o))
+        cells.setdefault((c, d), []).append(i)
         if gain > 0:
             score[i], back[i] = s.k + gain, j
         else:
@@ -166,6 +211,22 @@ def chain(anchors: np.ndarray, s: Settings) -> list[np.ndarray]:
             if entry > tree[r]:
                 tree[r] = entry
             r += r & -r
+    return score, back
+
+
+def chain(anchors: np.ndarray, s: Settings) -> list[np.ndarray]:
+    """Anchors (x, y) to chains that rise in both, best first. A chain's score is its seeds less the cost of the words between.
+
+    Anchors are taken by x; a Fenwick tree over the ranks of y holds the best chain that ends below, each with its gap cost to the origin.
+    Where that chain is too far off, the anchors that are near enough are asked one by one, which lie in few cells of columns and diagonals, so
+    a place that many others are matched with costs no more than what lies near it. Anchors that simply follow each other need no tree, and where
+    columns hold many anchors they are taken whole.
+    """
+    order = np.lexsort((-anchors[:, 1], anchors[:, 0]))
+    a = anchors[order]
+    if (plain := _rising(a, s)) is not None:
+        return plain
+    score, back = (_by_columns if len(a) >= COLUMN * len(np.unique(a[:, 0])) else _by_tree)(a, s)
     used, out = [False] * len(a), []
     for i in sorted(range(len(a)), key=lambda i: -score[i]):
         own = []
@@ -191,27 +252,35 @@ def extend(a: np.ndarray, b: np.ndarray, s: Settings) -> tuple[int, int, int]:
         n = min(len(a) - i, len(b) - j)
         if n > 0:
             differs = a[i : i + n] != b[j : j + n]
-            run = int(differs.argmax()) if differs.any() else n
+            run = int(differs.argmax())
+            run = run if differs[run] else n
             i, j, equal, score = i + run, j + run, equal + run, score + run
             if score > best and run:
                 best, end = score, (i, j, equal)
         if i >= len(a) or j >= len(b):
             return end
         p, q = a[i : i + s.band + s.k], b[j : j + s.band + s.k]
-        same = p[:, None] == q[None, :]
-        if np.count_nonzero(same) < min(4, len(p), len(q)):
-            return end
         run = min(4, len(p), len(q))  # so many words must agree behind an edit
-        on = same[: len(p) - run + 1, : len(q) - run + 1].copy()
-        for r in range(1, run):
-            on &= same[r : len(p) - run + 1 + r, r : len(q) - run + 1 + r]
-        di, dj = np.nonzero(on[: s.band + 1, : s.band + 1])
-        if not len(di):
-            return end
-        least = int(np.argmin(np.maximum(di, dj) * 64 + np.abs(di - dj)))
-        move = int(di[least]), int(dj[least])
-        kept = int(np.count_nonzero(p[: move[0]] == q[: move[1]])) if move[0] == move[1] else 0  # words in place between changes
-        i, j, equal, score = i + move[0], j + move[1], equal + kept, score + kept - 2 * (max(move) - kept)
+        if min(len(p), len(q)) > 4 and p[1:5].tobytes() == q[1:5].tobytes():  # a word in place of another is the least edit
+            i, j, score = i + 1, j + 1, score - 2
+        else:
+            if run == 4:  # as two pairs of words each
+                wide = p.astype(np.uint64), q.astype(np.uint64)
+                two = [w[:-1] << np.uint64(32) | w[1:] for w in wide]
+                same = two[0][:, None] == two[1][None, :]
+                on = same[:-2, :-2] & same[2:, 2:]
+            else:
+                same = p[:, None] == q[None, :]
+                on = same[: len(p) - run + 1, : len(q) - run + 1].copy()
+                for r in range(1, run):
+                    on &= same[r : len(p) - run + 1 + r, r : len(q) - run + 1 + r]
+            di, dj = np.nonzero(on[: s.band + 1, : s.band + 1])
+            if not len(di):
+                return end
+            least = int(np.argmin(np.maximum(di, dj) * 64 + np.abs(di - dj))) if len(di) > 1 else 0
+            move = int(di[least]), int(dj[least])
+            kept = int(np.count_nonzero(p[: move[0]] == q[: move[1]])) if move[0] == move[1] else 0  # words in place between changes
+            i, j, equal, score = i + move[0], j + move[1], equal + kept, score + kept - 2 * (max(move) - kept)
         if score < best - s.drop:
             return end
 
@@ -378,11 +447,13 @@ def _loose(places: DataFrame, found: DataFrame, s: Settings) -> DataFrame:
     rows = places.select("doc_id", "at", F.col("seed").alias("value"), long(1).alias("kind"), "head", "head_at").unionByName(spans.select("doc_id", "at", "value", "kind", "head", "head_at"))
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
+        out, told = [np.empty((0, 5), np.int64)], 0
 
         def batch() -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 5, kinds)], ["doc_id", "kind", "lo", "hi", "seed"])
+            rows = np.concatenate(out)
+            unnamed = rows[:, 1] < SEED  # stretches have no seed
+            columns = [pa.array(rows[:, c].astype(np.int32) if c == 1 else rows[:, c], mask=unnamed if c == 4 else None) for c in range(5)]
+            return pa.RecordBatch.from_arrays(columns, ["doc_id", "kind", "lo", "hi", "seed"])
 
         for g in groups(batches, 1):
             who, spans, held = int(g[0, 0]), g[g[:, 2] < 1], g[g[:, 2] == 1]
@@ -390,14 +461,14 @@ def _loose(places: DataFrame, found: DataFrame, s: Settings) -> DataFrame:
             if not len(at):
                 continue
             shared, open_, picked = loose_runs(at, spans[:, 1], spans[:, 3], s)
-            out += [(who, SHARED, *c, None) for c in shared]
-            out += [(who, OPEN, *c, None) for c in open_]
-            out += [(who, SEED, p, p, int(v)) for p, v in zip(picked, held[first[np.searchsorted(at, picked)], 3] if picked else ())]
-            told = sequences(at, *held[first, 3:].T.copy(), spans[:, [1, 3]], spans[:, 2] == 0, s)
-            out += [(who, SEQUENCE, p, p, v) for v, p in zip(*(c.tolist() for c in told))]
-            if len(out) >= 50_000:
+            v, p = sequences(at, *held[first, 3:].T.copy(), spans[:, [1, 3]], spans[:, 2] == 0, s)
+            names_of = held[first[np.searchsorted(at, picked)], 3].tolist() if picked else []
+            few = [(who, SHARED, *c, 0) for c in shared] + [(who, OPEN, *c, 0) for c in open_] + [(who, SEED, p, p, n) for p, n in zip(picked, names_of)]
+            out += [np.array(few, np.int64).reshape(-1, 5), np.column_stack([np.full(len(p), who), np.full(len(p), SEQUENCE), p, p, v])]
+            told += len(few) + len(p)
+            if told >= 50_000:
                 yield batch()
-                out = []
+                out, told = [np.empty((0, 5), np.int64)], 0
         yield batch()
 
     dealt = rows.select(*names).repartition(parts, "doc_id").sortWithinPartitions("doc_id", "at", "kind", "head")
