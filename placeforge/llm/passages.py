@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeforge.llm.common import cut, groups, id_text, marks
+from placeforge.llm.common import cut, groups, id_text, marks, whole_groups
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -285,6 +285,101 @@ def extend(a: np.ndarray, b: np.ndarray, s: Settings) -> tuple[int, int, int]:
             return end
 
 
+#: Pairs that are aligned at once, words that are compared at first, and pairs that are so few that each is aligned on its own.
+PAIRS, RUN, FEW = 1024, 16, 4
+
+
+def extend_many(a: np.ndarray, starts: np.ndarray, lengths: np.ndarray, step: int, s: Settings) -> np.ndarray:
+    """What `extend` gives for each pair of word rows in `a`: starts and lengths have a row for each pair and a column for each side, step is -1 for words
+    that are read backwards from the start. Pairs go on in step; a stretch of equal words is passed in pieces that grow."""
+    reach = s.band + 4
+    a = np.concatenate([np.zeros(reach, np.uint32), a, np.zeros(reach, np.uint32)])  # so that edits near the edges may look beyond them
+    starts = starts + reach
+    offset = np.arange(s.band + 1)
+    order = (np.maximum(offset[:, None], offset) * 64 + np.abs(offset[:, None] - offset)) * 4096 + offset[:, None] * 64 + offset  # of equal ones the first
+    end, at = np.zeros((len(starts), 3), np.int64), np.zeros((len(starts), 2), np.int64)
+    equal, score, best = np.zeros((3, len(starts)), np.int64)
+    live = np.arange(len(starts))
+    while len(live) > FEW:
+        left = (lengths[live] - at[live]).min(axis=1)
+        run, more, width = np.zeros(len(live), np.int64), np.nonzero(left > 0)[0], RUN
+        while len(more):
+            rest = left[more] - run[more]
+            place = run[more, None] + np.minimum(np.arange(width), rest[:, None] - 1)
+            i, j = (starts[live[more]] + step * at[live[more]]).T
+            differs = a[i[:, None] + step * place] != a[j[:, None] + step * place]
+            first = differs.argmax(axis=1)
+            hit = differs[np.arange(len(more)), first]
+            run[more] += np.where(hit, first, np.minimum(rest, width))
+            more = more[~hit & (rest > width)]
+            width = max(RUN, min(4 * width, (1 << 18) // max(len(more), 1)))
+        at[live] += run[:, None]
+        equal[live] += run
+        score[live] += run
+        better = live[(score[live] > best[live]) & (run > 0)]
+        best[better] = score[better]
+        end[better] = np.column_stack([at[better], equal[better]])
+        live = live[(at[live] < lengths[live]).all(axis=1)]
+        near = np.minimum(lengths[live] - at[live], s.band + s.k)
+        least = near.min(axis=1)
+        i, j = (starts[live] + step * at[live]).T
+        p, q = (a[x[:, None] + step * np.arange(reach)] for x in (i, j))
+        moves, kept = np.ones((len(live), 2), np.int64), np.zeros(len(live), np.int64)
+        hard = np.nonzero((least <= 4) | (p[:, 1:5] != q[:, 1:5]).any(axis=1))[0]  # others: a word in place of another is the least edit
+        moves[hard] = -1
+        for words in range(1, 5):  # so many words must agree behind an edit
+            of = hard[np.minimum(least[hard], 4) == words]
+            if not len(of):
+                continue
+            if words == 4:  # as two pairs of words each
+                x, y = (w[of, :-1].astype(np.uint64) << np.uint64(32) | w[of, 1:] for w in (p, q))
+                same = x[:, :, None] == y[:, None, :]
+                on = same[:, :-2, :-2] & same[:, 2:, 2:]
+            else:
+                same = p[of, :, None] == q[of, None, :]
+                on = same[:, : s.band + 1, : s.band + 1].copy()
+                for r in range(1, words):
+                    on &= same[:, r : s.band + 1 + r, r : s.band + 1 + r]
+            who, cell = np.divmod(np.flatnonzero(on), (s.band + 1) ** 2)
+            di, dj = np.divmod(cell, s.band + 1)
+            fits = (di + words <= near[of[who], 0]) & (dj + words <= near[of[who], 1])
+            who, key = who[fits], order[di[fits], dj[fits]]
+            if len(who):
+                heads = np.nonzero(np.diff(who, prepend=-1))[0]
+                key = np.minimum.reduceat(key, heads) % 4096
+                moves[of[who[heads]]] = np.column_stack(np.divmod(key, 64))
+        straight = hard[(moves[hard, 0] > 0) & (moves[hard, 0] == moves[hard, 1])]
+        kept[straight] = ((p[straight, : s.band] == q[straight, : s.band]) & (offset[: s.band] < moves[straight, :1])).sum(axis=1)  # words in place between changes
+        ends = moves[:, 0] < 0
+        live, moves, kept = live[~ends], moves[~ends], kept[~ends]
+        at[live] += moves
+        equal[live] += kept
+        score[live] += kept - 2 * (moves.max(axis=1) - kept)
+        live = live[score[live] >= best[live] - s.drop]
+    for k in live.tolist():
+        x, y = (a[i : i + n] if step > 0 else a[i - n + 1 : i + 1][::-1] for i, n in zip(starts[k].tolist(), lengths[k].tolist()))
+        end[k] = extend(x, y, s)
+    return end
+
+
+def align_many(a: np.ndarray, starts: np.ndarray, lengths: np.ndarray, chains: np.ndarray, s: Settings) -> np.ndarray:
+    """Passages (doc_id, start, end, partner_id, partner_start, partner_end, n_equal) along chains (doc_id, partner_id, d0, d1, p0, p1, whole, margin), whose
+    sides' words stand in `a`: starts and lengths have a row for each chain and a column for each side."""
+    before = np.minimum(chains[:, [2, 4]], chains[:, 7:])  # words before the first seed
+    right = extend_many(a, starts + before, lengths - before, 1, s)
+    long = (right[:, :2] + before).min(axis=1) >= s.min_words  # else it is too short, whatever lies before
+    starts, before, chains, right = starts[long], before[long], chains[long], right[long]
+    left = extend_many(a, starts + before - 1, before, -1, s)
+    size = chains[:, 3] - chains[:, 2]
+    back = (chains[:, 6] > 0) & (right[:, 2] + left[:, 2] < s.identity * (right + left)[:, :2].max(axis=1))  # what lies around an equal run must not lose it
+    right[back] = np.column_stack([size, chains[:, 5] - chains[:, 4], size])[back]
+    left[back] = 0
+    d0, p0, both = chains[:, 2], chains[:, 4], right + left
+    span = np.where(back[:, None], size[:, None], both[:, :2])
+    good = (span.min(axis=1) >= s.min_words) & (both[:, 2] >= s.identity * span.max(axis=1))
+    return np.column_stack([chains[:, 0], d0 - left[:, 0], d0 + right[:, 0], chains[:, 1], p0 - left[:, 1], p0 + right[:, 1], both[:, 2]])[good]
+
+
 def seeds_of_texts(h: np.ndarray, ends: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, place, number of the text) of the least seed of each window of texts that lie one behind the other in `h` and end at `ends`."""
     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
@@ -369,6 +464,9 @@ def shared_passages(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
     return _whole(found.unionByName(_aligned(words, chains, s)))
 
 
+#: Words of a stretch for each document where several are looked at together.
+OWN = 1 << 32
+
 #: Kinds of what is told of a document's places: a stretch of starts of runs that may be shared, one of runs in no single passage, a seed of such a run,
 #: and an end of a sequence of shared seeds.
 SHARED, OPEN, SEED, SEQUENCE = 0, 1, 2, 3
@@ -380,6 +478,7 @@ LENGTHS, APART, CHANGED, SIDES = (3, 5, 8), (1, 2, 3, 4), 12, 200
 
 def sequences(at: np.ndarray, seed: np.ndarray, head: np.ndarray, head_at: np.ndarray, spans: np.ndarray, own: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     """(hash, place as _matches takes it) of both ends of sequences and pairs of a document's shared seeds, which stand at `at`, that were not met as a whole.
+    Several documents may be given together, each in its own stretch of OWN words.
 
     head, head_at: the document that a seed is matched with, and its place there. A sequence that stands in a row in one such document was met with it,
     and one that lies in a single passage of this document (own) has the passage's partner to stand for it. spans: (start, end) of its passages, sorted by
@@ -409,17 +508,18 @@ def sequences(at: np.ndarray, seed: np.ndarray, head: np.ndarray, head_at: np.nd
 
 
 def loose_runs(at: np.ndarray, starts: np.ndarray, ends: np.ndarray, s: Settings) -> tuple[list[tuple[int, int]], list[tuple[int, int]], list[int]]:
-    """From a document's places of shared seeds and its passages, both sorted: first and last start of runs of min_words words whose seeds are all
+    """From places of shared seeds and passages, both sorted, of a document or of several (each in its own stretch of OWN): first and last start of runs of min_words words whose seeds are all
     shared; of those in no single passage; and places of seeds such that each of the latter holds one.
 
     Among so many seeds in a row as a window has one is drawn, so within a shared run places are at most a window apart.
     """
     shared, open_, picked = [], [], []
     reach = np.maximum.accumulate(ends) if len(ends) else ends
-    for c in np.split(at, np.nonzero(np.diff(at) > s.window)[0] + 1):
-        lo, hi = max(int(c[0]) - s.window + 1, 0), int(c[-1]) + s.k + s.window - 1 - s.min_words
-        if hi < lo:
-            continue
+    first = np.concatenate([[0], np.nonzero(np.diff(at) > s.window)[0] + 1])
+    last = np.append(first[1:], len(at)) - 1
+    long = at[last] + s.k + s.window - 1 - s.min_words >= np.maximum(at[first] - s.window + 1, at[first] // OWN * OWN)
+    for c in (at[i : j + 1] for i, j in zip(first[long].tolist(), last[long].tolist())):
+        lo, hi = max(int(c[0]) - s.window + 1, int(c[0]) // OWN * OWN), int(c[-1]) + s.k + s.window - 1 - s.min_words
         shared.append((lo, hi))
         y = np.arange(lo, hi + 1)
         last = np.searchsorted(starts, y, "right") - 1
@@ -447,29 +547,27 @@ def _loose(places: DataFrame, found: DataFrame, s: Settings) -> DataFrame:
     rows = places.select("doc_id", "at", F.col("seed").alias("value"), long(1).alias("kind"), "head", "head_at").unionByName(spans.select("doc_id", "at", "value", "kind", "head", "head_at"))
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, told = [np.empty((0, 5), np.int64)], 0
-
-        def batch() -> pa.RecordBatch:
-            rows = np.concatenate(out)
-            unnamed = rows[:, 1] < SEED  # stretches have no seed
-            columns = [pa.array(rows[:, c].astype(np.int32) if c == 1 else rows[:, c], mask=unnamed if c == 4 else None) for c in range(5)]
-            return pa.RecordBatch.from_arrays(columns, ["doc_id", "kind", "lo", "hi", "seed"])
-
-        for g in groups(batches, 1):
-            who, spans, held = int(g[0, 0]), g[g[:, 2] < 1], g[g[:, 2] == 1]
-            at, first = np.unique(held[:, 1], return_index=True)
-            if not len(at):
+        for g in whole_groups(batches, 1):
+            own = np.cumsum(np.diff(g[:, 0], prepend=g[0, 0] - 1) != 0) - 1
+            who = g[:, 0][np.nonzero(np.diff(own, prepend=-1))[0]]
+            at, ends = g[:, 1] + own * OWN, g[:, 3] + own * OWN
+            span, held = np.nonzero(g[:, 2] < 1)[0], np.nonzero(g[:, 2] == 1)[0]
+            held = held[np.diff(at[held], prepend=-1) != 0]  # of a place's rows the first
+            if not len(held):
                 continue
-            shared, open_, picked = loose_runs(at, spans[:, 1], spans[:, 3], s)
-            v, p = sequences(at, *held[first, 3:].T.copy(), spans[:, [1, 3]], spans[:, 2] == 0, s)
-            names_of = held[first[np.searchsorted(at, picked)], 3].tolist() if picked else []
-            few = [(who, SHARED, *c, 0) for c in shared] + [(who, OPEN, *c, 0) for c in open_] + [(who, SEED, p, p, n) for p, n in zip(picked, names_of)]
-            out += [np.array(few, np.int64).reshape(-1, 5), np.column_stack([np.full(len(p), who), np.full(len(p), SEQUENCE), p, p, v])]
-            told += len(few) + len(p)
-            if told >= 50_000:
-                yield batch()
-                out, told = [np.empty((0, 5), np.int64)], 0
-        yield batch()
+            shared, open_, picked = loose_runs(at[held], at[span], ends[span], s)
+            v, p = sequences(at[held], *g[held, 3:].T.copy(), np.column_stack([at[span], ends[span]]), g[span, 2] == 0, s)
+            picked = np.array(picked, np.int64)
+            lo = [np.array(c, np.int64).reshape(-1, 2) for c in (shared, open_)]
+            lo += [np.column_stack([picked, picked]), np.column_stack([p, p])]
+            kind = np.repeat([SHARED, OPEN, SEED, SEQUENCE], [len(c) for c in lo])
+            lo = np.concatenate(lo)
+            double = np.where(kind == SEQUENCE, 2, 1)  # places as _matches takes them
+            told = lo // (double[:, None] * OWN)
+            lo -= told * double[:, None] * OWN
+            seed = np.concatenate([np.zeros(len(shared) + len(open_), np.int64), g[held, 3][np.searchsorted(at[held], picked)], v])
+            columns = [pa.array(who[told[:, 0]]), pa.array(kind.astype(np.int32)), pa.array(lo[:, 0]), pa.array(lo[:, 1]), pa.array(seed, mask=kind < SEED)]  # stretches have no seed
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "kind", "lo", "hi", "seed"])
 
     dealt = rows.select(*names).repartition(parts, "doc_id").sortWithinPartitions("doc_id", "at", "kind", "head")
     return dealt.mapInArrow(tell, "doc_id long, kind int, lo long, hi long, seed long")
@@ -630,11 +728,41 @@ def _run_rows(words: DataFrame, near: DataFrame, s: Settings) -> DataFrame:
     return words.join(near, F.col("doc_id") == F.col("who")).select("doc_id", "words", "near").mapInArrow(run, "seed long, doc_id long, place long")
 
 
-def equal_stretches(g: np.ndarray, k: int) -> Iterator[tuple[int, int, int, int]]:
-    """Anchors (x, y) of runs of k words to stretches (y0, y1, x0, x1) of runs that follow each other."""
-    g = g[np.lexsort((g[:, 0], g[:, 0] - g[:, 1]))]
-    for c in np.split(g, np.nonzero((np.diff(g[:, 0]) != 1) | (np.diff(g[:, 1]) != 1))[0] + 1):
-        yield c[0, 1], c[-1, 1] + k, c[0, 0], c[-1, 0] + k
+def equal_stretches(g: np.ndarray, k: int) -> np.ndarray:
+    """Anchors (doc_id, partner_id, x, y) of runs of k words to stretches (doc_id, partner_id, y0, y1, x0, x1) of runs that follow each other."""
+    g = g[np.lexsort((g[:, 2], g[:, 2] - g[:, 3], g[:, 1], g[:, 0]))]
+    new = np.concatenate([[True], (np.diff(g, axis=0) != (0, 0, 1, 1)).any(axis=1)])
+    return ends_of(g, new, k)
+
+
+def ends_of(g: np.ndarray, new: np.ndarray, k: int) -> np.ndarray:
+    """Anchors (doc_id, partner_id, x, y) of chains, which begin where `new` is true, to chains (doc_id, partner_id, y0, y1, x0, x1)."""
+    lo = np.nonzero(new)[0]
+    a, b = g[lo], g[np.append(lo[1:], len(g)) - 1]
+    return np.column_stack([a[:, :2], a[:, 3], b[:, 3] + k, a[:, 2], b[:, 2] + k])
+
+
+def chains_of_pairs(g: np.ndarray, s: Settings) -> np.ndarray:
+    """Anchors (doc_id, partner_id, x, y) of whole pairs, sorted, each once, to chains (doc_id, partner_id, y0, y1, x0, x1). Pairs whose anchors simply follow
+    each other, by the test of _rising, are done together."""
+    d = np.diff(g, axis=0)
+    pair = np.concatenate([[True], (d[:, :2] != 0).any(axis=1)])
+    dx, dy = d[:, 2], d[:, 3]
+    apart = (dx > s.max_gap + s.k) | (dy > s.max_gap + s.k)
+    plain = (dx > 0) & (dy > 0) & (apart | (np.abs(dx - dy) <= s.max_shift) & (s.gap_cost * (dx + dy) < s.k))
+    own = np.cumsum(pair) - 1
+    mixed = np.zeros(int(own[-1]) + 1, bool)
+    mixed[own[1:][~plain & ~pair[1:]]] = True
+    rest = mixed[own]
+    new = pair | np.concatenate([[True], apart])
+    out = []
+    if not rest.all():
+        chains, first = ends_of(g[~rest], new[~rest], s.k), np.nonzero(new[~rest])[0]
+        out.append(chains[np.diff(np.append(first, (~rest).sum())) >= s.min_seeds])
+    for x in np.split(g[rest], np.nonzero(pair[rest])[0][1:]) if rest.any() else ():
+        of = [(*x[0, :2], c[0, 1], c[-1, 1] + s.k, c[0, 0], c[-1, 0] + s.k) for c in chain(x[:, 2:], s) if len(c) >= s.min_seeds]
+        out.append(np.array(of, np.int64).reshape(-1, 6))
+    return np.concatenate(out)
 
 
 def _chains(matches: DataFrame, s: Settings, equal_runs: bool = False) -> DataFrame:
@@ -643,21 +771,10 @@ def _chains(matches: DataFrame, s: Settings, equal_runs: bool = False) -> DataFr
     matches = matches.select("doc_id", "partner_id", "x", "y").repartition(parts, "doc_id", "partner_id").sortWithinPartitions("doc_id", "partner_id", "x", "y")
 
     def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[int, ...]] = []
-        for g in groups(batches, 2):
+        for g in whole_groups(batches, 2):
             g = g[np.concatenate([[True], (g[1:] != g[:-1]).any(axis=1)])]  # several sequences may begin or end at a place
-            if equal_runs:
-                out.extend((g[0, 0], g[0, 1], *c) for c in equal_stretches(g[:, 2:], s.k))
-            for c in () if equal_runs else chain(g[:, 2:], s):
-                if len(c) >= s.min_seeds:
-                    out.append((g[0, 0], g[0, 1], c[0, 1], c[-1, 1] + s.k, c[0, 0], c[-1, 0] + s.k))
-            if len(out) >= 50_000:
-                yield _batch(out)
-                out = []
-        yield _batch(out)
-
-    def _batch(out: list[tuple[int, ...]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in (zip(*out) if out else [()] * 6)], ENDS)
+            out = equal_stretches(g, s.k) if equal_runs else chains_of_pairs(g, s)
+            yield pa.RecordBatch.from_arrays([pa.array(out[:, c]) for c in range(6)], ENDS)
 
     return matches.mapInArrow(chains, ", ".join(f"{c} long" for c in ENDS)).withColumns({"whole": F.lit(equal_runs), "margin": F.lit(s.margin)})
 
@@ -679,30 +796,30 @@ def _aligned(words: DataFrame, chains: DataFrame, s: Settings) -> DataFrame:
     pairs = cuts.repartition(parts, *names).sortWithinPartitions(*names, "side")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, first = None, None
+        """Rows sorted by chain and side; the last first side is held, as its second may be in the next batch."""
+        held = None
         for x in batches:
-            out = []
-            keys = zip(*(x.column(c).to_pylist() for c in names))
-            for who, side, own in zip(keys, x.column("side").to_pylist(), x.column("words").to_pylist()):
-                if side == 0:
-                    last, first = who, own
-                    continue
-                if who != last:
-                    continue
-                a, b = np.frombuffer(first, np.uint32), np.frombuffer(own, np.uint32)
-                d0, d1, p0, p1, whole, margin = who[2:]
-                i, j = min(d0, margin), min(p0, margin)  # where the first seed stands
-                right = extend(a[i:], b[j:], s)
-                if min(right[0] + i, right[1] + j) < s.min_words:  # whatever lies before, it is too short
-                    continue
-                left = extend(a[:i][::-1], b[:j][::-1], s)
-                equal = right[2] + left[2]
-                span = right[0] + left[0], right[1] + left[1]
-                if whole and equal < s.identity * max(span):  # what lies around an equal run must not lose it
-                    right, left, equal, span = (d1 - d0, p1 - p0, d1 - d0), (0, 0, 0), d1 - d0, (d1 - d0, p1 - p0)
-                if min(span) >= s.min_words and equal >= s.identity * max(span):
-                    out.append((who[0], d0 - left[0], d0 + right[0], who[1], p0 - left[1], p0 + right[1], equal))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else [()] * 7)], given)
+            if not x.num_rows:
+                continue
+            x = x if held is None else pa.concat_batches([held, x])
+            keys = np.stack([x.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names], axis=1)
+            side = x.column("side").to_numpy()
+            first = np.maximum.accumulate(np.where(side == 0, np.arange(len(side)), -1))
+            two = np.nonzero((side == 1) & (first >= 0))[0]
+            two = two[(keys[two] == keys[first[two]]).all(axis=1)]
+            one = first[two]
+            own = x.column("words").cast(pa.binary())
+            bytes_at = np.frombuffer(own.buffers()[1], np.int32)[own.offset : own.offset + len(own) + 1].astype(np.int64)
+            all_words = np.frombuffer(own.buffers()[2], np.uint8)[bytes_at[0] : bytes_at[-1]].view(np.uint32) if bytes_at[-1] > bytes_at[0] else np.empty(0, np.uint32)
+            edges = (bytes_at - bytes_at[0]) // 4
+            out = [np.empty((0, 7), np.int64)]
+            for k in range(0, len(one), PAIRS):
+                rows = np.column_stack([one[k : k + PAIRS], two[k : k + PAIRS]])
+                lo, hi = edges[rows.min()], edges[rows.max() + 1]
+                out.append(align_many(all_words[lo:hi], edges[rows] - lo, edges[rows + 1] - edges[rows], keys[rows[:, 0]], s))
+            told = np.concatenate(out)
+            yield pa.RecordBatch.from_arrays([pa.array(told[:, c]) for c in range(7)], given)
+            held = x.slice(int(first[-1]), 1) if first[-1] >= 0 else None
 
     given = ["doc_id", "start", "end", "partner_id", "partner_start", "partner_end", "n_equal"]
     return pairs.mapInArrow(align, ", ".join(f"`{c}` long" for c in given))
