@@ -449,8 +449,12 @@ def shared_passages(docs: DataFrame, s: Settings = Settings(), id_col: str = "do
     first = matches.select("seed", F.col("partner_id").alias("doc_id"), F.col("x").alias("at")).distinct()
     places = held.unionByName(first.withColumns({"head": F.col("doc_id"), "head_at": F.col("at")}))
     loose = cut(_loose(places, found, s), "loose")
-    rows = loose.where(F.col("kind") == SEQUENCE).select("seed", "doc_id", F.col("lo").alias("place"))
-    chains = _chains(cut(_matches(rows, _common_seeds(_sample(rows))), "sequences"), replace(s, margin=SIDES))
+    # a sequence is one row, its place and its size in one number, and leaves as anchors of both ends
+    rows = loose.where(F.col("kind") == SEQUENCE).select("seed", "doc_id", ((F.shiftright("lo", 1) * SIZES + F.col("hi")) * 2 + F.col("lo") % 2).alias("place"))
+    met = cut(_matches(rows, _common_seeds(_sample(rows))), "sequences")
+    x, y = ([F.shiftright(c, SIZES.bit_length() - 1), F.col(c) % SIZES] for c in ("x", "y"))
+    ends = F.array(F.struct(x[0].alias("x"), y[0].alias("y")), F.struct((x[0] + x[1]).alias("x"), (y[0] + y[1]).alias("y")))
+    chains = _chains(met.select("doc_id", "partner_id", F.inline(ends)), replace(s, margin=SIDES))
     asked = loose.where(F.col("kind") == SEED).select("seed").distinct()
     if asked.isEmpty():
         return _whole(found.unionByName(_aligned(words, chains, s)))
@@ -471,13 +475,16 @@ OWN = 1 << 32
 #: and an end of a sequence of shared seeds.
 SHARED, OPEN, SEED, SEQUENCE = 0, 1, 2, 3
 
+#: Sizes that a sequence may have in words, a power of two.
+SIZES = 1 << 16
+
 #: Shared seeds in a sequence, seeds from the first to the second of a pair, the words that may be changed between two in a row, and the words that
 #: are aligned on each side. Near a change other seeds are drawn, so seeds of a pair needn't follow each other.
 LENGTHS, APART, CHANGED, SIDES = (3, 5, 8), (1, 2, 3, 4), 12, 200
 
 
-def sequences(at: np.ndarray, seed: np.ndarray, head: np.ndarray, head_at: np.ndarray, spans: np.ndarray, own: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, place as _matches takes it) of both ends of sequences and pairs of a document's shared seeds, which stand at `at`, that were not met as a whole.
+def sequences(at: np.ndarray, seed: np.ndarray, head: np.ndarray, head_at: np.ndarray, spans: np.ndarray, own: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, place as _matches takes it, words to the last seed) of sequences and pairs of a document's shared seeds, which stand at `at`, that were not met as a whole.
     Several documents may be given together, each in its own stretch of OWN words.
 
     head, head_at: the document that a seed is matched with, and its place there. A sequence that stands in a row in one such document was met with it,
@@ -493,7 +500,7 @@ def sequences(at: np.ndarray, seed: np.ndarray, head: np.ndarray, head_at: np.nd
         last = np.searchsorted(of[:, 0], lo, "right") - 1
         return (last >= 0) & (np.maximum.accumulate(of[:, 1])[last] >= hi) if len(of) else np.zeros(len(lo), bool)
 
-    keys, places = [], []
+    keys, places, sizes = [], [], []
     seed = seed.view(np.uint64)
     for m, pair in [*((m, False) for m in LENGTHS), *((d + 1, True) for d in APART)]:
         i = np.arange(len(at) - m + 1)
@@ -502,9 +509,10 @@ def sequences(at: np.ndarray, seed: np.ndarray, head: np.ndarray, head_at: np.nd
         if len(i):
             key = run_hashes(np.column_stack([seed[i], seed[i + m - 1]]).ravel(), 2)[::2] if pair else run_hashes(seed, m)[i]
             odd = ~inside(spans, at[i], at[i + m - 1] + s.k)
-            keys += [key, key ^ MIX]
-            places += [2 * at[i] + odd, 2 * at[i + m - 1] + odd]
-    return (np.concatenate(keys).view(np.int64), np.concatenate(places)) if keys else (np.empty(0, np.int64),) * 2
+            keys.append(key)
+            places.append(2 * at[i] + odd)
+            sizes.append(at[i + m - 1] - at[i])
+    return (np.concatenate(keys).view(np.int64), np.concatenate(places), np.concatenate(sizes)) if keys else (np.empty(0, np.int64),) * 3
 
 
 def loose_runs(at: np.ndarray, starts: np.ndarray, ends: np.ndarray, s: Settings) -> tuple[list[tuple[int, int]], list[tuple[int, int]], list[int]]:
@@ -556,17 +564,18 @@ def _loose(places: DataFrame, found: DataFrame, s: Settings) -> DataFrame:
             if not len(held):
                 continue
             shared, open_, picked = loose_runs(at[held], at[span], ends[span], s)
-            v, p = sequences(at[held], *g[held, 3:].T.copy(), np.column_stack([at[span], ends[span]]), g[span, 2] == 0, s)
+            v, p, size = sequences(at[held], *g[held, 3:].T.copy(), np.column_stack([at[span], ends[span]]), g[span, 2] == 0, s)
             picked = np.array(picked, np.int64)
             lo = [np.array(c, np.int64).reshape(-1, 2) for c in (shared, open_)]
-            lo += [np.column_stack([picked, picked]), np.column_stack([p, p])]
+            lo += [np.column_stack([picked, picked]), np.column_stack([p, size])]
             kind = np.repeat([SHARED, OPEN, SEED, SEQUENCE], [len(c) for c in lo])
             lo = np.concatenate(lo)
             double = np.where(kind == SEQUENCE, 2, 1)  # places as _matches takes them
-            told = lo // (double[:, None] * OWN)
-            lo -= told * double[:, None] * OWN
+            told = lo[:, 0] // (double * OWN)
+            lo[:, 0] -= told * double * OWN
+            lo[:, 1] -= np.where(kind == SEQUENCE, 0, told * OWN)
             seed = np.concatenate([np.zeros(len(shared) + len(open_), np.int64), g[held, 3][np.searchsorted(at[held], picked)], v])
-            columns = [pa.array(who[told[:, 0]]), pa.array(kind.astype(np.int32)), pa.array(lo[:, 0]), pa.array(lo[:, 1]), pa.array(seed, mask=kind < SEED)]  # stretches have no seed
+            columns = [pa.array(who[told]), pa.array(kind.astype(np.int32)), pa.array(lo[:, 0]), pa.array(lo[:, 1]), pa.array(seed, mask=kind < SEED)]  # stretches have no seed
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "kind", "lo", "hi", "seed"])
 
     dealt = rows.select(*names).repartition(parts, "doc_id").sortWithinPartitions("doc_id", "at", "kind", "head")

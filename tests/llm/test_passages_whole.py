@@ -334,13 +334,13 @@ def test_what_is_loose_in_many_documents_is_what_is_in_each():
         own = rng.integers(0, 2, len(starts)) == 0
         seed, head, head_at = rng.integers(-(2**62), 2**62, len(at)), rng.integers(0, 3, len(at)), rng.integers(0, 90, len(at))
         runs = passages.loose_runs(at, spans[:, 0], spans[:, 1], s)
-        v, p = passages.sequences(at, seed, head, head_at, spans, own, s)
+        v, p, size = passages.sequences(at, seed, head, head_at, spans, own, s)
         base = who * passages.OWN
-        for c, more in zip(every, ([(a + base, b + base) for a, b in runs[0]], [(a + base, b + base) for a, b in runs[1]], [a + base for a in runs[2]], zip(v.tolist(), (p + 2 * base).tolist()))):
+        for c, more in zip(every, ([(a + base, b + base) for a, b in runs[0]], [(a + base, b + base) for a, b in runs[1]], [a + base for a in runs[2]], zip(v.tolist(), (p + 2 * base).tolist(), size.tolist()))):
             c += more
         parts.append((at + base, seed, head, head_at, spans + base, own))
         kept += len(p)
     at, seed, head, head_at, spans, own = (np.concatenate(c) for c in zip(*parts))
     runs = passages.loose_runs(at, spans[:, 0], spans[:, 1], s)
-    v, p = passages.sequences(at, seed, head, head_at, spans, own, s)
-    assert list(runs) == list(every[:3]) and kept and sorted(zip(v.tolist(), p.tolist())) == sorted(every[3])
+    v, p, size = passages.sequences(at, seed, head, head_at, spans, own, s)
+    assert list(runs) == list(every[:3]) and kept and sorted(zip(v.tolist(), p.tolist(), size.tolist())) == sorted(every[3])
