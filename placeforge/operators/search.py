@@ -26,7 +26,8 @@ def search_titles(wanted: DataFrame, pages: DataFrame, key: str, name: str, base
     hold one of the rarest words, as many as it takes until all others weigh less than that share, so only their postings are joined. Where
     the two rarest are in every hit (all other words together weigh less than that share without either), the postings of both at once are
     joined; titles of more than `long` words, whose pairs of words would be many, stay with single words.
-    Equal sets of words are searched once; names without a word, and null addresses, have no hit.
+    Equal sets of words are searched once; names without a word, names whose words that titles hold weigh less than that share, and null
+    addresses, have no hit and join nothing.
     """
     titles = pages.where(F.col("url").startswith(f"{base}/")).select("url").distinct().withColumn("words", title_words(page_title(F.col("url"), base))).where(F.size("words") > 0)
     titles = cut(titles, "titles")
@@ -45,7 +46,8 @@ def search_titles(wanted: DataFrame, pages: DataFrame, key: str, name: str, base
     lacking = lambda k: F.aggregate(known, F.lit(0).cast("long"), lambda s, x: s + x["w"]) - F.get(known, F.lit(k))["w"]
     both = (F.size(known) > 1) & F.coalesce((lacking(0) < F.col("need")) & (lacking(1) < F.col("need")), F.lit(False))
     probes = weighed.withColumn("both", both).withColumn("first", F.get(known, F.lit(0))["word"]).withColumn("second", F.get(known, F.lit(1))["word"]).withColumn("probe", F.filter(rest, lambda x: x["left"] >= F.col("need")).getField("word"))
-    probes = cut(probes, "probes")
+    # a name whose known words all together weigh too little has no hit, and would else meet every title that holds two common words
+    probes = cut(probes.where(F.size("probe") > 0), "probes")
     alone = probes.where("not both").select("asked", "ws", "need", F.explode("probe").alias("word")).hint("merge").join(postings, "word")
     beyond = probes.where("both").select("asked", "ws", "need", F.col("first").alias("word")).hint("merge").join(postings.where(F.size("words") > long), "word")
     two = F.flatten(F.transform("words", lambda x, i: F.transform(F.slice("words", i + 2, F.size("words")), lambda y: F.struct(x.alias("a"), y.alias("b")))))
