@@ -211,6 +211,23 @@ def test_quality_is_brute_force(spark):
         assert abs(r.anomaly - brute_anomaly(forest, rates[i])) < 1e-9 and r.kept == (not r.base_failed and r.anomaly <= most)
 
 
+@pytest.mark.parametrize("least_quality", [0, 1])
+def test_quality_takes_every_labelled_row(spark, least_quality):
+    """51,000 labelled rows in several parts give the forest and the threshold of all these rows in memory."""
+    word = F.element_at(F.array(*map(F.lit, VOCABULARY)), F.pmod(F.xxhash64("id", "k"), F.lit(len(VOCABULARY))).cast("int") + 1)
+    df = spark.range(51_000).select("id", F.explode(F.sequence(F.lit(0), F.lit(10) + (F.col("id") % 17).cast("int"))).alias("k")).withColumn("w", F.when((F.col("id") % 5 == 0) & (F.col("k") % 3 == 0), "$$ #").otherwise(word))
+    df = df.groupBy(F.col("id").alias("doc_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "w"))), lambda x: x["w"]), " ").alias("text")).cache()
+    known = df.select("doc_id", F.greatest((F.pmod(F.xxhash64("doc_id"), F.lit(10)) + F.when(F.col("doc_id") % 5 == 0, -8).otherwise(8) > 4).cast("int"), F.lit(least_quality)).alias("quality"))
+    s = quality.Settings(trees=6, rows_a_tree=32)
+    x = np.array([quality.statistics(r.text.encode())[1] for r in df.orderBy("doc_id").collect()])
+    forest, most = quality.fit(x, np.array([r.quality for r in known.orderBy("doc_id").collect()]), s)
+    want = forest.score(x)
+    got = quality.quality(df, known, s).orderBy("doc_id").collect()
+    assert np.abs(np.array([r.anomaly for r in got]) - want).max() < 1e-12
+    assert [r.kept for r in got] == [not r.base_failed and a <= most for r, a in zip(got, want)]
+    assert (most == s.fallback) == bool(least_quality)
+
+
 def test_toxicity_learns(spark):
     rng = random.Random(1)
     rows = [(i, prose(40) + (" vile" + rng.choice([".", "***"]) + " nasty " if i % 4 == 0 else " ") + prose(5), int(i % 4 == 0)) for i in range(400)]
